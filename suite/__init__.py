@@ -1,2 +1,2 @@
-from suite import cleaning  # noqa: F401
+from suite import profiles, schemas  # noqa: F401
 from suite.registry import ORACLE, QUERIES  # noqa: F401
