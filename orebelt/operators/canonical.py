@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +21,18 @@ def _sources(extra: Candidates | None) -> dict[str, tuple[str, ...]]:
 
 
 def canonicalise(
-    df: DataFrame, dataset: str | Column, year: int | Column, extra_sources: Candidates | None = None
+    df: DataFrame,
+    dataset: str | Column,
+    year: int | Column,
+    extra_sources: Candidates | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Source layout to canonical layout.
 
     ``dataset`` and ``year`` are literals for one source or columns of the frame.
     A canonical column always gets its canonical type, also when the source
-    already carries the canonical name. ``extra_sources`` adds candidates.
+    already carries the canonical name. ``extra_sources`` adds candidates,
+    ``carry`` keeps further columns such as ``source_id``.
     """
     named = with_snake_names(df)
     candidates = _sources(extra_sources)
@@ -46,7 +51,7 @@ def canonicalise(
     }
     columns = {**resolved, **derived}
     extras = [c for c in CANONICAL_EXTRAS if c in named.columns]
-    return named.select(*[columns[name].alias(name) for name in CANONICAL_ORDER], *extras)
+    return named.select(*carry, *[columns[name].alias(name) for name in CANONICAL_ORDER], *extras)
 
 
 def _flag_aware(df: DataFrame, name: str, candidates: tuple[str, ...], dtype: str) -> Column:

@@ -27,7 +27,7 @@ def column_profile(
     by: Sequence[str] = (),
     columns: Sequence[str] | None = None,
     exact_distinct: bool = True,
-    relative_error: float = 0.01,
+    relative_error: float = 0.05,
 ) -> DataFrame:
     """Profile per scope and column.
 

@@ -6,28 +6,23 @@ row per column and period, so it stays small however large the data is.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orebelt.contract import SOURCE_SCHEMAS, TYPE_WIDTH
 
-SNAPSHOT = "dataset string, year int, month int, column string, dtype string"
+def snapshot_of_files(schemas: DataFrame) -> DataFrame:
+    """Schema per (dataset, year, month) from per-file schemas of Hive-partitioned files.
 
-
-def schema_snapshot(
-    spark: SparkSession,
-    read: Callable[[str, int, int], DataFrame],
-    periods: Iterable[tuple[str, int, int]],
-) -> DataFrame:
-    """Schema of every (dataset, year, month); reads file footers only."""
-    rows = [
-        (dataset, year, month, name, dtype)
-        for dataset, year, month in periods
-        for name, dtype in read(dataset, year, month).dtypes
-    ]
-    return spark.createDataFrame(rows, SNAPSHOT)
+    Files of one month that disagree count at their widest type.
+    """
+    part = {"dataset": "tipo_dataset", "year": "anio", "month": "mes"}
+    period = [F.regexp_extract("path", f"/{key}=([^/]+)/", 1).alias(name) for name, key in part.items()]
+    located = schemas.select(*period, "column", "dtype").where(F.col("dataset") != "")
+    typed = located.withColumns({c: F.col(c).cast("int") for c in ("year", "month")})
+    return widest_types(typed, ["dataset", "year", "month", "column"])
 
 
 def observed_schema(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -20,7 +20,7 @@ from orebelt.contract import FACT_KEYS
 from orebelt.operators import star
 from orebelt.operators.incremental import compare_sources, latest_state
 from orebelt.operators.shape import require_unique, union_by_name
-from orebelt.session import small_side
+from orebelt.session import materialize, small_side
 from orebelt.sources.sinks import append, overwrite_partitions, publish_version, read_current, write_dimension
 
 _KEY_TYPES = {
@@ -33,7 +33,6 @@ CONTRIBUTION_SCHEMA = ", ".join(
     + [f"{c} long" for c in star.COUNTED.values()]
     + ["source_id string", "version string"]
 )
-PROVIDER_SCHEMA = "provider_key string, provider_id string, tipo_dataset string, source_id string, version string"
 MANIFEST_SCHEMA = (
     "source_id string, fingerprint string, active boolean, contribution_rows long, recorded_at timestamp"
 )
@@ -51,10 +50,6 @@ class StarStore:
     def contributions_path(self) -> str:
         return f"{self.root}/contributions"
 
-    @property
-    def providers_path(self) -> str:
-        return f"{self.root}/providers"
-
     @property
     def manifest_path(self) -> str:
         return f"{self.root}/manifest"
@@ -63,7 +58,6 @@ class StarStore:
         """Create the empty tables on first use."""
         for path, schema in (
             (self.contributions_path, CONTRIBUTION_SCHEMA),
-            (self.providers_path, PROVIDER_SCHEMA),
             (self.manifest_path, MANIFEST_SCHEMA),
         ):
             spark.createDataFrame([], schema).write.mode("append").parquet(path)
@@ -73,15 +67,11 @@ class StarStore:
         log = spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
         return latest_state(log).where("active")
 
-    def _active(self, spark: SparkSession, path: str, schema: str) -> DataFrame:
-        active = self.manifest(spark).select("source_id", F.col("fingerprint").alias("version"))
-        return spark.read.schema(schema).parquet(path).join(small_side(active), list(_PARTITION), "left_semi")
-
     def contributions(self, spark: SparkSession) -> DataFrame:
-        return self._active(spark, self.contributions_path, CONTRIBUTION_SCHEMA)
-
-    def providers(self, spark: SparkSession) -> DataFrame:
-        return self._active(spark, self.providers_path, PROVIDER_SCHEMA)
+        """Contributions in force; the join prunes the directories of old versions."""
+        active = self.manifest(spark).select("source_id", F.col("fingerprint").alias("version"))
+        stored = spark.read.schema(CONTRIBUTION_SCHEMA).parquet(self.contributions_path)
+        return stored.join(small_side(active), list(_PARTITION), "left_semi")
 
     def fact(self, spark: SparkSession) -> DataFrame:
         """Merged fact of the active contributions, not yet published."""
@@ -98,7 +88,7 @@ class StarStore:
         return compare_sources(fingerprints, state, staged.unionByName(empty), force)
 
     def stage(self, prepared: DataFrame) -> None:
-        """Write contributions and provider candidates of prepared trips.
+        """Write the contributions of prepared trips.
 
         ``prepared`` carries ``source_id`` and ``version``. The aggregate is already
         clustered by its keys; the rebalance hint groups it by source for writing
@@ -106,8 +96,6 @@ class StarStore:
         """
         contribution = star.fact_contribution(prepared, _PARTITION).hint("rebalance", *_PARTITION)
         overwrite_partitions(contribution, self.contributions_path, _PARTITION)
-        candidates = star.provider_candidates(prepared, _PARTITION).hint("rebalance", *_PARTITION)
-        overwrite_partitions(candidates, self.providers_path, _PARTITION)
 
     def commit(self, spark: SparkSession, versions: DataFrame, active: bool = True) -> None:
         """Append manifest rows for ``source_id, fingerprint`` pairs."""
@@ -132,7 +120,8 @@ class StarStore:
         ``canonical`` has a ``source_id`` column, best a partition column, so that only
         stale sources are read.
         """
-        changes = self.changes(spark, fingerprints, force)
+        # One row per source, used by several jobs below.
+        changes = materialize(self.changes(spark, fingerprints, force), "source-changes")
         found = {row["change"]: row["count"] for row in changes.groupBy("change").count().collect()}
         if any(found.get(kind) for kind in _STALE):
             stale = changes.where(F.col("change").isin(*_STALE)).select("source_id", "fingerprint")
@@ -150,7 +139,7 @@ class StarStore:
         """Write the fact and its ten dimensions, after checking that keys are unique."""
         publish_version(self.fact(spark).hint("rebalance", "time_id"), f"{self.root}/fact", ["time_id"])
         fact = read_current(spark, f"{self.root}/fact").withColumn("time_id", F.col("time_id").cast("string"))
-        dims = star.dimensions(fact, lookup, self.providers(spark))
+        dims = star.dimensions(fact, lookup)
         for name, dim in dims.items():
             require_unique(dim, [star.DIMENSION_KEYS[name]], name)
             write_dimension(dim, f"{self.root}/dimensions/{name}")

@@ -1,15 +1,22 @@
-"""File inventory, content checks and content hashes, spread over tasks by file."""
+"""File inventory, hashes, footers and validation, spread over tasks by file."""
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
-_CHECK_SCHEMA = "path string, size_bytes long, modified_at timestamp, sha256 string, signature_ok boolean"
+_PROBE_SCHEMA = (
+    "path string, size_bytes long, modified_at timestamp, sha256 string, signature_ok boolean, records long, "
+    "columns array<struct<column: string, dtype: string>>, read_error string"
+)
 _BLOCK = 8 * 1024 * 1024
 
 
@@ -26,62 +33,71 @@ def file_inventory(spark: SparkSession, root: str, pattern: str = "*") -> DataFr
     )
 
 
-def with_content_checks(inventory: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Add SHA-256 and the Parquet signature test to an inventory.
+def probe_files(inventory: DataFrame, partitions: int | None = None, hashes: bool = True) -> DataFrame:
+    """Add hash, Parquet signature, row count and schema to every file of an inventory.
 
-    Each file is streamed in blocks inside a task, so its size is not bound by
-    memory. ``partitions`` spreads many small files over more tasks.
+    Each task opens its own files: the footer gives rows and schema, and with
+    ``hashes`` the content is streamed in blocks, so a file's size is not bound by
+    memory. ``partitions`` spreads many small files over more tasks. Files that
+    cannot be read as Parquet get a ``read_error`` instead of failing the job.
     """
-    spread = inventory.select("path", "size_bytes", "modified_at")
+    listed = inventory.select("path", "size_bytes", "modified_at")
     if partitions:
-        spread = spread.repartition(partitions, "path")
-    return spread.mapInPandas(_check_batches, _CHECK_SCHEMA)
-
-
-def _check_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        checked = [_check_file(path) for path in batch["path"]]
-        yield batch.assign(
-            sha256=[digest for digest, _ in checked],
-            signature_ok=[signed for _, signed in checked],
-        )
-
-
-def _check_file(path: str) -> tuple[str, bool]:
-    from pyarrow import fs
-
-    filesystem, inner = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if _one_slash(path) else path)
-    digest, first, last, size = hashlib.sha256(), b"", b"", 0
-    with filesystem.open_input_stream(inner) as stream:
-        while block := stream.read(_BLOCK):
-            digest.update(block)
-            first = first or block[:4]
-            last = (last + block)[-4:]
-            size += len(block)
-    return digest.hexdigest(), size >= 8 and first == last == b"PAR1"
-
-
-def _one_slash(path: str) -> bool:
-    return path.startswith("file:/") and not path.startswith("file://")
+        listed = listed.repartition(partitions, "path")
+
+    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = pd.DataFrame([_probe(path, hashes) for path in batch["path"]], columns=_PROBED, index=batch.index)
+            found["records"] = found["records"].astype("Int64")
+            yield pd.concat([batch, found], axis=1)
+
+    return listed.mapInPandas(probe, _PROBE_SCHEMA)
+
+
+_PROBED = ["sha256", "signature_ok", "records", "columns", "read_error"]
+
+
+def _probe(path: str, hashes: bool) -> tuple:
+    filesystem, inner = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+    with filesystem.open_input_file(inner) as opened:
+        size = opened.size()
+        signed = size >= 8 and opened.read_at(4, 0) == opened.read_at(4, size - 4) == b"PAR1"
+    digest = None
+    if hashes:
+        sha = hashlib.sha256()
+        with filesystem.open_input_stream(inner) as stream:
+            while block := stream.read(_BLOCK):
+                sha.update(block)
+        digest = sha.hexdigest()
+    try:
+        with filesystem.open_input_file(inner) as opened:
+            footer = pq.read_metadata(opened)
+        fields = from_arrow_schema(footer.schema.to_arrow_schema(), prefer_timestamp_ntz=True).fields
+    except Exception as error:  # noqa: BLE001 - any reader error marks the file, not the job
+        return digest, signed, None, None, str(error)
+    columns = [{"column": f.name, "dtype": f.dataType.simpleString()} for f in fields]
+    return digest, signed, footer.num_rows, columns, None
 
 
 def row_counts_by_file(df: DataFrame) -> DataFrame:
-    """Rows per source file of a file-based frame."""
+    """Rows per source file of a file-based frame, after any filters."""
     return df.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("records"))
 
 
-def validate_files(checked: DataFrame, counts: DataFrame, extension: str = ".parquet") -> DataFrame:
-    """Status and first error per file, from content checks and row counts.
+def schemas_by_file(probed: DataFrame) -> DataFrame:
+    """One row per file and column."""
+    return probed.select("path", F.inline("columns"))
 
-    A file without a row-count entry could not be read, or holds no rows.
-    """
+
+def validate_files(probed: DataFrame, extension: str = ".parquet") -> DataFrame:
+    """Status and first error of every probed file."""
     error = (
         F.when(F.col("size_bytes") == 0, F.lit("empty file"))
         .when(~F.lower("path").endswith(extension), F.lit("wrong extension"))
         .when(~F.col("signature_ok"), F.lit("bad signature"))
-        .when(F.col("records").isNull(), F.lit("not readable"))
+        .when(F.col("read_error").isNotNull(), F.concat(F.lit("not readable: "), "read_error"))
     )
-    return checked.join(counts, "path", "left").select(
+    return probed.select(
         "path",
         "size_bytes",
         F.bround(F.col("size_bytes") / F.lit(1024**3), 4).alias("size_gb"),

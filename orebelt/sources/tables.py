@@ -46,14 +46,15 @@ def read_period(spark: SparkSession, base: str, taxi_type: str, year: int, month
 
 
 def with_source_identity(df: DataFrame) -> DataFrame:
-    """Dataset type and year parsed from the name of the file each row came from."""
-    name = F.lower(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
-    pattern = "^(" + "|".join(sorted(TAXI_TYPES, key=len, reverse=True)) + r")_(\d{4})"
-    taxi = F.regexp_extract(name, pattern, 1)
+    """Dataset type and year parsed from the name of the file or dataset folder of each row."""
+    kinds = "|".join(sorted(TAXI_TYPES, key=len, reverse=True))
+    pattern = rf"(?:^|[/=])({kinds})_(\d{{4}})[^/]*(?:/[^/]*)?$"
+    path = F.lower("_metadata.file_path")
+    kind = F.regexp_extract(path, pattern, 1)
     return df.select(
         "*",
-        F.when(taxi != "", taxi).otherwise(F.lit("desconocido")).alias("source_type"),
-        F.regexp_extract(name, pattern, 2).try_cast("int").alias("source_year"),
+        F.when(kind != "", kind).otherwise(F.lit("desconocido")).alias("source_type"),
+        F.regexp_extract(path, pattern, 2).try_cast("int").alias("source_year"),
     )
 
 

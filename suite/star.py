@@ -108,8 +108,7 @@ for _role in ("pickup", "dropoff"):
     ),
 )
 def dim_provider(spark, sf_dir):
-    prepared = star.star_input(t.canonical(spark, sf_dir))
-    return star.dim_provider(star.provider_candidates(prepared))
+    return star.dim_provider(t.fact(spark, sf_dir))
 
 
 @query(
@@ -142,9 +141,8 @@ def ref_check(spark, sf_dir):
 )
 def key_check(spark, sf_dir):
     """All ten dimensions of the stored fact: unique keys, no orphans."""
-    prepared = materialize(star.star_input(t.canonical(spark, sf_dir)), "prepared")
-    facts = materialize(star.merge_contributions(star.fact_contribution(prepared)), "fact")
-    dims = star.dimensions(facts, t.zones(spark, sf_dir), star.provider_candidates(prepared))
+    facts = materialize(t.fact(spark, sf_dir), "fact")
+    dims = star.dimensions(facts, t.zones(spark, sf_dir))
     return star.key_check(dims, facts)
 
 
