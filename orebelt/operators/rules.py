@@ -21,7 +21,7 @@ from orebelt import contract
 from orebelt.functions.names import find_column, quoted
 from orebelt.functions.values import elapsed_seconds
 from orebelt.operators.shape import dedup_by_key, dedup_rows
-from orebelt.session import small_side
+from orebelt.session import materialize, small_side
 
 UNIQUE_ROWS = "unique_rows"
 
@@ -150,6 +150,7 @@ class RuleSet:
         self.after = self.applicable[cut + 1 :]
         self.has_unique = cut < len(self.applicable)
         self.guarded = next((r for r in self.after if r.only_if_any), None)
+        self._hits = {r: F.when(self.violates(r), F.lit(self.position(r))) for r in (*self.before, *self.after)}
 
     def violates(self, rule: Rule) -> Column:
         passed = F.coalesce(rule.test(*[self.roles[r] for r in rule.roles]), F.lit(rule.null_passes))
@@ -159,10 +160,18 @@ class RuleSet:
         return failed
 
     def first_failure(self, rules: Sequence[Rule]) -> Column:
-        """Id of the first rule the row fails, NULL if none."""
+        """Position of the first rule the row fails, NULL if none."""
         if not rules:
-            return F.lit(None).cast("string")
-        return F.coalesce(*[F.when(self.violates(rule), F.lit(rule.rule_id)) for rule in rules])
+            return F.lit(None).cast("int")
+        return F.coalesce(*[self._hits[rule] for rule in rules])
+
+    def position(self, rule: Rule) -> int:
+        """Place of a rule in the order, from 1."""
+        return self.rules.index(rule) + 1
+
+    def rule_at(self, position: Column) -> Column:
+        """Id of the rule at a position."""
+        return F.get(F.array(*[F.lit(rule.rule_id) for rule in self.rules]), position - 1)
 
     def groups(self) -> DataFrame:
         """Distinct rows with copies and first failures, with and without the guarded rule."""
@@ -190,21 +199,27 @@ class RuleSet:
     def counts(self) -> DataFrame:
         """Removed records per scope and rule, one row each, in rule order.
 
-        One shuffle of distinct rows, then one partial aggregate per scope.
+        One shuffle of distinct rows. They are then merged per scope and verdict, which
+        leaves a handful of rows to spread over the rules.
         """
-        groups = self.groups()
+        verdict = ("_before", "_after_on", "_after_off", "_guard_seen")
+        per_verdict = (
+            self.groups()
+            .groupBy(*self.scope, *verdict)
+            .agg(F.sum("_copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+        )
         survived = F.col("_before").isNull()
         sums = [F.sum("_copies").alias("_original"), F.max("_guard_seen").alias("_guard_on")]
         for rule in self.before:
-            sums.append(_sum_when(F.col("_before") == rule.rule_id, F.col("_copies")).alias(rule.rule_id))
+            hit = F.col("_before") == self.position(rule)
+            sums.append(_sum_when(hit, F.col("_copies")).alias(rule.rule_id))
         if self.has_unique:
-            sums.append(_sum_when(survived, F.col("_copies") - 1).alias(UNIQUE_ROWS))
+            sums.append(_sum_when(survived, F.col("_copies") - F.col("_rows")).alias(UNIQUE_ROWS))
         for rule in self.after:
             for mode in ("on", "off"):
-                hit = survived & (F.col(f"_after_{mode}") == rule.rule_id)
-                kept = F.lit(1) if self.has_unique else F.col("_copies")
-                sums.append(_sum_when(hit, kept).alias(f"{rule.rule_id}|{mode}"))
-        wide = groups.groupBy(*self.scope).agg(*sums)
+                hit = survived & (F.col(f"_after_{mode}") == self.position(rule))
+                sums.append(_sum_when(hit, F.col("_rows")).alias(f"{rule.rule_id}|{mode}"))
+        wide = per_verdict.groupBy(*self.scope).agg(*sums)
 
         def removed(rule: Rule) -> Column:
             if rule not in self.applicable:
@@ -245,7 +260,8 @@ class RuleSet:
         )
         same = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(self.scope)]
         needs_scope = self.roles[self.guarded.only_if_any].isNull()
-        return small_side(seen.distinct()), [needs_scope, *same]
+        # One row per dataset and year; stored so that checking its size costs no second scan.
+        return small_side(materialize(seen.distinct(), "open-scopes")), [needs_scope, *same]
 
     def survivors(self) -> DataFrame:
         """Distinct rows that pass every rule; rejected rows never reach the shuffle."""
@@ -270,7 +286,7 @@ class RuleSet:
         return groups.select(
             *[quoted(c) for c in self.df.columns],
             "_copies",
-            F.coalesce(F.col("_before"), after).alias("_rule"),
+            self.rule_at(F.coalesce(F.col("_before"), after)).alias("_rule"),
             F.col("_before").isNotNull().alias("_all_copies"),
         )
 

@@ -96,7 +96,9 @@ def lines_to_trips(lines: DataFrame, spark: SparkSession, sf_dir: str, carry: tu
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    placed = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    # Orders and customers grow with the trips, so they are joined by shuffle, never broadcast;
+    # adaptive execution splits hot keys.
+    placed = orders.join(customer.hint("shuffle_merge"), orders.o_custkey == customer.c_custkey).hint("shuffle_merge")
     joined = lines.join(placed, lines.l_orderkey == placed.o_orderkey).join(
         supplier, lines.l_suppkey == supplier.s_suppkey
     )
