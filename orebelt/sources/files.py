@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 _PROBE_SCHEMA = (
-    "path string, size_bytes long, modified_at timestamp, sha256 string, signature_ok boolean, records long, "
-    "columns array<struct<column: string, dtype: string>>, read_error string"
+    "path string, exists boolean, size_bytes long, modified_at timestamp, sha256 string, signature_ok boolean, "
+    "records long, columns array<struct<column: string, dtype: string>>, read_error string"
 )
 _BLOCK = 8 * 1024 * 1024
 
 
 def file_inventory(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Path, size and modification time of every file under a root.
+    """Path, size and modification time of every non-empty file under a root.
 
-    Only the listing is read: the content column is pruned from the scan.
+    Only the listing is read: the content column is pruned from the scan. Spark's
+    listing leaves out empty files; probe a catalog of paths to find those.
     """
     files = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True).load(root)
     return files.select(
@@ -33,50 +34,57 @@ def file_inventory(spark: SparkSession, root: str, pattern: str = "*") -> DataFr
     )
 
 
-def probe_files(inventory: DataFrame, partitions: int | None = None, hashes: bool = True) -> DataFrame:
-    """Add hash, Parquet signature, row count and schema to every file of an inventory.
+def probe_files(paths: DataFrame, partitions: int | None = None, hashes: bool = True) -> DataFrame:
+    """Existence, size, hash, Parquet signature, row count and schema per path.
 
-    Each task opens its own files: the footer gives rows and schema, and with
-    ``hashes`` the content is streamed in blocks, so a file's size is not bound by
-    memory. ``partitions`` spreads many small files over more tasks. Files that
-    cannot be read as Parquet get a ``read_error`` instead of failing the job.
+    ``paths`` has a ``path`` column: a catalog of expected files or an inventory. Each
+    task opens its own files: the footer gives rows and schema, and with ``hashes``
+    the content is streamed in blocks, so a file's size is not bound by memory.
+    ``partitions`` spreads many small files over more tasks. Files that cannot be
+    read as Parquet get a ``read_error`` instead of failing the job.
     """
-    listed = inventory.select("path", "size_bytes", "modified_at")
+    listed = paths.select("path")
     if partitions:
         listed = listed.repartition(partitions, "path")
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = pd.DataFrame([_probe(path, hashes) for path in batch["path"]], columns=_PROBED, index=batch.index)
-            found["records"] = found["records"].astype("Int64")
-            yield pd.concat([batch, found], axis=1)
+            whole = found.astype({"records": "Int64", "size_bytes": "Int64"})
+            whole["modified_at"] = pd.to_datetime(whole["modified_at"], utc=True)
+            yield pd.concat([batch, whole], axis=1)
 
     return listed.mapInPandas(probe, _PROBE_SCHEMA)
 
 
-_PROBED = ["sha256", "signature_ok", "records", "columns", "read_error"]
+_PROBED = ["exists", "size_bytes", "modified_at", "sha256", "signature_ok", "records", "columns", "read_error"]
 
 
 def _probe(path: str, hashes: bool) -> tuple:
     filesystem, inner = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+    info = filesystem.get_file_info(inner)
+    if info.type != fs.FileType.File:
+        return False, None, None, None, False, None, None, None
     with filesystem.open_input_file(inner) as opened:
-        size = opened.size()
-        signed = size >= 8 and opened.read_at(4, 0) == opened.read_at(4, size - 4) == b"PAR1"
-    digest = None
-    if hashes:
-        sha = hashlib.sha256()
-        with filesystem.open_input_stream(inner) as stream:
-            while block := stream.read(_BLOCK):
-                sha.update(block)
-        digest = sha.hexdigest()
+        signed = info.size >= 8 and opened.read_at(4, 0) == opened.read_at(4, info.size - 4) == b"PAR1"
+    digest = _digest(filesystem, inner) if hashes else None
+    known = (True, info.size, info.mtime, digest, signed)
     try:
         with filesystem.open_input_file(inner) as opened:
             footer = pq.read_metadata(opened)
         fields = from_arrow_schema(footer.schema.to_arrow_schema(), prefer_timestamp_ntz=True).fields
     except Exception as error:  # noqa: BLE001 - any reader error marks the file, not the job
-        return digest, signed, None, None, str(error)
+        return *known, None, None, str(error)
     columns = [{"column": f.name, "dtype": f.dataType.simpleString()} for f in fields]
-    return digest, signed, footer.num_rows, columns, None
+    return *known, footer.num_rows, columns, None
+
+
+def _digest(filesystem: fs.FileSystem, path: str) -> str:
+    sha = hashlib.sha256()
+    with filesystem.open_input_stream(path) as stream:
+        while block := stream.read(_BLOCK):
+            sha.update(block)
+    return sha.hexdigest()
 
 
 def row_counts_by_file(df: DataFrame) -> DataFrame:
@@ -92,7 +100,8 @@ def schemas_by_file(probed: DataFrame) -> DataFrame:
 def validate_files(probed: DataFrame, extension: str = ".parquet") -> DataFrame:
     """Status and first error of every probed file."""
     error = (
-        F.when(F.col("size_bytes") == 0, F.lit("empty file"))
+        F.when(~F.col("exists"), F.lit("missing file"))
+        .when(F.col("size_bytes") == 0, F.lit("empty file"))
         .when(~F.lower("path").endswith(extension), F.lit("wrong extension"))
         .when(~F.col("signature_ok"), F.lit("bad signature"))
         .when(F.col("read_error").isNotNull(), F.concat(F.lit("not readable: "), "read_error"))
