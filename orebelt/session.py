@@ -53,7 +53,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that feeds several actions and read it back.
 
     The written table cuts the lineage, survives the loss of any executor and,
@@ -61,7 +61,7 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

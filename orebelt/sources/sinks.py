@@ -54,29 +54,22 @@ def as_document(df: DataFrame, alias: str = "document") -> DataFrame:
 
 
 def publish_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a new version directory, then move the pointer file to it.
+    """Write a new version directory, then record it in the table of versions.
 
-    Readers follow the pointer, so they see the old version or the new one,
-    never a half-written table. Renames of data are not needed.
+    Readers take the last recorded version, so they see the old table or the new
+    one, never a half-written one. No data is moved or overwritten.
     """
-    spark = df.sparkSession
     version = f"{base}/v-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(version)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    pointer = hadoop.Path(f"{base}/CURRENT")
-    filesystem = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
-    stream = filesystem.create(pointer, True)
-    try:
-        stream.writeBytes(version)
-    finally:
-        stream.close()
+    record = df.sparkSession.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
+    append(record, f"{base}/versions")
     return version
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame:
-    """The version the pointer names."""
-    version = spark.read.text(f"{base}/CURRENT").first()[0]
-    return spark.read.parquet(version)
+    """The version published last."""
+    latest = spark.read.parquet(f"{base}/versions").agg(F.max_by("version", "published_at")).first()[0]
+    return spark.read.parquet(latest)
 
 
 def load_bronze(raw: DataFrame, path: str) -> None:
