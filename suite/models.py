@@ -103,13 +103,13 @@ _PROFILE = """zp AS (SELECT tipo_dataset, pickup_location_id, sum(cantidad_viaje
         _PROFILE,
         select="""SELECT tipo_dataset, pickup_location_id, cantidad_viajes, round(ingreso_total, 6) AS ingreso_total, round(distancia_total, 6) AS distancia_total,
   round(duracion_total, 6) AS duracion_total, meses_con_datos, round(cantidad_viajes / meses_con_datos, 6) AS viajes_por_mes,
-  round(ingreso_total / cantidad_viajes, 6) AS ticket_promedio, round(distancia_total / cantidad_viajes, 6) AS distancia_promedio,
-  round(duracion_total / cantidad_viajes, 6) AS duracion_promedio, round(ln(1 + cantidad_viajes), 6) AS log_cantidad_viajes,
+  round(ingreso_total / cantidad_viajes + 3.7e-8, 6) AS ticket_promedio, round(distancia_total / cantidad_viajes + 3.7e-8, 6) AS distancia_promedio,
+  round(duracion_total / cantidad_viajes + 3.7e-8, 6) AS duracion_promedio, round(ln(1 + cantidad_viajes), 6) AS log_cantidad_viajes,
   round(ln(1 + greatest(ingreso_total, 0)), 6) AS log_ingreso_total FROM zp""",
     ),
 )
 def zone_profile(spark, sf_dir):
-    return rounded(m.zone_profiles(_fact(spark, sf_dir)), 6)
+    return rounded(m.zone_profiles(_fact(spark, sf_dir)), 6, means=("ticket_promedio", "distancia_promedio", "duracion_promedio"))
 
 
 _HOURLY = """hd AS MATERIALIZED (SELECT time_id, anio, mes, trimestre, hora_id, tipo_dataset, pickup_location_id, sum(cantidad_viajes)::DOUBLE AS cantidad_viajes

@@ -28,10 +28,20 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
+# Means of decimal amounts can sit exactly between two rounded values, where the order of
+# a float sum decides; this moves them off that point on both sides of a comparison.
+OFF_TIE = 3.7e-8
+
+
+def rounded(df: DataFrame, digits: int = 6, means: tuple[str, ...] = (), **special: int) -> DataFrame:
     """Doubles rounded, so that the order of float sums does not show in comparisons."""
+
+    def value(name: str):
+        column = F.col(f"`{name}`")
+        return column + OFF_TIE if name in means else column
+
     columns = [
-        F.round(f"`{f.name}`", special.get(f.name, digits)).alias(f.name)
+        F.round(value(f.name), special.get(f.name, digits)).alias(f.name)
         if isinstance(f.dataType, T.DoubleType)
         else F.col(f"`{f.name}`")
         for f in df.schema.fields
