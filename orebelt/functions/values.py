@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,8 +27,14 @@ def ratio(part: Column, whole: Column, default: float | None = None) -> Column:
 
 
 def elapsed_seconds(start: Column, end: Column) -> Column:
-    """Whole seconds between two timestamps, NULL if either is missing."""
-    return F.timestamp_diff("SECOND", start, end)
+    """Whole seconds between two wall-clock times, NULL if either is missing.
+
+    Subtracting local timestamps does not involve the session time zone, so hours
+    that a zone skips or repeats do not distort trips.
+    """
+    gap = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
+    parts = {"DAY": 86400, "HOUR": 3600, "MINUTE": 60, "SECOND": 1}
+    return reduce(Column.__add__, [F.extract(F.lit(unit), gap).cast("bigint") * n for unit, n in parts.items()])
 
 
 def elapsed_minutes(start: Column, end: Column) -> Column:
@@ -38,7 +45,7 @@ def month_key(moment: Column, year: Column, month: Column) -> Column:
     """``yyyy-MM`` of the timestamp, else of a plausible year and month, else the sentinel."""
     plausible = year.between(1900, 2200) & month.between(1, 12)
     return F.coalesce(
-        F.date_format(moment, "yyyy-MM"),
+        F.when(moment.isNotNull(), F.format_string("%04d-%02d", F.year(moment), F.month(moment))),
         F.when(plausible, F.format_string("%04d-%02d", year, month)),
         F.lit(NO_DATE),
     )

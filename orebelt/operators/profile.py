@@ -115,7 +115,7 @@ def _distinct_counts(df: DataFrame, by: Sequence[str], names: Sequence[str]) ->
 def _cell(df: DataFrame, index: int, name: str) -> Column:
     """A value in the slot of its type class; slots keep values exact without text casts."""
     value, kind = quoted(name), df.schema[name].dataType
-    whole = number = text = None
+    whole = number = text = moment = None
     if isinstance(kind, T.BooleanType | T.ByteType | T.ShortType | T.IntegerType | T.LongType):
         whole = value.cast("long")
     elif isinstance(kind, T.DateType):
@@ -123,7 +123,7 @@ def _cell(df: DataFrame, index: int, name: str) -> Column:
     elif isinstance(kind, T.TimestampType):
         whole = F.unix_micros(value)
     elif isinstance(kind, T.TimestampNTZType):
-        whole = F.unix_micros(F.to_utc_timestamp(value.cast("timestamp"), F.current_timezone()))
+        moment = value
     elif isinstance(kind, T.FloatType | T.DoubleType):
         number = value.cast("double")
     elif isinstance(kind, T.StringType):
@@ -136,6 +136,7 @@ def _cell(df: DataFrame, index: int, name: str) -> Column:
         (F.lit(None).cast("long") if whole is None else whole).alias("_l"),
         (F.lit(None).cast("double") if number is None else number).alias("_d"),
         (F.lit(None).cast("string") if text is None else text).alias("_s"),
+        (F.lit(None).cast("timestamp_ntz") if moment is None else moment).alias("_t"),
     )
 
 

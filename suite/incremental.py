@@ -36,15 +36,17 @@ def _fingerprints(spark, sf_dir, before=None):
         F.concat_ws("_", "c_mktsegment", "c_nationkey").alias("source_id"),
         F.col("o_orderkey").cast("string").alias("path"),
         F.col("o_custkey").alias("size_bytes"),
-        F.col("o_orderdate").cast("timestamp").alias("modified_at"),
+        F.timestamp_micros(
+            F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("o_orderdate"))
+        ).alias("modified_at"),
     )
     return inc.source_fingerprints(files)
 
 
-@query("inc_source_fingerprints", with_ctes(_finger("f"), select="SELECT * REPLACE (latest_modified::VARCHAR AS latest_modified) FROM f"))
+@query("inc_source_fingerprints", with_ctes(_finger("f"), select="SELECT * REPLACE (epoch_us(latest_modified) AS latest_modified) FROM f"))
 def fingerprints(spark, sf_dir):
     prints = _fingerprints(spark, sf_dir)
-    return prints.withColumn("latest_modified", F.date_format("latest_modified", "yyyy-MM-dd HH:mm:ss"))
+    return prints.withColumn("latest_modified", F.unix_micros("latest_modified"))
 
 
 @query(

@@ -83,3 +83,17 @@ def test_key_dedup_is_the_same_for_any_partitioning(spark):
 def test_key_dedup_keeps_null_keys(spark):
     df = spark.createDataFrame([(None, 2), (None, 1), (1, 5)], "k int, v int")
     assert {tuple(r) for r in dedup_by_key(df, ["k"]).collect()} == {(None, 1), (1, 5)}
+
+
+def test_durations_do_not_depend_on_the_session_zone(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (timestamp_ntz'1996-04-07 01:30:00', timestamp_ntz'1996-04-07 03:30:00'), "
+        "(timestamp_ntz'1996-04-07 02:30:00', timestamp_ntz'1996-04-05 02:29:59'), (NULL, timestamp_ntz'1996-04-07 03:30:00') AS t(a, b)"
+    )
+    seconds = df.select(values.elapsed_seconds(F.col("a"), F.col("b")))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert [r[0] for r in seconds.collect()] == [7200, -172801, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
