@@ -29,3 +29,9 @@ def window_hashes(tokens: Column, width: int) -> Column:
     last = F.greatest(F.size(tokens) - F.lit(width - 1), F.lit(1))
     runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(tokens, i, width)))
     return F.when(F.size(tokens) > 0, runs).otherwise(F.array().cast("array<bigint>"))
+
+
+def quality_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling weight of labelled documents: good ones twice as likely, poor ones half."""
+    labels = table(spark, sf_dir, "labels")
+    return labels.select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).alias("quality"))

@@ -2,13 +2,60 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebelt.llm import decontaminate, mixing, simhash
-from orebelt.llm.common import table
+from orebelt.llm import decontaminate, language, lines, mixing, simhash
+from orebelt.llm.common import quality_weights, table
 from orebelt.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
+_OP5 = r"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+txt AS (SELECT DISTINCT text, ls FROM doc WHERE text IS NOT NULL),
+line AS (SELECT text, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM txt),
+tok AS (SELECT text, line, pos, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS raw FROM line),
+nb AS (
+  SELECT text, line, pos, raw, len(raw) AS n,
+         coalesce(lag(len(raw)) OVER (PARTITION BY text ORDER BY pos), 0) AS prev,
+         coalesce(lead(len(raw)) OVER (PARTITION BY text ORDER BY pos), 0) AS next
+  FROM tok),
+seen AS (
+  SELECT text, line, pos, prev, next, n, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END FOR t IN raw] AS toks FROM nb WHERE n >= 4),
+leafed AS (SELECT *, {'n': n, 'lead': toks[1:3]} AS leaf FROM seen),
+mine AS (SELECT * FROM leafed WHERE leaf IN (SELECT leaf FROM leafed GROUP BY leaf HAVING count(DISTINCT text) >= 3)),
+body AS (SELECT leaf, line, any_value(toks) AS toks, count(DISTINCT text) AS w FROM mine GROUP BY leaf, line),
+token AS (SELECT leaf, line, w, unnest(toks) AS token, unnest(range(1, len(toks) + 1)) AS idx FROM body),
+frequent AS (SELECT leaf, idx, token FROM token WHERE token <> '<*>' GROUP BY leaf, idx, token HAVING sum(w) >= 3),
+part AS (
+  SELECT token.leaf, line, token.idx, CASE WHEN frequent.token IS NULL THEN '<*>' ELSE token.token END AS part, frequent.token IS NOT NULL AS fixed
+  FROM token LEFT JOIN frequent ON token.leaf = frequent.leaf AND token.idx = frequent.idx AND token.token = frequent.token),
+tpl AS (
+  SELECT line, string_agg(part, ' ' ORDER BY idx) AS template FROM part GROUP BY leaf, line
+  HAVING count(*) FILTER (WHERE fixed) >= 0.6 * count(*)),
+spot AS (SELECT template, text, min({'a': prev, 'b': next}) AS place FROM mine JOIN tpl USING (line) GROUP BY template, text),
+rec AS (
+  SELECT template FROM spot GROUP BY template
+  HAVING count(*) >= 3 AND count(DISTINCT place) >= greatest(least(count(*) / 2.0, 64), 3)),
+gone AS (SELECT DISTINCT text, pos FROM seen JOIN tpl USING (line) JOIN rec USING (template)),
+kept AS (
+  SELECT line.text, count(*) FILTER (WHERE gone.pos IS NOT NULL) AS n_dropped,
+         string_agg(line.line, chr(10) ORDER BY line.pos) FILTER (WHERE gone.pos IS NULL) AS body
+  FROM line LEFT JOIN gone ON line.text = gone.text AND line.pos = gone.pos GROUP BY line.text)
+SELECT doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, coalesce(length(coalesce(body, '')), 0) AS n_chars_kept,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (text)
+"""
+
+
+@query("op5_line_templates", _OP5)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose template recurs across documents."""
+    kept = lines.drop_recurring_lines(table(spark, sf_dir, "documents"), counts=True)
+    body = F.coalesce("text", F.lit(""))
+    return kept.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.length(body).cast("long").alias("n_chars_kept"), F.sha2(body, 256).alias("kept_sha256"))
+
+
 _OP6 = r"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS item,
@@ -42,18 +89,22 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query("op7_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the two folds that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.held_out(F.col("doc_id"), 3, 1)
+    model = language.fit(docs.where(~held_out))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 @query("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
-def label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampling weight of labelled documents: good ones twice as likely, poor ones half."""
-    labels = table(spark, sf_dir, "labels")
-    return labels.select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).alias("quality"))
-
-
 _OP9 = r"""
 WITH RECURSIVE doc AS (
   SELECT d.doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
@@ -87,5 +138,11 @@ FROM run
 @query("op9_mixing", _OP9)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all sources takes from every document."""
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), quality=label_quality(spark, sf_dir))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), quality=quality_weights(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language, lines, near copies, decontamination and mixing over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
