@@ -3,13 +3,54 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebelt.llm import decontaminate, language, lines, mixing, simhash
+from orebelt.llm import chat, decontaminate, language, lines, mixing, simhash, tokens
 from orebelt.llm.common import quality_weights, table
 from orebelt.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
+_OP3 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, 20 + length(role) + length(text)
+         + len(regexp_extract_all(role, '[<\[]~*(\||/?s>|/?INST\])')) + len(regexp_extract_all(text, '[<\[]~*(\||/?s>|/?INST\])')) AS n
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) + 2 * count(*) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+@query("op3_chat", _OP3)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, then read back from the format."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], turns.schema)
+    turns = turns.unionAll(own).select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("content"))
+    formatted = chat.format_chats(turns)
+    back = chat.read_back(formatted)
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        "loss_chars", F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the 32,000-piece model."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
 _OP5 = r"""
 WITH doc AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 txt AS (SELECT DISTINCT text, ls FROM doc WHERE text IS NOT NULL),
