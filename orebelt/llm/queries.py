@@ -7,10 +7,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebelt.llm import chat, decontaminate, language, lines, mixing, simhash, tokens
+from orebelt.llm import ann, chat, decontaminate, language, lines, mixing, simhash, tokens
 from orebelt.llm.common import quality_weights, table
 from orebelt.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
+@query("op1_nearest")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth vector among all."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
 _OP3 = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
