@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebelt.llm import ann, chat, decontaminate, language, lines, mixing, simhash, tokens
+from orebelt.llm import ann, chat, decontaminate, language, licenses, lines, mixing, simhash, tokens
 from orebelt.llm.common import quality_weights, table
 from orebelt.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -18,6 +18,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(vectors, F.col("vec_id") % 100 == 0)
 
 
+@query("op2_licenses")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses that the documents state, with the wording's differences."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 _OP3 = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
