@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebelt.llm import ann, chat, decontaminate, language, licenses, lines, mixing, simhash, tokens
+from orebelt.llm import ann, chat, decontaminate, language, licenses, lines, mixing, mixlm, simhash, tokens
 from orebelt.llm.common import quality_weights, table
 from orebelt.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -200,3 +200,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language, lines, near copies, decontamination and mixing over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op10_context_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document, learned from the six folds that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.held_out(F.col("doc_id"), 7, 2)
+    scored = mixlm.score_documents(docs, ~held_out)
+    return scored.withColumn("held_out", held_out)
