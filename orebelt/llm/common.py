@@ -24,10 +24,18 @@ def words(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
 
 
+def run_hash(tokens: Column, width: int, first: Column | int = 0) -> Column:
+    """XXH64 of the ``width`` tokens from ``first`` on (what lies beyond the end is left out).
+
+    Single elements are read: a slice would copy the whole list for each run.
+    """
+    return F.xxhash64(*[F.get(tokens, F.lit(first) + j if isinstance(first, int) else first + j) for j in range(width)])
+
+
 def window_hashes(tokens: Column, width: int) -> Column:
-    """XXH64 of each run of ``width`` tokens; a shorter, non-empty list is one run."""
-    last = F.greatest(F.size(tokens) - F.lit(width - 1), F.lit(1))
-    runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(tokens, i, width)))
+    """Hash of each run of ``width`` tokens; a shorter, non-empty list is one run."""
+    last = F.greatest(F.size(tokens) - F.lit(width), F.lit(0))
+    runs = F.transform(F.sequence(F.lit(0), last), lambda i: run_hash(tokens, width, i))
     return F.when(F.size(tokens) > 0, runs).otherwise(F.array().cast("array<bigint>"))
 
 

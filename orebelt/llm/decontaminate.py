@@ -10,14 +10,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orebelt.llm.common import ascii_lower, window_hashes, words
+from orebelt.llm.common import ascii_lower, run_hash, window_hashes, words
 from orebelt.session import materialize
 
 #: ASCII digits and letters, and everything beyond ASCII, make words.
 PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words before A-Z are lower-cased.
+RAW_PATTERN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Windows (about 150 bytes each) broadcast at once; a larger set is cut by hash into parts that
 #: are broadcast one after the other, each to a scan of its own.
 BROADCAST_WINDOWS = 500_000
+#: Words of a text that are looked at together.
+CHUNK = 64
 
 
 def _tokens(text: Column) -> Column:
@@ -34,7 +38,7 @@ def benchmark_windows(benchmark: DataFrame, width: int = 10, item_id: str = "ite
     last = F.greatest(F.size("w") - F.lit(width - 1), F.lit(1))
     window = F.explode(F.transform(F.sequence(F.lit(1), last), lambda i: F.slice("w", i, width))).alias("window")
     each = items.select("item", window).groupBy("window").agg(F.collect_set("item").alias("items"))
-    return each.select(F.size("window").alias("len"), F.xxhash64("window").alias("hash"), "window", "items")
+    return each.select(F.size("window").alias("len"), run_hash(F.col("window"), width).alias("hash"), "window", "items")
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -47,25 +51,32 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, doc_id: str = "
     windows = materialize(benchmark_windows(benchmark, width), "windows")
     lengths = sorted(r[0] for r in windows.select("len").distinct().collect())  # at most ``width`` values
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text), F.lit(1)).alias("key"), _tokens(F.col(text)).alias("w"))
-    # the first element stands for the document itself, the others for its windows in order
+    # long texts are cut into overlapping chunks, so that a window carries a chunk's words at most
+    starts = F.sequence(F.lit(1), F.greatest(F.size("w"), F.lit(1)), F.lit(CHUNK))
+    chunks = F.posexplode(F.transform(starts, lambda i: F.slice("w", i, CHUNK + width - 1))).alias("c", "words")
+    rows = rows.select("doc_id", "key", F.size("w").alias("n_words"), chunks)
+    # the first element stands for the chunk itself, the others for its windows in order
     hashes, length, at, seen = [F.array(F.lit(None).cast("bigint"))], F.lit(0), F.lit(0), F.lit(0)
     for n in lengths:
-        count = F.greatest(F.size("w") - F.lit(n - 1), F.lit(0))
-        hashes.append(F.when(F.size("w") >= n, window_hashes(F.col("w"), n)).otherwise(F.array().cast("array<bigint>")))
+        count = F.least(F.greatest(F.size("words") - F.lit(n - 1), F.lit(0)), F.lit(CHUNK))
+        own = F.slice("words", 1, CHUNK + n - 1)
+        hashes.append(F.when(F.size("words") >= n, window_hashes(F.col("words") if n == width else own, n)).otherwise(F.array().cast("array<bigint>")))
         mine = (F.col("k") > seen) & (F.col("k") <= seen + count)
         length, at, seen = F.when(mine, F.lit(n)).otherwise(length), F.when(mine, F.col("k") - seen).otherwise(at), seen + count
-    rows = rows.select("doc_id", "key", "w", F.posexplode(F.concat(*hashes)).alias("k", "h"))
+    rows = rows.select("doc_id", "key", "n_words", "c", "words", F.posexplode(F.concat(*hashes)).alias("k", "h"))
     parts = max(1, -(-windows.count() // BROADCAST_WINDOWS))
     met = None
     for part in range(parts):
         known = F.broadcast(windows.where(F.pmod("hash", F.lit(parts)) == part))
-        same = (rows["h"] == known["hash"]) & F.slice(rows["w"], F.greatest(at, F.lit(1)), length).eqNullSafe(known["window"])
-        span = F.struct(at.alias("start"), (at + F.col("len")).alias("end"))
-        joined = rows.join(known, same, "left").where(F.col("items").isNotNull() | (F.lit(part == 0) & (F.col("k") == 0)))
-        joined = joined.select("doc_id", "key", F.size("w").alias("n_words"), "k", F.when(F.col("items").isNotNull(), span).alias("span"), "items")
+        joined = rows.join(known, rows["h"] == known["hash"], "left")
+        verified = F.col("items").isNotNull() & (F.slice("words", F.greatest(at, F.lit(1)), length) == F.col("window"))
+        marker = F.lit(part == 0) & (F.col("k") == 0) & (F.col("c") == 0)
+        start = F.col("c") * CHUNK + at
+        span = F.when(F.col("items").isNotNull(), F.struct(start.alias("start"), (start + F.col("len")).alias("end")))
+        joined = joined.where(marker | verified).select("doc_id", "key", "n_words", ((F.col("k") == 0) & (F.col("c") == 0)).alias("first"), span.alias("span"), "items")
         met = joined if met is None else met.unionAll(joined)
     return met.groupBy("doc_id", "key", "n_words").agg(
-        F.sum((F.col("k") == 0).cast("long")).alias("copies"),
+        F.sum(F.col("first").cast("long")).alias("copies"),
         F.sort_array(F.collect_set("span")).alias("spans"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
@@ -116,8 +127,8 @@ def decontaminate(
     marked = whole.join(found, same, "left")
     body = F.col("row")[text]
     # gaps[i] stands before word i; gaps and words alternate, so the text is rebuilt exactly
-    gaps = F.split(body, PATTERN, -1)
-    tokens = words(body, PATTERN)
+    gaps = F.split(body, RAW_PATTERN, -1)
+    tokens = words(body, RAW_PATTERN)
     inside = lambda i: F.exists("_spans", lambda s: (i + 1 >= s["start"]) & (i + 1 < s["end"]))
     kept = F.transform(tokens, lambda w, i: F.when(inside(i), F.lit("")).otherwise(w))
     pairs = F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(kept, i), F.lit(""))))
