@@ -2,7 +2,8 @@
 
 Events are folded with ``max_by`` / ``min_by`` per run, so a run's events are merged
 map-side and never replayed in one place. The order of events is their time, then
-``event_seq``.
+``event_seq``, which the log reader fills with the place in the log where the log has none;
+if it is missing altogether, a finish follows a start of equal time.
 """
 
 from __future__ import annotations
@@ -76,7 +77,11 @@ def _fold(
         )
     )
     has_start = F.col("s_at").isNotNull()
-    ended = F.col("f_at").isNotNull() & (~has_start | (F.col("f_at") > F.col("s_at")))
+    # Unnumbered events of equal time: a finish follows its start.
+    later = F.when(F.col("f_at.occurred_at") != F.col("s_at.occurred_at"), F.col("f_at.occurred_at") > F.col("s_at.occurred_at")).otherwise(
+        F.coalesce(F.col("f_at.event_seq") > F.col("s_at.event_seq"), F.lit(True))
+    )
+    ended = F.col("f_at").isNotNull() & (~has_start | later)
     columns = [F.when(has_start, F.col(f"s.{c}")).otherwise(F.col(f"h.{c}")).alias(c) for c in header]
     columns += [
         F.when(has_start, F.col(f"s.{name}")).otherwise(unstarted[name]).alias(name)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from orebelt.functions.names import quoted
 from orebelt.functions.values import elapsed_minutes
 from orebelt.operators.rules import bind_roles
-from orebelt.session import small_side
 
 _PARTS = ("zone", "borough", "service_zone")
 
@@ -20,7 +19,7 @@ def with_zones(df: DataFrame, lookup: DataFrame) -> DataFrame:
     small; the trips are then not shuffled, however skewed their zones are.
     """
     roles = bind_roles(df)
-    side = small_side(lookup.select("locationid", *_PARTS))
+    side = lookup.select("locationid", *_PARTS)
     for end in ("pickup", "dropoff"):
         column = roles.get(f"{end}_location_id")
         if column is None:

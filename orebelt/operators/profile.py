@@ -19,8 +19,6 @@ from pyspark.sql import types as T
 from orebelt.contract import PROFILED_NUMERIC_TYPES
 from orebelt.functions.names import quoted
 
-_BATCH = 60
-
 
 def column_profile(
     df: DataFrame,
@@ -37,8 +35,7 @@ def column_profile(
     sketches in the first pass and skips the second.
     """
     names = list(columns) if columns is not None else [c for c in df.columns if c not in by]
-    batches = [names[i : i + _BATCH] for i in range(0, len(names), _BATCH)]
-    moments = reduce(DataFrame.unionByName, [_moments(df, by, b, exact_distinct, relative_error) for b in batches])
+    moments = _moments(df, by, names, exact_distinct, relative_error)
     if exact_distinct:
         distinct = _distinct_counts(df, by, names)
         on = [moments[c].eqNullSafe(distinct[c]) for c in by] + [moments["column"] == distinct["column"]]

@@ -21,7 +21,6 @@ from orebelt import contract
 from orebelt.functions.names import find_column, quoted
 from orebelt.functions.values import elapsed_seconds
 from orebelt.operators.shape import dedup_by_key, dedup_rows
-from orebelt.session import materialize, small_side
 
 UNIQUE_ROWS = "unique_rows"
 
@@ -260,8 +259,7 @@ class RuleSet:
         )
         same = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(self.scope)]
         needs_scope = self.roles[self.guarded.only_if_any].isNull()
-        # One row per dataset and year; stored so that checking its size costs no second scan.
-        return small_side(materialize(seen.distinct(), "open-scopes")), [needs_scope, *same]
+        return seen.distinct(), [needs_scope, *same]
 
     def survivors(self) -> DataFrame:
         """Distinct rows that pass every rule; rejected rows never reach the shuffle."""

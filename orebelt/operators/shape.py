@@ -65,6 +65,6 @@ def require_unique(df: DataFrame, keys: Sequence[str], name: str) -> None:
         raise ValueError(f"{name} repeats key {clash[0].asDict()}")
 
 
-def sample_if_large(df: DataFrame, above: int = 1_000_000, fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    """Bernoulli sample of frames with more than ``above`` rows. Runs one count."""
-    return df.sample(fraction=fraction, seed=seed) if df.count() > above else df
+def bernoulli_sample(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
+    """Each row with the given probability, whatever the number of rows; repeatable by seed."""
+    return df.sample(fraction=fraction, seed=seed)

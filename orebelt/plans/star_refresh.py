@@ -20,7 +20,7 @@ from orebelt.contract import FACT_KEYS
 from orebelt.operators import star
 from orebelt.operators.incremental import compare_sources, latest_state
 from orebelt.operators.shape import require_unique, union_by_name
-from orebelt.session import materialize, small_side
+from orebelt.session import materialize
 from orebelt.sources.sinks import append, overwrite_partitions, publish_version, read_current, write_dimension
 
 _KEY_TYPES = {
@@ -71,7 +71,7 @@ class StarStore:
         """Contributions in force; the join prunes the directories of old versions."""
         active = self.manifest(spark).select("source_id", F.col("fingerprint").alias("version"))
         stored = spark.read.schema(CONTRIBUTION_SCHEMA).parquet(self.contributions_path)
-        return stored.join(small_side(active), list(_PARTITION), "left_semi")
+        return stored.join(active, list(_PARTITION), "left_semi")
 
     def fact(self, spark: SparkSession) -> DataFrame:
         """Merged fact of the active contributions, not yet published."""
@@ -125,7 +125,7 @@ class StarStore:
         found = {row["change"]: row["count"] for row in changes.groupBy("change").count().collect()}
         if any(found.get(kind) for kind in _STALE):
             stale = changes.where(F.col("change").isin(*_STALE)).select("source_id", "fingerprint")
-            versions = small_side(stale.withColumnRenamed("fingerprint", "version"))
+            versions = stale.withColumnRenamed("fingerprint", "version")
             self.stage(star.star_input(canonical.join(versions, "source_id"), carry=_PARTITION))
             self.commit(spark, stale)
         if found.get("gone"):

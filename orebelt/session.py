@@ -1,12 +1,12 @@
-"""Session factory, shared scratch folder and size-checked broadcast."""
+"""Session factory and shared scratch folder."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,7 +41,7 @@ def scratch_dir(spark: SparkSession) -> str:
     )
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     own = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", own)
@@ -63,14 +63,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Mark a join side for broadcast only after counting that it is small.
-
-    The check stops after ``max_rows + 1`` rows. A larger side comes back without a
-    hint, so Spark joins by shuffle and adaptive execution splits hot keys.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

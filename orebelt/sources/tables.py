@@ -99,10 +99,18 @@ def lookup_issues(lookup: DataFrame) -> DataFrame:
 
 
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
-    """Append-only JSON-lines audit log; a malformed line fails the read."""
+    """Append-only JSON-lines audit log; a malformed line fails the read.
+
+    Where the log does not number its events, ``event_seq`` becomes the event's place in its
+    file: the byte at which the scan's block begins plus the row within the scan task, which
+    grows along the file because a line takes more than a byte.
+    """
     from orebelt.operators.audit import EVENT_SCHEMA
 
-    return spark.read.schema(EVENT_SCHEMA).option("mode", "FAILFAST").json(path)
+    events = spark.read.schema(EVENT_SCHEMA).option("mode", "FAILFAST").json(path)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    place = F.coalesce("event_seq", F.col("_metadata.file_block_start") + row)
+    return events.withColumn("event_seq", place)
 
 
 def read_documents(spark: SparkSession, *paths: str) -> DataFrame:

@@ -12,9 +12,7 @@ from suite import trips as t
 from suite.registry import query, rounded, with_ctes
 from suite.star import _DIM_TIME
 
-CONFIG = demand_models.ModelConfig(
-    first_year=1996, last_year=2000, test_year=2000, forecast_trees=20, class_trees=20, forecast_depth=6, class_depth=6
-)
+CONFIG = demand_models.ModelConfig(first_year=1996, last_year=2000, test_year=2000)
 _RANGE = f"anio BETWEEN {CONFIG.first_year} AND {CONFIG.last_year}"
 _BASE = (*t.STAR, _DIM_TIME, f"mf AS (SELECT * FROM fact JOIN dim_tiempo USING (time_id) WHERE {_RANGE})")
 _SERIES = """ser AS (SELECT time_id, fecha_inicio_mes, anio, mes, trimestre, orden_mes, tipo_dataset, pickup_location_id,

@@ -22,14 +22,20 @@ COLUMNS = {
     "RatecodeID": "int",
     "store_and_fwd_flag": "string",
     "PULocationID": "int",
+    "DOLocationID": "int",
     "payment_type": "int",
     "fare_amount": "double",
+    "extra": "double",
     "mta_tax": "double",
+    "tip_amount": "double",
+    "tolls_amount": "double",
+    "total_amount": "double",
     "congestion_surcharge": "double",
     "Airport_fee": "double",
     "ehail_fee": "double",
     "trip_type": "int",
     "SR_Flag": "int",
+    "dispatching_base_num": "string",
 }
 
 

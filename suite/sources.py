@@ -159,7 +159,9 @@ def fact_by_month(spark, sf_dir):
     return stored.groupBy(F.col("time_id").cast("string").alias("time_id")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+_NAMES = tuple(
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+)
 
 
 @query(
