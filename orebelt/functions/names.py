@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +62,12 @@ def typed(df: DataFrame, name: str, dtype: str) -> Column:
     return quoted(name).try_cast(dtype)
 
 
+def belongs(layouts: Mapping[str, Iterable[str]], candidates: Iterable[str]) -> list[str]:
+    """Dataset types whose own layout has one of the candidates, spelt any way."""
+    wanted = {snake_name(c) for c in candidates}
+    return [dataset for dataset, columns in layouts.items() if wanted & {snake_name(c) for c in columns}]
+
+
 def resolve(df: DataFrame, candidates: Iterable[str], dtype: str) -> tuple[Column, str | None]:
     """Expression for the first existing candidate, or a typed NULL, with its source name."""
     source = find_column(df.columns, candidates)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebelt.contract import CANONICAL_EXTRAS, CANONICAL_FIELDS, CANONICAL_ORDER
-from orebelt.functions.names import find_column, resolve, snake_name, with_snake_names
+from orebelt.functions.names import find_column, resolve, resolve_first_value, snake_name, with_snake_names
 from orebelt.functions.values import elapsed_seconds
 from orebelt.operators.shape import keep_ordered
 
@@ -55,7 +55,8 @@ def canonicalise(
 
 
 def _flag_aware(df: DataFrame, name: str, candidates: tuple[str, ...], dtype: str) -> Column:
-    value, source = resolve(df, candidates, dtype)
+    source = resolve(df, candidates, dtype)[1]
+    value = resolve_first_value(df, candidates, dtype)  # types of different layouts may share a frame
     if name == "shared_ride_flag" and source and df.schema[source].dataType.simpleString() == "string":
         letter = F.upper(F.trim(F.col(source)))
         return F.when(letter == "Y", 1).when(letter == "N", 0).otherwise(value).cast(dtype)

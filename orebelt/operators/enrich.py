@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebelt.functions.names import quoted
 from orebelt.functions.values import elapsed_minutes
 from orebelt.operators.rules import bind_roles
 
@@ -15,8 +14,7 @@ _PARTS = ("zone", "borough", "service_zone")
 def with_zones(df: DataFrame, lookup: DataFrame) -> DataFrame:
     """Zone, borough and service zone for both trip ends.
 
-    The lookup plays two roles in two left joins. It is broadcast only while it is
-    small; the trips are then not shuffled, however skewed their zones are.
+    The lookup plays two roles in two left joins, whose strategy is left to the planner.
     """
     roles = bind_roles(df)
     side = lookup.select("locationid", *_PARTS)
@@ -25,7 +23,7 @@ def with_zones(df: DataFrame, lookup: DataFrame) -> DataFrame:
         if column is None:
             continue
         named = side.select(F.col("locationid").alias("_zone_key"), *[F.col(p).alias(f"{end}_{p}") for p in _PARTS])
-        df = df.join(named, quoted(column) == F.col("_zone_key"), "left").drop("_zone_key")
+        df = df.join(named, column == F.col("_zone_key"), "left").drop("_zone_key")
     return df
 
 
@@ -34,7 +32,7 @@ def with_trip_parts(df: DataFrame, dataset: str | None = None) -> DataFrame:
     roles = bind_roles(df)
     parts = []
     if "pickup_datetime" in roles:
-        begin = quoted(roles["pickup_datetime"])
+        begin = roles["pickup_datetime"]
         parts += [
             F.hour(begin).alias("pickup_hour"),
             F.dayofweek(begin).alias("pickup_day"),
@@ -43,7 +41,7 @@ def with_trip_parts(df: DataFrame, dataset: str | None = None) -> DataFrame:
             F.to_date(begin).alias("pickup_date"),
         ]
         if "dropoff_datetime" in roles:
-            parts.append(elapsed_minutes(begin, quoted(roles["dropoff_datetime"])).alias("trip_duration_minutes"))
+            parts.append(elapsed_minutes(begin, roles["dropoff_datetime"]).alias("trip_duration_minutes"))
     if dataset is not None:
         parts.append(F.lit(dataset).alias("taxi_type"))
     return df.select("*", *parts)

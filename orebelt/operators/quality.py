@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,24 +20,42 @@ def quality_measures(
     scope: Sequence[str],
     keys: Sequence[str] = KEY_CANDIDATES,
     columns: Sequence[str] | None = None,
+    layouts: Mapping[str, Sequence[str]] | None = None,
+    dataset: str = "taxi_type",
 ) -> DataFrame:
     """Raw counts behind all dimensions, one row per scope.
 
     Rows are first merged per key (map-side, then by shuffle), carrying sums of
     the checks; the number of merged rows is the distinct key count. One scan,
-    one shuffle of keys, no repeated filters.
+    one shuffle of keys, no repeated filters. ``layouts`` gives the columns of each
+    type of ``dataset`` where the frame unites several: cells, columns and checks then
+    count only for types that have the column.
     """
     names = list(columns) if columns is not None else df.columns
-    null_cells = reduce(Column.__add__, [quoted(c).isNull().cast("long") for c in names])
-    checks = _checks(df)
+
+    def own(column: str) -> Column:
+        """Whether the row's type has the column; all have it where layouts are not given."""
+        if layouts is None or not any(find_column(own_columns, [column]) for own_columns in layouts.values()):
+            return F.lit(True)
+        return F.col(dataset).isin(*[d for d, own_columns in layouts.items() if find_column(own_columns, [column])])
+
+    def counted_columns(chosen: Sequence[str]) -> Column:
+        return reduce(Column.__add__, [own(c).cast("int") for c in chosen], F.lit(0))
+
+    null_cells = reduce(Column.__add__, [(own(c) & quoted(c).isNull()).cast("long") for c in names])
+    checks = {n: (d, F.when(own(find_column(df.columns, [n.removeprefix("ok_")])), check)) for n, (d, check) in _checks(df).items()}
+    accepted = [c for c in names if _accepted(df.schema[c].dataType.simpleString())]
     found = [c for c in (find_column(df.columns, [k]) for k in keys) if c]
     prepared = df.select(
         *[quoted(c).alias(f"_scope{i}") for i, c in enumerate(scope)],
         *[quoted(c).alias(f"_key{i}") for i, c in enumerate(found)],
         null_cells.alias("null_cells"),
+        counted_columns(names).alias("total_columns"),
+        counted_columns(accepted).alias("accepted_columns"),
         *[check.alias(name) for name, (_, check) in checks.items()],
     )
     counted = [F.sum(name).alias(name) for name in ("null_cells", *checks)]
+    counted += [F.max(name).alias(name) for name in ("total_columns", "accepted_columns")]
     groups = [f"_scope{i}" for i in range(len(scope))]
     per_key = prepared.groupBy(*groups, *[f"_key{i}" for i in range(len(found))]).agg(
         F.count(F.lit(1)).alias("records"), *counted
@@ -51,8 +69,8 @@ def quality_measures(
         "records",
         "unique_records",
         "null_cells",
-        F.lit(len(names)).alias("total_columns"),
-        F.lit(sum(_accepted(df.schema[c].dataType.simpleString()) for c in names)).alias("accepted_columns"),
+        "total_columns",
+        "accepted_columns",
         *checks,
     )
 
@@ -88,7 +106,8 @@ def quality_scores(measures: DataFrame, scope: Sequence[str]) -> DataFrame:
         if not dimension_checks:
             return F.lit(1.0)
         shares = [F.col(c) / records for c in dimension_checks]
-        return shares[0] if len(shares) == 1 else F.least(*shares)
+        # a check on a column that a type lacks is null and left out
+        return F.coalesce(shares[0] if len(shares) == 1 else F.least(*shares), F.lit(1.0))
 
     present = set(measures.columns)
     precision = [c for c in ("ok_total_amount", "ok_trip_distance") if c in present]

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orebelt import contract
-from orebelt.functions.names import find_column, quoted
+from orebelt.functions.names import belongs, find_column, quoted
 from orebelt.functions.values import elapsed_seconds
 from orebelt.operators.shape import dedup_by_key, dedup_rows
 
@@ -114,18 +114,34 @@ def trip_rules(
     return rules
 
 
-def bind_roles(df: DataFrame, extra: Mapping[str, tuple[str, ...]] | None = None) -> dict[str, str]:
-    """Canonical role to actual column name, for the roles the frame has."""
+def role_candidates(extra: Mapping[str, tuple[str, ...]] | None = None) -> dict[str, tuple[str, ...]]:
+    """Names under which each canonical role may stand."""
     more = extra or {}
-    bound = {
-        f.name: find_column(df.columns, (f.name, *f.sources, *more.get(f.name, ())))
-        for f in contract.CANONICAL_FIELDS
-    }
-    return {role: column for role, column in bound.items() if column}
+    return {f.name: (f.name, *f.sources, *more.get(f.name, ())) for f in contract.CANONICAL_FIELDS}
+
+
+def bind_roles(df: DataFrame, extra: Mapping[str, tuple[str, ...]] | None = None) -> dict[str, Column]:
+    """Canonical role to its value, for the roles the frame has.
+
+    A frame that unites layouts has a role under several names; a row's value is the first
+    that is not null, since a row has values only in its own layout's columns.
+    """
+    bound = {}
+    for role, candidates in role_candidates(extra).items():
+        present = dict.fromkeys(found for c in candidates if (found := find_column(df.columns, [c])))
+        if present:
+            columns = [quoted(c) for c in present]
+            bound[role] = columns[0] if len(columns) == 1 else F.coalesce(*columns)
+    return bound
 
 
 class RuleSet:
-    """Rules bound to one frame's columns and scopes (dataset type and year)."""
+    """Rules bound to one frame's columns and scopes (dataset type and year).
+
+    ``layouts`` gives the columns of each dataset type where the frame unites several, such as
+    ``contract.SOURCE_SCHEMAS``; a rule on a column that a type lacks does not apply to it.
+    Without it every type has all columns of the frame.
+    """
 
     def __init__(
         self,
@@ -134,15 +150,18 @@ class RuleSet:
         dataset: str = "taxi_type",
         year: str = "file_year",
         extra_roles: Mapping[str, tuple[str, ...]] | None = None,
+        layouts: Mapping[str, Sequence[str]] | None = None,
     ):
         self.df = df
         self.rules = tuple(rules)
         self.dataset = dataset
         self.scope = (dataset, year)
-        roles = bind_roles(df, extra_roles)
-        self.roles = {role: quoted(column) for role, column in roles.items()}
+        self.roles = bind_roles(df, extra_roles)
+        self.limits = self._limits(layouts, role_candidates(extra_roles))
         self.applicable = tuple(
-            rule for rule in self.rules if rule.test is None or all(role in roles for role in rule.roles)
+            rule
+            for rule in self.rules
+            if rule.test is None or (all(role in self.roles for role in rule.roles) and self.limits[rule] != [])
         )
         cut = next((i for i, r in enumerate(self.applicable) if r.test is None), len(self.applicable))
         self.before = self.applicable[:cut]
@@ -151,11 +170,22 @@ class RuleSet:
         self.guarded = next((r for r in self.after if r.only_if_any), None)
         self._hits = {r: F.when(self.violates(r), F.lit(self.position(r))) for r in (*self.before, *self.after)}
 
+    def _limits(self, layouts, candidates) -> dict[Rule, list[str] | None]:
+        """Dataset types a rule applies to: those it names, whose layouts have all its roles; None: all."""
+        limits: dict[Rule, list[str] | None] = {}
+        for rule in self.rules:
+            limit = None if rule.datasets is None else list(rule.datasets)
+            for role in rule.roles if layouts is not None else ():
+                has = belongs(layouts, candidates[role])
+                limit = has if limit is None else [d for d in limit if d in has]
+            limits[rule] = limit
+        return limits
+
     def violates(self, rule: Rule) -> Column:
         passed = F.coalesce(rule.test(*[self.roles[r] for r in rule.roles]), F.lit(rule.null_passes))
         failed = ~passed
-        if rule.datasets is not None:
-            failed = F.col(self.dataset).isin(*rule.datasets) & failed
+        if self.limits[rule] is not None:
+            failed = F.col(self.dataset).isin(*self.limits[rule]) & failed
         return failed
 
     def first_failure(self, rules: Sequence[Rule]) -> Column:
@@ -231,7 +261,8 @@ class RuleSet:
         def status(rule: Rule) -> Column:
             if rule not in self.applicable:
                 return F.lit("not_applicable")
-            limited = F.lit(True) if rule.datasets is None else F.col(self.dataset).isin(*rule.datasets)
+            limit = self.limits[rule]
+            limited = F.lit(True) if limit is None else F.col(self.dataset).isin(*limit)
             if rule is self.guarded:
                 limited = limited & F.col("_guard_on")
             return F.when(limited, "applied").otherwise("not_applicable")
@@ -351,9 +382,11 @@ def light_clean(
 ) -> DataFrame:
     """Reduced cleaning for the largest sources: dated rows, one per key."""
     roles = bind_roles(df)
-    moment = quoted(roles["pickup_datetime"])
+    moment = roles["pickup_datetime"]
     dated = df.where(moment.isNotNull() & _dated(*date_range)(moment))
-    return dedup_by_key(dated, [roles[k] for k in keys if k in roles])
+    names = [f"_k{i}" for i, k in enumerate(keys) if k in roles]
+    keyed = dated.withColumns({f"_k{i}": roles[k] for i, k in enumerate(keys) if k in roles})
+    return dedup_by_key(keyed, names).drop(*names)
 
 
 def light_counts(
@@ -364,9 +397,9 @@ def light_counts(
 ) -> DataFrame:
     """Accounting of :func:`light_clean` per scope, without building the rows."""
     roles = bind_roles(df)
-    moment = quoted(roles["pickup_datetime"])
+    moment = roles["pickup_datetime"]
     verdict = F.when(moment.isNull(), "missing").when(~_dated(*date_range)(moment), "undated").otherwise("kept")
-    key_columns = [quoted(roles[k]).alias(f"_k{i}") for i, k in enumerate(keys) if k in roles]
+    key_columns = [roles[k].alias(f"_k{i}") for i, k in enumerate(keys) if k in roles]
     names = [f"_k{i}" for i in range(len(key_columns))]
     per_key = (
         df.select(*scope, verdict.alias("_verdict"), *key_columns)

@@ -20,14 +20,16 @@ def silver_trips(
     schema: Mapping[str, str] | None = None,
     rules: Sequence[Rule] | None = None,
     light: bool = False,
+    layouts: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Cleaned and enriched trips of any number of dataset types and years.
 
     ``raw`` carries ``taxi_type`` and ``file_year``. ``light`` takes the reduced
-    cleaning for the largest sources.
+    cleaning for the largest sources. ``layouts`` (such as ``contract.SOURCE_SCHEMAS``)
+    says which columns each type has of its own where they differ.
     """
     shaped = raw if schema is None else conform(raw, {**schema, "taxi_type": "string", "file_year": "int"})
-    cleaned = light_clean(shaped) if light else clean(shaped, trip_rules() if rules is None else rules)
+    cleaned = light_clean(shaped) if light else clean(shaped, trip_rules() if rules is None else rules, layouts=layouts)
     enriched = cleaned if lookup is None else with_zones(cleaned, lookup)
     return with_trip_parts(enriched)
 

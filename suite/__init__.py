@@ -8,6 +8,7 @@ from suite import (  # noqa: F401
     catalog,
     cleaning,
     incremental,
+    layouts,
     models,
     profiles,
     schemas,
