@@ -1,19 +1,22 @@
 """Star schema store with replaceable source contributions.
 
-Contributions are kept in ``source_id`` / ``version`` directories, where the version
-is the source's fingerprint. A refresh writes new versions next to the old ones and
-then appends one manifest row per source; that append is the commit. Readers take
-only the versions the manifest names, so a crash leaves unused files but never a
-wrong fact, a repeated refresh rewrites the same directory, and a source that
-became empty cannot leave its old rows behind.
+A refresh writes the contributions of all stale sources as one batch directory and then
+appends one manifest row per source with its fingerprint and batch; that append is the
+commit. Readers take only the batches the manifest names, and of them only the versions in
+force, so a crash leaves an unused directory but never a wrong fact, and a source that
+became empty cannot leave its old rows behind. Batches without a source in force are
+deleted by ``vacuum``. A publication is one version directory with the fact and all
+dimensions, recorded once with its row counts after its keys have been checked.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebelt.contract import FACT_KEYS
@@ -21,7 +24,7 @@ from orebelt.operators import star
 from orebelt.operators.incremental import compare_sources, latest_state
 from orebelt.operators.shape import require_unique, union_by_name
 from orebelt.session import materialize
-from orebelt.sources.sinks import append, overwrite_partitions, publish_version, read_current, write_dimension
+from orebelt.sources.sinks import append, delete, exists, modified_at
 
 _KEY_TYPES = {
     "time_id": "string", "tipo_dataset": "string", "provider_key": "string",
@@ -34,10 +37,12 @@ CONTRIBUTION_SCHEMA = ", ".join(
     + ["source_id string", "version string"]
 )
 MANIFEST_SCHEMA = (
-    "source_id string, fingerprint string, active boolean, contribution_rows long, recorded_at timestamp"
+    "source_id string, fingerprint string, batch string, active boolean, contribution_rows long, recorded_at timestamp"
 )
-_PARTITION = ("source_id", "version")
+PUBLISHED_SCHEMA = "version string, table string, rows long, published_at timestamp"
+_VERSION = ("source_id", "version")
 _STALE = ("new", "changed", "staging_missing", "forced")
+_FACT = "fact_viajes_agregados"
 
 
 @dataclass(frozen=True)
@@ -54,71 +59,97 @@ class StarStore:
     def manifest_path(self) -> str:
         return f"{self.root}/manifest"
 
+    @property
+    def published_path(self) -> str:
+        return f"{self.root}/published"
+
     def prepare(self, spark: SparkSession) -> None:
-        """Create the empty tables on first use."""
-        for path, schema in (
-            (self.contributions_path, CONTRIBUTION_SCHEMA),
-            (self.manifest_path, MANIFEST_SCHEMA),
-        ):
-            spark.createDataFrame([], schema).write.mode("append").parquet(path)
+        """Create the empty manifest on first use; later calls do nothing."""
+        if not exists(spark, self.manifest_path):
+            spark.createDataFrame([], MANIFEST_SCHEMA).write.mode("append").parquet(self.manifest_path)
 
     def manifest(self, spark: SparkSession) -> DataFrame:
-        """Active sources with the version in force."""
+        """Active sources with the version in force and the batch that holds it."""
         log = spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
         return latest_state(log).where("active")
 
+    def batches(self, spark: SparkSession) -> list[str]:
+        """Batches with a version in force; their number is that of refreshes, not of sources."""
+        held = self.manifest(spark).where("contribution_rows > 0").select("batch").distinct()
+        return sorted(row["batch"] for row in held.collect())
+
+    def _batch(self, name: str) -> str:
+        return f"{self.contributions_path}/{name}"
+
     def contributions(self, spark: SparkSession) -> DataFrame:
-        """Contributions in force; the join prunes the directories of old versions."""
-        active = self.manifest(spark).select("source_id", F.col("fingerprint").alias("version"))
-        stored = spark.read.schema(CONTRIBUTION_SCHEMA).parquet(self.contributions_path)
-        return stored.join(active, list(_PARTITION), "left_semi")
+        """Contributions in force, read from the batches in force only."""
+        active = self.manifest(spark).select("batch", "source_id", F.col("fingerprint").alias("version"))
+        parts = [
+            spark.read.schema(CONTRIBUTION_SCHEMA).parquet(self._batch(b)).withColumn("batch", F.lit(b))
+            for b in self.batches(spark)
+        ]
+        if not parts:
+            return spark.createDataFrame([], CONTRIBUTION_SCHEMA)
+        return union_by_name(parts).join(active, ["batch", *_VERSION], "left_semi").drop("batch")
 
     def fact(self, spark: SparkSession) -> DataFrame:
         """Merged fact of the active contributions, not yet published."""
         return star.merge_contributions(self.contributions(spark))
 
     def changes(self, spark: SparkSession, fingerprints: DataFrame, force: bool = False) -> DataFrame:
-        """Change class of every known source."""
+        """Change class of every known source. No contribution is read."""
         state = self.manifest(spark)
-        held = spark.read.schema(CONTRIBUTION_SCHEMA).parquet(self.contributions_path).select(*_PARTITION).distinct()
-        staged = state.join(
-            held, (state.source_id == held.source_id) & (state.fingerprint == held.version), "left_semi"
-        ).select("source_id")
-        empty = state.where("contribution_rows = 0").select("source_id")
-        return compare_sources(fingerprints, state, staged.unionByName(empty), force)
-
-    def stage(self, prepared: DataFrame) -> None:
-        """Write the contributions of prepared trips.
-
-        ``prepared`` carries ``source_id`` and ``version``. The aggregate is already
-        clustered by its keys; the rebalance hint groups it by source for writing
-        and splits a source that holds most rows.
+        there = [b for b in self.batches(spark) if exists(spark, self._batch(b))]
+        staged = state.where(F.col("batch").isin(there) | (F.col("contribution_rows") == 0)).select("source_id")
+        return compare_sources(fingerprints, state, staged, force)
+
+    def stage(self, prepared: DataFrame) -> str:
+        """Write the contributions of prepared trips as a new batch and return its name.
+
+        ``prepared`` carries ``source_id`` and ``version``. The rebalance hint groups the
+        aggregate by source and splits a source that holds most rows.
         """
-        contribution = star.fact_contribution(prepared, _PARTITION).hint("rebalance", *_PARTITION)
-        overwrite_partitions(contribution, self.contributions_path, _PARTITION)
-
-    def commit(self, spark: SparkSession, versions: DataFrame, active: bool = True) -> None:
-        """Append manifest rows for ``source_id, fingerprint`` pairs."""
-        held = (
-            spark.read.schema(CONTRIBUTION_SCHEMA)
-            .parquet(self.contributions_path)
-            .groupBy("source_id", F.col("version").alias("fingerprint"))
-            .agg(F.count(F.lit(1)).alias("contribution_rows"))
+        batch = f"b-{uuid.uuid4().hex}"
+        star.fact_contribution(prepared, _VERSION).hint("rebalance", *_VERSION).write.parquet(self._batch(batch))
+        return batch
+
+    def staged_versions(self, spark: SparkSession, batch: str) -> DataFrame:
+        """Sources of a batch with their version and rows."""
+        held = spark.read.schema(CONTRIBUTION_SCHEMA).parquet(self._batch(batch))
+        return held.groupBy("source_id", F.col("version").alias("fingerprint")).agg(
+            F.count(F.lit(1)).alias("contribution_rows")
         )
-        rows = versions.join(held, ["source_id", "fingerprint"], "left").select(
+
+    def commit(self, spark: SparkSession, versions: DataFrame, batch: str | None, active: bool = True) -> None:
+        """Append manifest rows for ``source_id, fingerprint`` pairs of a staged batch."""
+        rows = versions.withColumn("contribution_rows", F.lit(0).cast("long"))
+        if batch is not None:
+            held = self.staged_versions(spark, batch)
+            rows = versions.join(held, ["source_id", "fingerprint"], "left")
+        rows = rows.select(
             "source_id",
             "fingerprint",
+            F.lit(batch).cast("string").alias("batch"),
             F.lit(active).alias("active"),
             F.coalesce("contribution_rows", F.lit(0)).alias("contribution_rows"),
             F.current_timestamp().alias("recorded_at"),
         )
         append(rows, self.manifest_path)
 
-    def refresh(self, spark: SparkSession, canonical: DataFrame, fingerprints: DataFrame, force: bool = False) -> bool:
+    def refresh(
+        self,
+        spark: SparkSession,
+        canonical: DataFrame,
+        fingerprints: DataFrame,
+        force: bool = False,
+        dataset: str | Column = "desconocido",
+        year: int | Column | None = None,
+    ) -> bool:
         """Bring contributions in line with the sources; True when anything changed.
 
         ``canonical`` has a ``source_id`` column, best a partition column, so that only
-        stale sources are read.
+        stale sources are read. ``dataset`` and ``year`` fill gaps, as columns such as those
+        of ``with_source_identity``.
         """
         # One row per source, used by several jobs below.
         changes = materialize(self.changes(spark, fingerprints, force), "source-changes")
@@ -126,25 +157,61 @@ class StarStore:
         if any(found.get(kind) for kind in _STALE):
             stale = changes.where(F.col("change").isin(*_STALE)).select("source_id", "fingerprint")
             versions = stale.withColumnRenamed("fingerprint", "version")
-            self.stage(star.star_input(canonical.join(versions, "source_id"), carry=_PARTITION))
-            self.commit(spark, stale)
+            trips = canonical.join(versions, "source_id")
+            self.commit(spark, stale, self.stage(star.star_input(trips, dataset, year, carry=_VERSION)))
         if found.get("gone"):
             gone = changes.where("change = 'gone'").select(
                 "source_id", F.col("previous_fingerprint").alias("fingerprint")
             )
-            self.commit(spark, gone, active=False)
+            self.commit(spark, gone, None, active=False)
         return any(found.get(kind) for kind in (*_STALE, "gone"))
 
+    def vacuum(self, spark: SparkSession, grace_seconds: float = 7 * 86400) -> list[str]:
+        """Delete batches without a version in force, and publications but the last, that are
+        older than the grace period, and return their paths."""
+        held = {self._batch(b) for b in self.batches(spark)}
+        current = self.current(spark)
+        held.add(f"{self.published_path}/{current}")
+        limit = time.time() - grace_seconds
+        old = []
+        for folder, prefix in ((self.contributions_path, "b-"), (self.published_path, "v-")):
+            for name, at in modified_at(spark, folder):
+                if name.startswith(prefix) and at <= limit and f"{folder}/{name}" not in held:
+                    delete(spark, f"{folder}/{name}")
+                    old.append(f"{folder}/{name}")
+        return old
+
+    def current(self, spark: SparkSession) -> str | None:
+        """The version published last."""
+        if not exists(spark, f"{self.published_path}/versions"):
+            return None
+        log = spark.read.schema(PUBLISHED_SCHEMA).parquet(f"{self.published_path}/versions")
+        return log.agg(F.max_by("version", "published_at")).first()[0]
+
+    def published(self, spark: SparkSession) -> dict[str, DataFrame]:
+        """Fact and dimensions of the version published last."""
+        return self._tables(spark, self.current(spark))
+
+    def _tables(self, spark: SparkSession, version: str) -> dict[str, DataFrame]:
+        base = f"{self.published_path}/{version}"
+        fact = spark.read.parquet(f"{base}/{_FACT}").withColumn("time_id", F.col("time_id").cast("string"))
+        return {_FACT: fact, **{name: spark.read.parquet(f"{base}/{name}") for name in star.DIMENSION_KEYS}}
+
     def publish(self, spark: SparkSession, lookup: DataFrame) -> dict[str, DataFrame]:
-        """Write the fact and its ten dimensions, after checking that keys are unique."""
-        publish_version(self.fact(spark).hint("rebalance", "time_id"), f"{self.root}/fact", ["time_id"])
-        fact = read_current(spark, f"{self.root}/fact").withColumn("time_id", F.col("time_id").cast("string"))
-        dims = star.dimensions(fact, lookup)
-        for name, dim in dims.items():
-            require_unique(dim, [star.DIMENSION_KEYS[name]], name)
-            write_dimension(dim, f"{self.root}/dimensions/{name}")
-        stored = {name: spark.read.parquet(f"{self.root}/dimensions/{name}") for name in dims}
-        return {"fact_viajes_agregados": fact, **stored}
+        """Write the fact and its ten dimensions as one version, check that keys are unique, and
+        only then record the version with its row counts, in a single append."""
+        version = f"v-{uuid.uuid4().hex}"
+        base = f"{self.published_path}/{version}"
+        self.fact(spark).hint("rebalance", "time_id").write.partitionBy("time_id").parquet(f"{base}/{_FACT}")
+        fact = spark.read.parquet(f"{base}/{_FACT}").withColumn("time_id", F.col("time_id").cast("string"))
+        for name, dim in star.dimensions(fact, lookup).items():
+            dim.repartition(1).write.parquet(f"{base}/{name}")
+        tables = self._tables(spark, version)
+        for name, key in star.DIMENSION_KEYS.items():
+            require_unique(tables[name], [key], name)
+        counted = published_counts(tables).select(F.lit(version).alias("version"), "table", "rows", F.current_timestamp().alias("published_at"))
+        append(counted, f"{self.published_path}/versions")
+        return tables
 
     def publish_if_needed(
         self,
@@ -154,9 +221,11 @@ class StarStore:
         lookup: DataFrame,
         force_reprocess: bool = False,
         force_rebuild: bool = False,
+        dataset: str | Column = "desconocido",
+        year: int | Column | None = None,
     ) -> dict[str, DataFrame] | None:
         """Refresh, then publish only if a source changed or a rebuild is asked for."""
-        changed = self.refresh(spark, canonical, fingerprints, force_reprocess)
+        changed = self.refresh(spark, canonical, fingerprints, force_reprocess, dataset, year)
         return self.publish(spark, lookup) if changed or force_rebuild else None
 
 

@@ -20,8 +20,8 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 
 def write_dimension(df: DataFrame, path: str) -> None:
-    """Small dimension as a single file."""
-    overwrite(df.coalesce(1), path)
+    """Small dimension as a single file; what leads to it stays parallel."""
+    overwrite(df.repartition(1), path)
 
 
 def write_by_month(df: DataFrame, path: str, key: str = "time_id") -> None:
@@ -53,6 +53,30 @@ def as_document(df: DataFrame, alias: str = "document") -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias(alias))
 
 
+def _folder(spark: SparkSession, path: str):
+    """File system and path handle; works for every store that Spark reads."""
+    handle = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return handle.getFileSystem(spark._jsc.hadoopConfiguration()), handle
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, handle = _folder(spark, path)
+    return store.exists(handle)
+
+
+def modified_at(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Names below a folder with their modification times in epoch seconds."""
+    store, handle = _folder(spark, path)
+    if not store.exists(handle):
+        return []
+    return [(status.getPath().getName(), status.getModificationTime() / 1000) for status in store.listStatus(handle)]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    store, handle = _folder(spark, path)
+    store.delete(handle, True)
+
+
 def publish_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
     """Write a new version directory, then record it in the table of versions.
 

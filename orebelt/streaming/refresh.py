@@ -1,8 +1,9 @@
 """Contributions kept current by a stream of arriving files.
 
 Every file is its own source, so a batch aggregates new files only and never reads
-a source again. Versions come from the file's own modification time: a replayed batch
-rewrites the same directories, which makes the sink idempotent.
+a source again. A batch is one directory whatever the number of its files. Versions come
+from the file's own modification time, and the manifest's last entry per source counts: a
+replayed batch replaces what it wrote before, which makes the sink idempotent.
 """
 
 from __future__ import annotations
@@ -42,11 +43,11 @@ def stream_contributions(
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        store.prepare(spark)
-        store.stage(star_input(to_canonical(batch), carry=_IDENTITY))
-        versions = batch.select("source_id", F.col("version").alias("fingerprint")).distinct()
-        store.commit(spark, versions)
+        staged = store.stage(star_input(to_canonical(batch), carry=_IDENTITY))
+        # files without a trip have no contribution to replace or keep
+        store.commit(spark, store.staged_versions(spark, staged).select("source_id", "fingerprint"), staged)
 
+    store.prepare(stream.sparkSession)
     return (
         stream.writeStream.foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)

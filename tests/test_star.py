@@ -95,6 +95,55 @@ def test_refresh_equals_full_build_after_add_change_remove_and_empty(spark, tmp_
     assert not store.refresh(spark, fewer.limit(0), emptied)
 
 
+def test_only_batches_in_force_are_read_and_kept(spark, tmp_path):
+    store = StarStore(f"{tmp_path}/star")
+    for _ in range(3):
+        store.prepare(spark)
+    assert len(list((tmp_path / "star" / "manifest").glob("*.parquet"))) == 1
+    trips, lookup = spark.sql(TRIPS), spark.sql(ZONES)
+    assert store.publish_if_needed(spark, trips, prints(trips), lookup)
+    first, version = store.batches(spark), store.current(spark)
+    again = trips.withColumn("monto_total", F.lit(7.0))
+    lost = store.stage(star.star_input(again.withColumn("version", F.lit("x")), carry=("source_id", "version")))  # a crash before the commit
+    assert fact_rows(store.fact(spark)) == fact_rows(full_fact(trips))
+    assert store.publish_if_needed(spark, again, prints(again), lookup)
+    now = store.batches(spark)
+    assert len(now) == 1 and now != first
+    read = {f.split("/contributions/")[1].split("/")[0] for f in store.contributions(spark).inputFiles() if "/contributions/" in f}
+    assert read == set(now)
+    gone = store.vacuum(spark, grace_seconds=-60)
+    assert {p.split("/")[-1] for p in gone} == {*first, lost, version}
+    assert fact_rows(store.fact(spark)) == fact_rows(full_fact(again))
+    assert fact_rows(store.published(spark)["fact_viajes_agregados"]) == fact_rows(store.fact(spark).select(*store.published(spark)["fact_viajes_agregados"].columns))
+
+
+def test_failed_check_publishes_nothing(spark, tmp_path, monkeypatch):
+    store = StarStore(f"{tmp_path}/star")
+    store.prepare(spark)
+    trips, lookup = spark.sql(TRIPS), spark.sql(ZONES)
+    store.publish_if_needed(spark, trips, prints(trips), lookup)
+    version = store.current(spark)
+    recorded = spark.read.parquet(f"{store.published_path}/versions").where(F.col("version") == version)
+    assert recorded.count() == 11 and recorded.where("table = 'dim_hora'").first().rows == 3
+
+    def fail(*_):
+        raise ValueError("repeats key")
+
+    monkeypatch.setattr("orebelt.plans.star_refresh.require_unique", fail)
+    with pytest.raises(ValueError, match="repeats key"):
+        store.publish(spark, lookup)
+    assert store.current(spark) == version
+    assert store.published(spark)["dim_hora"].count() == 3
+
+
+def test_type_and_year_fall_back_to_the_source(spark, tmp_path):
+    store = StarStore(f"{tmp_path}/star")
+    store.prepare(spark)
+    trips = spark.sql(TRIPS).withColumns({"source_type": F.split("source_id", "_")[0], "source_year": F.split("source_id", "_")[1]})
+    store.refresh(spark, trips, prints(trips), dataset=F.col("source_type"), year=F.col("source_year"))
+    assert {r.tipo_dataset for r in store.fact(spark).collect()} == {"green", "fhv"}
+
+
 def test_source_classes(spark):
     schema = "source_id string, fingerprint string"
     now = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3"), ("d", "4")], schema)
