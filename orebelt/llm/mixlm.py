@@ -147,6 +147,18 @@ def _slots(context: np.ndarray, owner: np.ndarray, mixed: np.ndarray, bits: int)
     return value
 
 
+def _laid_out(texts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Pairs and contexts of the texts' bytes, end to end. Each text begins after end marks, so
+    nothing of one text is context of the next."""
+    pad = np.full(5, _END, np.uint8)
+    data = np.concatenate([part for t in texts for part in (pad, t)])
+    own = np.ones(len(data), bool)
+    ends = np.cumsum([len(t) + 5 for t in texts])
+    begins = ends - [len(t) + 5 for t in texts]
+    own[(begins[:, None] + np.arange(5)).ravel()] = False
+    return _pairs(data)[own], [c[own] for c in _contexts(data)]
+
+
 def _tally(counts: np.ndarray, slot: np.ndarray, bit: np.ndarray) -> None:
     """Count a bit in each slot; indices and increment of these types take numpy's fast path."""
     np.add.at(counts, slot.astype(np.intp) * 2 + bit, np.int32(1))
@@ -169,12 +181,12 @@ def _blocks(sizes: list[int]) -> np.ndarray:
 def score(texts: list[np.ndarray], model: Model, final: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Natural log-probability of each text, and each text's last weights if ``final``."""
     sizes = [len(t) for t in texts]
-    data = np.concatenate(texts)
+    pair, contexts = _laid_out(texts)
     number = _blocks(sizes)
     order = np.argsort(number, kind="stable")  # block by block, within a block text by text
     doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)[order]
-    pair = _pairs(data)[order]
-    contexts = [c[order] for c in _contexts(data)]
+    pair = pair[order]
+    contexts = [c[order] for c in contexts]
     edges = np.flatnonzero(np.diff(number[order], prepend=-1, append=-2))
     weights = np.repeat(model.weights[None], len(texts), axis=0).reshape(-1, HASHED + 1)
     result = np.zeros(len(texts))
@@ -300,9 +312,8 @@ def learn(training: DataFrame, doc_id: str = "doc_id") -> tuple[Model, DataFrame
                     batch.append(canonical(found))
                     size += len(batch[-1])
                 if batch and (size >= 2 * _GROUP or k == len(frame)):
-                    data = np.concatenate(batch)
-                    pair, contexts = _pairs(data), _contexts(data)
-                    for at in range(0, len(data), 2 * _GROUP):
+                    pair, contexts = _laid_out(batch)
+                    for at in range(0, len(pair), 2 * _GROUP):
                         owner, node, bit = _steps(codes, pair[at : at + 2 * _GROUP])
                         mixed = node * np.uint32(0x2C1B3C6D)
                         _tally(nodes, node, bit)
