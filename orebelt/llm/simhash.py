@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orebelt.llm.common import BLANK_WORD, ascii_lower, window_hashes, words
@@ -77,21 +77,26 @@ def covering_masks(radius: int, taken: int = 0) -> list[int]:
 
 
 def spanning(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that join the values into the components of "at most ``radius`` bits apart"."""
+    """Minimum spanning forest of the values under links of at most ``radius`` bits.
+
+    For every smaller radius too, the links up to it join the same values as all pairs would.
+    """
     unsigned = values.view(np.uint64)
-    unseen = np.ones(len(values), bool)
+    far = np.full(len(values), radius + 1, np.int64)
+    nearest = np.zeros(len(values), np.int64)
+    left = np.ones(len(values), bool)
     links: list[tuple[int, int]] = []
-    for first in range(len(values)):
-        if not unseen[first]:
-            continue
-        unseen[first] = False
-        todo = [first]
-        while todo:
-            one = todo.pop()
-            near = np.flatnonzero(unseen & (np.bitwise_count(unsigned ^ unsigned[one]) <= radius))
-            unseen[near] = False
-            links += [(int(values[one]), int(values[k])) for k in near]
-            todo += near.tolist()
+    at = 0
+    for _ in range(len(values)):
+        left[at] = False
+        distance = np.bitwise_count(unsigned ^ unsigned[at]).astype(np.int64)
+        closer = left & (distance < far)
+        far[closer], nearest[closer] = distance[closer], at
+        if not left.any():
+            break
+        at = int(np.argmin(np.where(left, far, 99)))
+        if far[at] <= radius:
+            links.append((int(values[nearest[at]]), int(values[at])))
     return links
 
 
@@ -155,55 +160,50 @@ def near_groups(docs: DataFrame, width: int = 3, radius: int = 3, doc_id: str =
     return rows.join(named, "fp").select("doc_id", hexed, "component_id")
 
 
-def _alike(similarity: float):
-    common = F.size(F.array_intersect("shingles", "lead_shingles"))
-    union = F.size("shingles") + F.size("lead_shingles") - common
+def _alike(similarity: float) -> Column:
+    common = F.size(F.array_intersect("one", "other"))
+    union = F.size("one") + F.size("other") - common
     return (union == 0) | (common >= F.lit(similarity) * union)
 
 
 def drop_near_copies(
-    docs: DataFrame, radius: int = 6, shingle: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, radius: int = 5, shingle: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Rows of ``docs`` without near copies; one document of each group stays, in all its columns.
 
-    Groups are those of :func:`near_groups` (three-word fingerprints, ``radius`` bits). In each
-    group the text of the smallest id leads; texts whose sets of ``shingle``-word shingles have
-    Jaccard similarity ``similarity`` or more with the leader go, and the smallest id of those
-    left leads the next round, until none is left. So nothing below the similarity is dropped,
-    and each round compares every text with one leader, never all pairs. Equal texts and
-    repeated rows are one text; null and wordless texts are copies of each other; null ids
-    sort last.
+    Candidates are pairs of texts whose three-word fingerprints differ in at most ``radius`` bits,
+    as the links of minimum spanning forests: they join at every smaller distance what all pairs
+    would. Of them, pairs whose sets of ``shingle``-word shingles have Jaccard similarity
+    ``similarity`` or more are copies, measured on 32-bit hashes of the shingles of both whole
+    texts. A group is what copies join; its smallest id stays. Equal texts and repeated rows are
+    one text; null and wordless texts are copies of each other; null ids stay only in groups
+    without any other.
     """
     key = F.xxhash64(F.col(text), F.lit(1))
-    grouped = with_fingerprint(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), key.alias("_key")), 3)
-    rows = materialize(grouped.select("_id", "_key", "fp"), "rows")
-    classes = materialize(rows.groupBy("fp").agg(F.countDistinct("_id", "_key").alias("n"), F.count("*").alias("rows")), "classes")
-    roots = components(hamming_links(classes.select("fp"), radius)).withColumnRenamed("node", "fp")
-    rooted = materialize(classes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "rows"), "rooted")
-    crowded = rooted.groupBy("root").agg(F.sum("rows").alias("n")).where("n > 1").select("root")
-    members = rows.join(rooted.join(crowded, "root").select("fp", "root"), "fp").select("_id", "_key", "root")
-    members = materialize(members, "members")
-    # one row per different text of a group, led by its smallest id
-    order = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"))
-    texts = members.groupBy("root", "_key").agg(F.min(order).alias("first"))
-    tokens = words(ascii_lower(F.col(text)), BLANK_WORD)
-    source = docs.select(F.col(text), key.alias("_key")).join(texts.select("_key").distinct(), "_key", "left_semi")
-    shingled = source.groupBy("_key").agg(F.first(F.array_distinct(window_hashes(tokens, shingle))).alias("shingles"))
-    open_ = materialize(texts.join(shingled, "_key"), "texts")
-    kept = None
-    while open_.limit(1).count():
-        leads = open_.groupBy("root").agg(F.min_by(F.struct("_key", "shingles"), F.struct("first", "_key")).alias("lead"))
-        leads = leads.select("root", F.col("lead._key").alias("lead_key"), F.col("lead.shingles").alias("lead_shingles"))
-        leads = materialize(leads, "leads")
-        mine = leads.select("root", F.col("lead_key").alias("_key"))
-        kept = mine if kept is None else kept.unionAll(mine)
-        open_ = materialize(open_.join(leads, "root").where(~_alike(similarity)).drop("lead_key", "lead_shingles"), "texts")
-    if kept is None:
-        return docs
-    stay = texts.join(kept, ["root", "_key"]).select("_key", F.col("first.id").alias("_stay"), F.lit(True).alias("_led"))
-    gone = members.join(stay, "_key", "left")
-    gone = gone.where(F.col("_led").isNull() | ~F.col("_stay").eqNullSafe(F.col("_id"))).select("_id", "_key").distinct()
-    again = members.groupBy("_id", "_key").count().where("count > 1").select("_id", "_key")
+    rows = with_fingerprint(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), key.alias("_key")), 3)
+    rows = materialize(rows.select("_id", "_key", "fp"), "rows")
+    # wordless texts, null or not, are one text
+    rows = rows.withColumn("same", F.when(F.col("fp") == 0, F.lit(0)).otherwise(F.col("_key")))
+    leads = materialize(rows.groupBy("fp").agg(F.min("same").alias("lead")), "leads")
+    links = hamming_links(leads.select("fp"), radius)
+    name = lambda side: leads.select(F.col("fp").alias(side), F.col("lead").alias(f"{side}_key"))
+    links = links.join(name("a"), "a").join(name("b"), "b").select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
+    twins = rows.join(leads, "fp").where("same <> lead").select(F.col("lead").alias("a"), F.col("same").alias("b")).distinct()
+    links = materialize(links.unionAll(twins), "links")
+    named = links.select(F.explode(F.array("a", "b")).alias("_key")).distinct()
+    source = docs.select(words(ascii_lower(F.col(text)), BLANK_WORD).alias("w"), key.alias("_key"))
+    source = source.join(named, "_key", "left_semi").dropDuplicates(["_key"])
+    short = F.transform(window_hashes(F.col("w"), shingle), lambda h: h.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+    shingled = materialize(source.select("_key", F.array_distinct(short).alias("shingles")), "shingles")
+    side = lambda end, name: shingled.select(F.col("_key").alias(end), F.col("shingles").alias(name))
+    copies = links.join(side("a", "one"), "a").join(side("b", "other"), "b").where(_alike(similarity)).select("a", "b")
+    groups = components(copies).withColumnRenamed("node", "same")
+    order = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_key").alias("key"))
+    rooted = rows.join(groups, "same", "left").withColumn("root", F.coalesce("root", "same"))
+    first = rooted.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
+    crowded = rooted.join(first, "root")
+    gone = crowded.where(~F.col("first.id").eqNullSafe(F.col("_id")) | (F.col("first.key") != F.col("_key"))).select("_id", "_key").distinct()
+    again = rows.groupBy("_id", "_key").count().where("count > 1").select("_id", "_key")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("_i"), key.alias("_k"))
     same = lambda side: whole["_k"].eqNullSafe(side["_key"]) & whole["_i"].eqNullSafe(side["_id"])
     left = whole.join(gone, same(gone), "left_anti")
