@@ -128,7 +128,7 @@ def hamming_links(fps: DataFrame, radius: int) -> DataFrame:
         small = (F.col("n") <= BUCKET) | (F.bit_count("mask") >= 64 - FREE)
         many = buckets.where("n > 2").select("mask", "bucket", small.alias("small"))
         members = level.join(many, ["mask", "bucket"])
-        found = members.where("small").groupBy("mask", "bucket").agg(F.collect_list("fp").alias("members"))
+        found = members.where("small").groupBy("mask", "bucket").agg(F.sort_array(F.collect_list("fp")).alias("members"))
         pairs = pairs.unionAll(found.select("members").mapInPandas(compare, "a long, b long"))
         links = pairs if links is None else links.unionAll(pairs)
         left = [r[0] for r in many.where("not small").select("mask").distinct().collect()]  # masks, not data
