@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from orebelt.operators import audit as a
 from orebelt.plans.audit_views import history_views, latest_views
-from orebelt.session import materialize
+from orebelt.session import materialize, scratch_path
+from orebelt.sources.sinks import append_events
+from orebelt.sources.tables import read_event_log
 from suite import trips as t
 from suite.registry import query, rounded, with_ctes
 
@@ -331,3 +333,34 @@ LEFT JOIN (SELECT pipeline_id, count(*) AS n FROM files GROUP BY 1) f ON f.pipel
 def run_metrics(spark, sf_dir):
     events = log(spark, sf_dir)
     return a.run_metrics(a.stage_runs(events), a.file_runs(events))
+
+
+@query(
+    "aud_unnumbered_runs",
+    "SELECT concat('run-', event_id) AS pipeline_id, CASE WHEN event_id % 5 = 0 OR event_id % 7 = 0 THEN 'RUNNING' ELSE 'SUCCESS' END AS status, "
+    "NOT (event_id % 5 = 0 OR event_id % 7 = 0) AS finished, concat('m', CASE WHEN event_id % 5 = 0 THEN 1 WHEN event_id % 7 = 0 THEN 3 ELSE 2 END) AS message FROM events",
+)
+def unnumbered_runs(spark, sf_dir):
+    """Runs of a log that does not number its events, all events of a run at the same time.
+
+    Each fifth run never finishes, each seventh of the others starts again after its finish;
+    only their place in the log tells.
+    """
+    path = scratch_path(spark, "unnumbered-log")
+    runs = t.table(spark, sf_dir, "events").select("event_id", "ts")
+    last = F.when(F.col("event_id") % 5 == 0, 1).when(F.col("event_id") % 7 == 0, 3).otherwise(2)
+    lines = runs.select("event_id", "ts", F.explode(F.sequence(F.lit(1), last)).alias("n"))
+    finish = F.col("n") == 2
+    append_events(
+        lines.select(
+            F.format_string("e%d-%d", "event_id", "n").alias("event_id"),
+            F.when(finish, "PIPELINE_FINISHED").otherwise("PIPELINE_STARTED").alias("event_type"),
+            F.date_trunc("second", "ts").alias("occurred_at"),
+            F.concat(F.lit("run-"), "event_id").alias("pipeline_id"),
+            F.when(finish, "SUCCESS").otherwise("RUNNING").alias("status"),
+            F.concat(F.lit("m"), "n").alias("message"),
+        ),
+        path,
+    )
+    folded = a.pipeline_runs(read_event_log(spark, path))
+    return folded.select("pipeline_id", "status", F.col("finished_at").isNotNull().alias("finished"), "message")

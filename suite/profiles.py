@@ -365,11 +365,28 @@ def dq_issues(spark, sf_dir):
     return q.quality_issues(scored(spark, sf_dir), t.SCOPE)
 
 
-@query("dq_invalid_rules", with_ctes(*MEASURES, select="SELECT taxi_type AS rule_id, taxi_type AS problem FROM dq WHERE records < 0"))
+@query(
+    "dq_invalid_rules",
+    with_ctes(
+        *MEASURES,
+        select="SELECT 'DQ_' || upper(taxi_type) || '_' || file_year || '_' || upper(dimension) AS rule_id, "
+        "CASE dimension WHEN 'completitud' THEN 'records_evaluated is negative' WHEN 'precision' THEN 'records_failed is negative' "
+        "WHEN 'unicidad' THEN 'records_failed exceeds records_evaluated' ELSE 'allowed_failure_rate outside 0–1' END AS problem "
+        "FROM dq WHERE dimension IN ('completitud', 'precision', 'unicidad', 'validez')",
+    ),
+)
 def dq_invalid(spark, sf_dir):
-    """Rule results outside their domain; there must be none."""
+    """Rule results outside their domain: good ones, and each spoilt in one of four ways."""
     results = q.rule_results(scored(spark, sf_dir), "taxi_type", "file_year")
-    return q.invalid_rule_results(results).select("rule_id", "problem")
+    of = lambda dimension: F.col("dimension") == dimension
+    spoilt = results.withColumns(
+        {
+            "records_failed": F.when(of("precision"), -1).when(of("unicidad"), F.col("records_evaluated") + 1).otherwise(F.col("records_failed")),
+            "records_evaluated": F.when(of("completitud"), -1).otherwise(F.col("records_evaluated")),
+            "allowed_failure_rate": F.when(of("validez"), 1.5).otherwise(F.col("allowed_failure_rate")),
+        }
+    )
+    return q.invalid_rule_results(results.unionByName(spoilt)).select("rule_id", "problem")
 
 
 @query(

@@ -89,3 +89,23 @@ def test_export_writes_all_views(spark, tmp_path):
     assert a.artifact_measures(views["latest_file_runs"]).first().size_mb == 2.0
     assert a.run_metrics(views["stage_runs"], views["file_runs"]).first()[1:] == (1, 1, 0, 1)
     assert views["latest_successful_stage_runs"].agg(F.count(F.lit(1))).first()[0] == 1
+
+
+def test_log_without_numbers(spark, tmp_path):
+    def at(kind, pipeline, **more):
+        item = event(1, kind, pipeline=pipeline, **more)
+        del item["event_seq"]
+        return item
+
+    log = events(
+        spark, tmp_path,
+        at("PIPELINE_STARTED", "p"), at("PIPELINE_FINISHED", "p", status="SUCCESS", message="done"),
+        at("PIPELINE_STARTED", "q"), at("PIPELINE_FINISHED", "q", status="FAILED"), at("PIPELINE_STARTED", "q", message="again"),
+        at("STAGE_STARTED", "p", stage="s"), at("STAGE_FINISHED", "p", stage="s", status="SUCCESS"),
+    )
+    runs = {r.pipeline_id: r for r in a.pipeline_runs(log).collect()}
+    assert (runs["p"].status, runs["p"].message, runs["p"].finished_at is None) == ("SUCCESS", "done", False)
+    assert (runs["q"].status, runs["q"].message, runs["q"].finished_at) == ("RUNNING", "again", None)
+    assert a.stage_runs(log).first().status == "SUCCESS"
+    unplaced = log.withColumn("event_seq", F.lit(None).cast("long")).where("pipeline_id = 'p'")
+    assert a.pipeline_runs(unplaced).first().status == "SUCCESS" and a.stage_runs(unplaced).first().status == "SUCCESS"
