@@ -69,10 +69,17 @@ _REPORT = (*CHAIN, _COUNTS, _SUMMARY)
 
 @query(
     "cln_rule_counts",
-    with_ctes(*CHAIN, _COUNTS, select="SELECT taxi_type, file_year, rule_order, dimension, rule, removed, original FROM counts"),
+    with_ctes(
+        *CHAIN,
+        _COUNTS,
+        select="SELECT taxi_type, file_year, rule_order, dimension, rule, removed, original, "
+        f"CASE WHEN rule IN ('dropoff_datetime_present', 'monto_total_present') AND NOT {_YG} THEN 'not_applicable' "
+        f"WHEN rule = 'duration_in_range' AND (taxi_type, file_year) NOT IN (SELECT (taxi_type, file_year) FROM s9 WHERE {_DO} IS NOT NULL) "
+        "THEN 'not_applicable' ELSE 'applied' END AS status FROM counts",
+    ),
 )
 def rule_counts(spark, sf_dir):
-    return rules.cleaning_counts(t.raw_trips(spark, sf_dir), t.RULES).drop("status")
+    return rules.cleaning_counts(t.raw_trips(spark, sf_dir), t.RULES)
 
 
 @query(

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from orebelt.contract import CANONICAL_FIELDS
 from orebelt.functions import values as v
 from orebelt.functions.names import resolve, resolve_first_value, with_snake_names
 from orebelt.operators import reports
 from orebelt.operators.canonical import lineage
 from orebelt.operators.enrich import with_trip_parts
-from orebelt.operators.shape import conform, keep_ordered, bernoulli_sample, union_by_name
+from orebelt.operators.shape import bernoulli_sample, conform, keep_ordered, union_by_name
 from suite import trips as t
 from suite.registry import query, rounded, with_ctes
 
@@ -31,28 +32,35 @@ def canonical(spark, sf_dir):
     return rounded(t.canonical(spark, sf_dir).withColumn("pickup_date", F.col("pickup_date").cast("string")))
 
 
+# Canonical column and the source name, in snake case, that feeds it in the derived trips.
+_LINEAGE = {
+    "pickup_datetime": "tpep_pickup_datetime", "dropoff_datetime": "tpep_dropoff_datetime", "pickup_location_id": "pulocationid",
+    "dropoff_location_id": "dolocationid", "distancia_millas": "trip_distance", "monto_base": "fare_amount", "monto_total": "total_amount",
+    "propina": "tip_amount", "peajes": "tolls_amount", "extra": "extra", "mta_tax": "mta_tax", "improvement_surcharge": None,
+    "congestion_surcharge": "congestion_surcharge", "airport_fee": "airport_fee", "cbd_congestion_fee": None, "ehail_fee": "ehail_fee",
+    "payment_type": "payment_type", "passenger_count": "passenger_count", "vendor_id": "vendorid", "ratecode_id": "ratecodeid",
+    "trip_type": "trip_type", "shared_ride_flag": "sr_flag",
+}
+
+
 @query(
     "can_lineage",
     with_ctes(
         t.TRIPS,
-        select="SELECT canonical, source, filled FROM (SELECT count(tpep_pickup_datetime) AS pickup_datetime, "
-        'count(trip_distance) AS distancia_millas, count(total_amount) AS monto_total, count("SR_Flag") AS shared_ride_flag '
-        "FROM trips) UNPIVOT (filled FOR canonical IN (pickup_datetime, distancia_millas, monto_total, shared_ride_flag)) "
-        "JOIN (VALUES ('pickup_datetime', 'tpep_pickup_datetime'), ('distancia_millas', 'trip_distance'), "
-        "('monto_total', 'total_amount'), ('shared_ride_flag', 'sr_flag')) AS m(name, source) ON name = canonical",
+        t.canon_cte(),
+        select="SELECT canonical, source, source IS NULL OR source <> canonical AS created, filled FROM (SELECT "
+        + ", ".join(f"count({c}) AS {c}" for c in _LINEAGE)
+        + f" FROM canon) UNPIVOT (filled FOR canonical IN ({', '.join(_LINEAGE)})) JOIN (VALUES "
+        + ", ".join(f"('{c}', {'NULL' if source is None else repr(source)})" for c, source in _LINEAGE.items())
+        + ") AS m(name, source) ON name = canonical",
     ),
 )
 def can_lineage(spark, sf_dir):
-    """Source of four canonical columns and how many values it delivered."""
+    """Source of every canonical column and how many values it delivered."""
     raw = t.raw_trips(spark, sf_dir)
-    wanted = ("pickup_datetime", "distancia_millas", "monto_total", "shared_ride_flag")
-    filled = (
-        t.canonical(spark, sf_dir)
-        .agg(*[F.count(c).alias(c) for c in wanted])
-        .unpivot([], list(wanted), "canonical", "filled")
-    )
-    traced = lineage(spark, raw, "trips").where(F.col("canonical").isin(*wanted))
-    return traced.join(filled, "canonical").select("canonical", "source", "filled")
+    names = [f.name for f in CANONICAL_FIELDS]
+    filled = t.canonical(spark, sf_dir).agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "canonical", "filled")
+    return lineage(spark, raw, "trips").join(filled, "canonical").select("canonical", "source", "created", "filled")
 
 
 @query(
