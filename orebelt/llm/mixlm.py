@@ -42,6 +42,8 @@ _END, _BLANK = 10, 32
 _FIRST, _LARGEST = 64, 8192
 _GROUP = 1 << 18
 _RATE = 0.7
+#: Log-odds are kept in a byte, in steps of this size: the model is broadcast several times.
+ODDS = np.float32(1 / 12)
 _FLUSH = 400_000
 
 
@@ -97,7 +99,7 @@ class Codes:
 @dataclass
 class Model:
     codes: Codes
-    #: Log-odds of a one: by node, and by slot of each hashed table.
+    #: Log-odds of a one in steps of ODDS: by node, and by slot of each hashed table.
     first: np.ndarray
     tables: list[np.ndarray]
     #: Gate of each slot of the word table.
@@ -195,6 +197,7 @@ def score(texts: list[np.ndarray], model: Model, final: bool = False) -> tuple[n
         mixed = node * np.uint32(0x2C1B3C6D)
         slots = [_slots(c[a:b], owner, mixed, bits) for c, bits in zip(contexts, BITS, strict=True)]
         inputs = [model.first[node]] + [t[at] for t, at in zip(model.tables, slots, strict=True)]
+        inputs = [x * ODDS for x in inputs]
         key = doc[a:b][owner] * GATES
         key += model.level[slots[WORD]]
         odds = np.zeros(len(owner), np.float32)
@@ -254,6 +257,7 @@ def _tuned(docs: DataFrame, codes: Codes | None, model: Model | None) -> np.ndar
     sums = docs.select("text").mapInPandas(gather, "k int, n double").groupBy("k").agg(F.sum("n").alias("n"))
     for k, n in sums.collect():  # at most ``width`` rows
         out[k] = round(n, 4)
+    carried.destroy()
     return out
 
 
@@ -287,7 +291,7 @@ def learn(training: DataFrame, doc_id: str = "doc_id") -> tuple[Model, DataFrame
     """
     tuning = F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % TUNING[0] == TUNING[1], F.lit(False))
     training = training.select(F.col("text"), tuning.alias("tuning"))
-    slice_ = training.where("tuning")
+    slice_ = materialize(training.where("tuning").select("text"), "tuning")
     codes = Codes.build(_tuned(slice_, None, None).reshape(256, 256))
     carried = training.sparkSession.sparkContext.broadcast(codes)
 
@@ -330,13 +334,15 @@ def learn(training: DataFrame, doc_id: str = "doc_id") -> tuple[Model, DataFrame
             yield pd.DataFrame(rows, columns=["piece", "part", "h", "c", "data"])
 
     gathered = materialize(training.mapInPandas(count, "piece int, part int, h long, c long, data binary"), "counts")
+    carried.destroy()
     words = gathered.where("piece < 0").groupBy("h").agg(F.sum("c").alias("c"))
     pieces = _summed(_summed(gathered.where("piece >= 0"), ["piece", "part"]), ["piece"])
     counts = np.zeros(2 * 65536 + sum(2 << bits for bits in BITS), np.int64)
     for piece, data in pieces.collect():  # as many rows as the tables have pieces
         counts[piece * 2 * PIECE : (piece + 1) * 2 * PIECE] = np.frombuffer(zlib.decompress(data), np.int64)
     counts = counts.reshape(-1, 2)
-    odds = np.log((counts[:, 1] + 0.2) / (counts[:, 0] + 0.2)).astype(np.float32)
+    odds = np.log((counts[:, 1] + 0.2) / (counts[:, 0] + 0.2)) / ODDS
+    odds = np.clip(np.rint(odds), -127, 127).astype(np.int8)
     cuts = np.cumsum([65536, *(1 << bits for bits in BITS)])
     model = Model(codes, odds[:65536], [odds[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], levels(counts[cuts[WORD] : cuts[WORD + 1]].sum(axis=1)))
     for _ in range(4):
@@ -402,6 +408,7 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"row long, doc_id {kind}, n_tokens long, n_known long, part double, score double, bits_per_byte double, tail_h array<long>, tail_n array<long>"
     rated = materialize(rows.select("doc_id", "text").mapInPandas(rate, schema), "rated")
+    carried.destroy()
     tail = rated.select("row", F.inline(F.arrays_zip(F.col("tail_h").alias("h"), F.col("tail_n").alias("n"))))
     tail = tail.join(vocabulary, "h").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("rest"))
     out = rated.drop("tail_h", "tail_n").join(tail, "row", "left")
