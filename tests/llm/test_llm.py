@@ -467,8 +467,8 @@ def test_scores(spark, hard):
 def test_probabilities_sum_to_one():
     codes = mixlm.Codes.build(np.random.default_rng(0).integers(0, 50, (256, 256)))
     rng = np.random.default_rng(1)
-    tables = [rng.normal(size=1 << b).astype(np.float32) for b in mixlm.BITS]
-    model = mixlm.Model(codes, rng.normal(size=65536).astype(np.float32), tables, np.zeros(1 << mixlm.BITS[mixlm.WORD], np.int8))
+    tables = [rng.integers(-30, 30, 1 << b).astype(np.int8) for b in mixlm.BITS]
+    model = mixlm.Model(codes, rng.integers(-30, 30, 65536).astype(np.int8), tables, np.zeros(1 << mixlm.BITS[mixlm.WORD], np.int8))
     # the next byte after a fixed beginning: the probabilities of all 256 add up to one
     begin = np.frombuffer(b"some wo", np.uint8)
     alone = mixlm.score([begin], model)[0][0]
