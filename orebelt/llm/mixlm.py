@@ -44,7 +44,8 @@ _GROUP = 1 << 18
 _RATE = 0.7
 #: Log-odds are kept in a byte, in steps of this size: the model is broadcast several times.
 ODDS = np.float32(1 / 12)
-_FLUSH = 400_000
+_FLUSH = 150_000
+_ROWS = 128
 
 
 def split(text: str | None) -> list[bytes]:
@@ -376,7 +377,8 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
         model, known = carried.value
         cache: dict[bytes, tuple[int, int]] = {}
         number = TaskContext.get().partitionId() << 32
-        for frame in frames:
+        # a batch of Arrow holds thousands of texts; their words are held for a few of them
+        for frame in (f.iloc[at : at + _ROWS] for f in frames for at in range(0, len(f), _ROWS)):
             found = [split(t) for t in frame["text"]]
             texts = [canonical(w) for w in found]
             scores = np.concatenate([score(texts[a:b], model)[0] for a, b in _groups(map(len, texts))]) if texts else []
