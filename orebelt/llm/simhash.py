@@ -6,10 +6,15 @@ Whatever r positions two fingerprints differ in, some v is orthogonal to all the
 so the pair agrees on all bits that v selects and meets in that table: no link is lost.
 Buckets that many different fingerprints share are covered again over the bits still free,
 which at least halves them, so a bucket is compared only once it is small by construction.
+
+Near copies by Jaccard similarity are found by minimum hashes (Broder, 1997) of the shingles
+themselves: fingerprints of short or evenly edited texts lie too far apart for any small radius.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 import random
 from collections.abc import Iterator
 
@@ -27,7 +32,10 @@ from orebelt.session import materialize
 BUCKET = 128
 #: Below this many free bits a bucket cannot grow past 2 ** FREE and is compared directly.
 FREE = 9
+#: Minimum hashes of a band, and the share of pairs at the wanted similarity that all bands may miss.
+ROWS, MISSED = 4, 1e-9
 _ALL = (1 << 64) - 1
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = 1 << 16
 
 
@@ -160,44 +168,96 @@ def near_groups(docs: DataFrame, width: int = 3, radius: int = 3, doc_id: str =
     return rows.join(named, "fp").select("doc_id", hexed, "component_id")
 
 
+def bands_for(similarity: float) -> int:
+    """Bands of ``ROWS`` minima of which pairs at ``similarity`` share none once in 10 ** 9 times."""
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity must be above 0 and at most 1")
+    return 1 if similarity == 1 else math.ceil(math.log(MISSED) / math.log1p(-(similarity**ROWS)))
+
+
+@functools.cache
+def _orders(n: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(20160)
+    return rng.integers(0, 1 << 31, n, np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, n, np.uint32)
+
+
+def minhashes(text: str | None, shingle: int, bands: int) -> tuple[int, list[int]]:
+    """Digest of the set of word shingles (0 if wordless), and a bucket for each band.
+
+    Two texts share a band's bucket if ``ROWS`` minima over their shingle sets agree, each of
+    which does with the probability of their Jaccard similarity, whatever the texts' lengths.
+    """
+    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not found:
+        return 0, []
+    each = {w: xxhash.xxh64_intdigest(w, 42) for w in set(found)}
+    hashes = np.fromiter((each[w] for w in found), np.uint64, len(found))
+    width = min(shingle, len(found))
+    mixed = np.full(len(found) - width + 1, width, np.uint64)
+    for j in range(width):
+        mixed = (mixed ^ hashes[j : j + len(mixed)]) * _MIX
+        mixed ^= mixed >> np.uint64(29)
+    values = np.unique(mixed)
+    same = xxhash.xxh64_intdigest(values.tobytes(), 42) or 1
+    short = (values >> np.uint64(32)).astype(np.uint32)
+    factor, shift = _orders(ROWS * bands)
+    least = np.full(ROWS * bands, (1 << 32) - 1, np.uint32)
+    for at in range(0, len(short), 256):
+        ranks = factor * short[at : at + 256, None]
+        ranks += shift
+        np.minimum(least, ranks.min(axis=0), out=least)
+    buckets = [xxhash.xxh64_intdigest(x.tobytes(), k) for k, x in enumerate(least.reshape(bands, ROWS))]
+    return _signed(same), [_signed(x) for x in buckets]
+
+
 def _alike(similarity: float) -> Column:
     common = F.size(F.array_intersect("one", "other"))
     union = F.size("one") + F.size("other") - common
     return (union == 0) | (common >= F.lit(similarity) * union)
 
 
-def drop_near_copies(
-    docs: DataFrame, radius: int = 5, shingle: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
+def _verified(pairs: DataFrame, shingled: DataFrame, similarity: float) -> DataFrame:
+    side = lambda end, name: shingled.select(F.col("same").alias(end), F.col("shingles").alias(name))
+    return pairs.join(side("a", "one"), "a").join(side("b", "other"), "b").where(_alike(similarity)).select("a", "b")
+
+
+def _copies(members: DataFrame, shingled: DataFrame, similarity: float) -> DataFrame:
+    """Copies (a, b) between each text of a bucket and the bucket's first text."""
+    pairs = members.where("same <> hub").select(F.col("hub").alias("a"), F.col("same").alias("b")).distinct()
+    return _verified(pairs, shingled, similarity)
+
+
+def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` without near copies; one document of each group stays, in all its columns.
 
-    Candidates are pairs of texts whose three-word fingerprints differ in at most ``radius`` bits,
-    as the links of minimum spanning forests: they join at every smaller distance what all pairs
-    would. Of them, pairs whose sets of ``shingle``-word shingles have Jaccard similarity
-    ``similarity`` or more are copies, measured on 32-bit hashes of the shingles of both whole
-    texts. A group is what copies join; its smallest id stays. Equal texts and repeated rows are
-    one text; null and wordless texts are copies of each other; null ids stay only in groups
-    without any other.
+    Pairs whose sets of ``shingle``-word shingles have Jaccard similarity ``similarity`` or more
+    are copies, measured on 31-bit hashes of the shingles of both whole texts. Candidates share
+    the bucket of a band of minimum hashes over the same shingles; as many bands are searched as
+    miss a pair at ``similarity`` once in 10 ** 9 times, and closer ones less often. A group is
+    what copies join; its smallest id stays. Equal texts and repeated rows are one text; null and
+    wordless texts are copies of each other; null ids stay only in groups without any other.
     """
     key = F.xxhash64(F.col(text), F.lit(1))
-    rows = with_fingerprint(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), key.alias("_key")), 3)
-    rows = materialize(rows.select("_id", "_key", "fp"), "rows")
-    # wordless texts, null or not, are one text
-    rows = rows.withColumn("same", F.when(F.col("fp") == 0, F.lit(0)).otherwise(F.col("_key")))
-    leads = materialize(rows.groupBy("fp").agg(F.min("same").alias("lead")), "leads")
-    links = hamming_links(leads.select("fp"), radius)
-    name = lambda side: leads.select(F.col("fp").alias(side), F.col("lead").alias(f"{side}_key"))
-    links = links.join(name("a"), "a").join(name("b"), "b").select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
-    twins = rows.join(leads, "fp").where("same <> lead").select(F.col("lead").alias("a"), F.col("same").alias("b")).distinct()
-    links = materialize(links.unionAll(twins), "links")
-    named = links.select(F.explode(F.array("a", "b")).alias("_key")).distinct()
+    bands = bands_for(similarity)
+
+    @F.pandas_udf("same bigint, bands array<bigint>")
+    def hashed(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([minhashes(t, shingle, bands) for t in texts], columns=["same", "bands"])
+
+    rows = docs.select(F.col(doc_id).alias("_id"), key.alias("_key"), hashed(F.col(text)).alias("h"))
+    # wordless texts, null or not, are one text, and so are texts with equal shingles
+    rows = materialize(rows.select("_id", "_key", "h.same", "h.bands"), "rows")
+    texts = rows.where(F.size("bands") > 0).groupBy("same").agg(F.min("_key").alias("_key"), F.first("bands").alias("bands"))
+    dealt = texts.select("same", "_key", F.explode("bands").alias("bucket"))
+    shared = dealt.groupBy("bucket").agg(F.count("*").alias("n"), F.min("same").alias("hub")).where("n > 1").select("bucket", "hub")
+    members = materialize(dealt.join(shared, "bucket"), "members")
+    rows = rows.drop("bands")
+    named = members.select("same", "_key").distinct()
     source = docs.select(words(ascii_lower(F.col(text)), BLANK_WORD).alias("w"), key.alias("_key"))
     source = source.join(named, "_key", "left_semi").dropDuplicates(["_key"])
     short = F.transform(window_hashes(F.col("w"), shingle), lambda h: h.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
-    shingled = materialize(source.select("_key", F.array_distinct(short).alias("shingles")), "shingles")
-    side = lambda end, name: shingled.select(F.col("_key").alias(end), F.col("shingles").alias(name))
-    copies = links.join(side("a", "one"), "a").join(side("b", "other"), "b").where(_alike(similarity)).select("a", "b")
-    groups = components(copies).withColumnRenamed("node", "same")
+    shingled = source.select("_key", F.array_distinct(short).alias("shingles")).join(named, "_key").select("same", "shingles")
+    groups = components(_copies(members, materialize(shingled, "shingles"), similarity)).withColumnRenamed("node", "same")
     order = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_key").alias("key"))
     rooted = rows.join(groups, "same", "left").withColumn("root", F.coalesce("root", "same"))
     first = rooted.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")

@@ -379,6 +379,32 @@ def test_near_copies_leave_one(spark, hard):
     assert simhash.drop_near_copies(empty(spark)).count() == 0
 
 
+def edited(rng, base, n):
+    """A copy of ``base`` with ``n`` words changed, far enough apart to break five shingles each."""
+    out = list(base)
+    for at in rng.sample(range(0, len(base) // 6), n):
+        out[at * 6 + 3] = f"e{rng.random()}"
+    return out
+
+
+def shingle_sets(texts):
+    return {k: {tuple(w[i : i + 5]) for w in [t.lower().split()] for i in range(max(1, len(w) - 4))} for k, t in texts.items()}
+
+
+def test_near_copies_are_complete(spark):
+    rng = random.Random(31)
+    texts = {}
+    for k in range(120):
+        base = [f"{w}{rng.randrange(40)}" for w in words(rng.choice([40, 120, 400]), 500 + k)]
+        texts[2 * k] = " ".join(base)
+        texts[2 * k + 1] = " ".join(edited(rng, base, max(1, round(len(base) * rng.uniform(0.005, 0.03)))))
+    sets = shingle_sets(texts)
+    copies = {2 * k + 1 for k in range(120) if len(sets[2 * k] & sets[2 * k + 1]) >= 0.8 * len(sets[2 * k] | sets[2 * k + 1])}
+    assert 20 < len(copies) < 120
+    df = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in texts.items()], DOC)
+    assert set(texts) - {r.doc_id for r in simhash.drop_near_copies(df).collect()} == copies
+
+
 # mixing
 
 
