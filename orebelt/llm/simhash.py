@@ -222,9 +222,40 @@ def _verified(pairs: DataFrame, shingled: DataFrame, similarity: float) -> DataF
 
 
 def _copies(members: DataFrame, shingled: DataFrame, similarity: float) -> DataFrame:
-    """Copies (a, b) between each text of a bucket and the bucket's first text."""
-    pairs = members.where("same <> hub").select(F.col("hub").alias("a"), F.col("same").alias("b")).distinct()
-    return _verified(pairs, shingled, similarity)
+    """Copies (a, b) whose components equal those of all copies that share a bucket.
+
+    At first every text meets the first text of one of its buckets. After that, each round takes
+    the buckets that still hold several components and compares the smallest of these with all
+    others, four times as many a round, until no pair across components is unverified. Copies of
+    one text thus cost few pairs each; only texts that stay apart are compared with each other.
+    """
+    pairs = members.where("same <> hub").groupBy("same").agg(F.min("hub").alias("hub")).select(F.col("hub").alias("a"), F.col("same").alias("b"))
+    members, tried, copies, width, last = members.select("bucket", "same"), None, None, 1, False
+    while True:
+        pairs = materialize(pairs, "pairs")
+        new = materialize(_verified(pairs, shingled, similarity), "copies")
+        tried, copies = (pairs, new) if tried is None else (tried.unionAll(pairs), copies.unionAll(new))
+        if last:
+            return copies
+        joined = components(copies).withColumnRenamed("node", "same")
+        placed = materialize(members.join(joined, "same", "left").select("bucket", "same", F.coalesce("root", "same").alias("comp")), "placed")
+        sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+        parts = sizes.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("n", "comp"))).alias("parts")).where(F.size("parts") > 1)
+        parts = materialize(parts, "parts")
+        members = materialize(placed.join(parts.select("bucket"), "bucket", "left_semi"), "members")
+        widest = parts.agg(F.max(F.size("parts"))).first()[0] or 0
+        pairs = None
+        while widest and not last and (pairs is None or pairs.isEmpty()):
+            last = width >= widest - 1  # every pair across components is among these or those tried
+            few = parts.select("bucket", F.explode(F.slice("parts", 1, width)).alias("part")).select("bucket", F.col("part.comp").alias("comp"))
+            hubs = members.join(few, ["bucket", "comp"]).select("bucket", F.col("comp").alias("own"), F.col("same").alias("hub"))
+            cross = hubs.join(members, "bucket").where("own <> comp").select(F.least("hub", "same").alias("a"), F.greatest("hub", "same").alias("b")).distinct()
+            either = tried.unionAll(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            pairs = materialize(cross.join(either, ["a", "b"], "left_anti"), "pairs")
+            width *= 4
+        members = members.select("bucket", "same")
+        if pairs is None or pairs.isEmpty():
+            return copies
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -405,6 +405,28 @@ def test_near_copies_are_complete(spark):
     assert set(texts) - {r.doc_id for r in simhash.drop_near_copies(df).collect()} == copies
 
 
+def test_near_copies_that_differ_from_the_first_of_their_bucket(spark):
+    rng = random.Random(32)
+    texts = {}
+    for k in range(6):
+        base = [f"{w}{rng.randrange(40)}" for w in words(400, 700 + k)]
+        texts |= {60 * k + j: " ".join(edited(rng, base, rng.randint(3, 9))) for j in range(60)}
+    sets, root = shingle_sets(texts), {k: k for k in texts}
+    for a in texts:
+        for b in range(a // 60 * 60, a):
+            if root[a] != root[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    df = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in texts.items()], DOC)
+    assert {r.doc_id for r in simhash.drop_near_copies(df).collect()} == set(root.values())
+    # one bucket of all: its first text resembles none, the others form two chains
+    runs = {0: range(1000, 1040)} | {10 * c + j: range(100 * c + j, 100 * c + j + 40) for c in (1, 2) for j in range(8)}
+    members = spark.createDataFrame([(7, k, 0) for k in runs], "bucket long, same long, hub long")
+    shingled = spark.createDataFrame([(k, list(v)) for k, v in runs.items()], "same long, shingles array<int>")
+    got = components.components(simhash._copies(members, shingled, 0.95))
+    assert {r.node: r.root for r in got.collect()} == {10 * c + j: 10 * c for c in (1, 2) for j in range(8)}
+
+
 # mixing
 
 
