@@ -2,7 +2,7 @@
 
 A block that holds a license's wording shrinks when the license is the compressor's dictionary.
 Each candidate block is compressed alone and with every template as a raw zstandard dictionary;
-templates are ranked by what they save, and the leaders are confirmed by the exact difference
+templates are ranked by what they save, and all that save anything are confirmed by the exact difference
 of words between template and block.
 """
 
@@ -50,11 +50,10 @@ TEMPLATES = {
 }
 #: A line with one of these may be part of a license.
 TRIGGER = r"(?i)licen[cs]e|permission|redistribut|free software|public domain|creative commons|\bCC0|\bCC BY"
-#: Templates that compression ranks highest and word differences confirm.
-LEADERS = 4
 #: Least share of a template's words that the block must hold in order.
 WORDING = 0.85
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
+_TRIGGER = re.compile(TRIGGER)
 _WINDOW = 400
 
 
@@ -69,62 +68,91 @@ class _Scanner:
                 data = zstandard.ZstdCompressionDict(folded.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 self.known.append((name, folded.split(), zstandard.ZstdCompressor(level=3, dict_data=data)))
 
-    def best(self, block: str) -> list[tuple[str, float, int, int, float]]:
-        """(license, reduction, words missing, words foreign to it, share of wording) of confirmed licenses."""
-        found: dict[str, tuple[str, float, int, int, float]] = {}
-        every = _WORD.findall(block.lower())
+    def _held(self, k: int, words: list[str], matcher: difflib.SequenceMatcher | None, at: int) -> Iterator[tuple]:
+        """(difference, -length, start, end, license, missing, foreign, share) of each place of template k."""
+        _, wanted, _ = self.known[k]
+        if len(words) < WORDING * len(wanted):
+            return
+        if matcher is None:
+            matcher = difflib.SequenceMatcher(None, (), words, autojunk=False)
+        matcher.set_seq1(wanted)
+        same = matcher.get_matching_blocks()[:-1]
+        held = sum(m.size for m in same)
+        if held < WORDING * len(wanted):
+            return
+        start, end = same[0].b, same[-1].b + same[-1].size
+        missing, foreign = len(wanted) - held, end - start - held
+        yield missing + foreign, -len(wanted), at + start, at + end, self.known[k][0], missing, foreign, held / len(wanted)
+        # the notice may stand again on both sides
+        yield from self._held(k, words[:start], None, at)
+        yield from self._held(k, words[end:], None, at + end)
+
+    def best(self, block: list[tuple[int, str]]) -> list[tuple[int, str, float, int, int, float]]:
+        """(line, license, reduction, words missing, words foreign to it, share of wording) of confirmed licenses."""
+        found = []
+        every = [w for _, line in block for w in _WORD.findall(line.lower())]
+        of = [n for n, line in block for _ in _WORD.findall(line.lower())]
         # long blocks are read in half-overlapping windows, each compressed on its own
         for at in range(0, max(1, len(every) - _WINDOW // 2), _WINDOW // 2):
             words = every[at : at + _WINDOW]
             data = " ".join(words).encode()
             alone = len(self.plain.compress(data))
             saved = [(1 - len(c.compress(data)) / alone, k) for k, (_, _, c) in enumerate(self.known)]
-            for reduction, k in sorted(saved, key=lambda x: (-x[0], x[1]))[:LEADERS]:
-                name, wanted, _ = self.known[k]
-                same = difflib.SequenceMatcher(None, wanted, words, autojunk=False).get_matching_blocks()[:-1]
-                held = sum(m.size for m in same)
-                share = held / len(wanted)
-                if share < WORDING or reduction <= 0:
-                    continue
-                span = same[-1].b + same[-1].size - same[0].b
-                row = (name, round(reduction, 6), len(wanted) - held, span - held, share)
-                # the fewest differences win, then the longest wording
-                rank = (row[2] + row[3], -len(wanted))
-                if name not in found or rank < found[name][0]:
-                    found[name] = (rank, row)
-        # of licenses whose notices differ by a word, only the exact ones stay
-        rows = [r for _, r in found.values()]
-        least = min((r[2] + r[3] for r in rows), default=0)
-        return sorted(r for r in rows if r[2] + r[3] == least)
+            matcher = difflib.SequenceMatcher(None, (), words, autojunk=False)
+            for reduction, k in sorted(saved, key=lambda x: (-x[0], x[1])):
+                if reduction > 0:
+                    found += [(*x, reduction) for x in self._held(k, words, matcher, at)]
+        # of wordings that overlap, the one with the fewest differences stays, then the longest
+        kept: list[tuple] = []
+        for x in sorted(found):
+            over = [y for y in kept if y[2] < x[3] and x[2] < y[3]]
+            if all(y[0] == x[0] and y[4] != x[4] for y in over):
+                kept.append(x)
+        return sorted((of[x[2]], x[4], round(x[8], 6), x[5], x[6], x[7]) for x in kept)
+
+
+def blocks(text: str, reach: int) -> Iterator[list[tuple[int, str]]]:
+    """Numbered lines around those with a trigger: at least ``reach`` words on both sides."""
+    lines = text.split("\n")
+    size = [len(_WORD.findall(x)) for x in lines]
+    spans: list[list[int]] = []
+    for i in (i for i, x in enumerate(lines) if _TRIGGER.search(x)):
+        first, last, before, after = i, i, 0, 0
+        while first > 0 and before < reach:
+            first -= 1
+            before += size[first]
+        while last < len(lines) - 1 and after < reach:
+            last += 1
+            after += size[last]
+        if spans and first <= spans[-1][1] + 1:
+            spans[-1][1] = last
+        else:
+            spans.append([first, last])
+    for first, last in spans:
+        yield [(n + 1, lines[n]) for n in range(first, last + 1)]
 
 
 def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Licenses that texts state: ``doc_id, line, license, reduction, missing, foreign, exact``.
 
-    A candidate block is a run of neighbouring lines with a trigger word, ``line`` its first
-    line (from 1). ``reduction`` is the share of the compressed size that the template saves,
+    A candidate block is the lines around a line with a trigger word, as many words as the longest
+    template has on both sides; blocks that meet are one. ``line`` (from 1) is where the wording
+    starts. ``reduction`` is the share of the compressed size that the template saves,
     ``missing`` and ``foreign`` count the words of the template that the block lacks and the
-    block's words between those it has; ``exact`` means neither. Only the closest license of a
-    block is named, all of them if equally close. Null, empty and unlicensed texts have no rows;
+    block's words between those it has; ``exact`` means neither. Of wordings that
+    overlap only the closest is named, all of them if equally close. Null, empty and unlicensed texts have no rows;
     repeated rows have theirs again; lines of any length are read whole.
     """
-    lines = docs.select(F.col(doc_id).alias("doc_id"), F.split(F.col(text), "\n").alias("lines")).where(F.col(text).rlike(TRIGGER))
-    hits = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("lines", i).rlike(TRIGGER))
-    lines = lines.select("doc_id", "lines", hits.alias("hits"))
-    # a block starts at each hit whose previous line is none, and ends where the run ends
-    starts = F.filter("hits", lambda i, k: (k == 0) | (F.get("hits", k - 1) != i - 1))
-    ends = F.filter("hits", lambda i, k: (k == F.size("hits") - 1) | (F.get("hits", k + 1) != i + 1))
-    spans = F.arrays_zip(starts.alias("a"), ends.alias("b"))
-    blocks = F.transform(spans, lambda s: F.struct((s["a"] + 1).alias("line"), F.array_join(F.slice("lines", s["a"] + 1, s["b"] - s["a"] + 1), "\n").alias("block")))
-    blocks = lines.select("doc_id", F.inline(blocks))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col(text).rlike(TRIGGER))
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scanner = _Scanner()
+        reach = max(len(wanted) for _, wanted, _ in scanner.known)
         names = ["doc_id", "line", "license", "reduction", "missing", "foreign", "share"]
         for frame in frames:
-            found = [(d, n, *row) for d, n, b in zip(frame["doc_id"].astype(object), frame["line"], frame["block"], strict=True) for row in scanner.best(b)]
+            found = [(d, *row) for d, t in zip(frame["doc_id"].astype(object), frame["text"], strict=True) for b in blocks(t, reach) for row in scanner.best(b)]
             yield pd.DataFrame(found, columns=names)
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    out = blocks.mapInPandas(compare, f"doc_id {kind}, line int, license string, reduction double, missing int, foreign int, share double")
+    out = rows.mapInPandas(compare, f"doc_id {kind}, line int, license string, reduction double, missing int, foreign int, share double")
     return out.withColumn("exact", (F.col("missing") == 0) & (F.col("foreign") == 0)).drop("share")

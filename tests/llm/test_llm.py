@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -132,6 +133,25 @@ def test_licenses(spark, hard):
     assert licenses.scan_licenses(empty(spark)).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    long = {n: max(f, key=len) for n, f in licenses.TEMPLATES.items() if n in ("MIT", "BSD-3-Clause", "ISC", "MPL-2.0", "Apache-2.0")}
+    rows, want = [], []
+    for k, (name, form) in enumerate(sorted(long.items())):
+        for j, (width, mark) in enumerate([(60, ""), (80, ""), (60, " * "), (72, "// ")]):
+            body = "\n".join(mark + x for x in textwrap.wrap(form, width))
+            rows.append((10 * k + j, f"first line\n\n{body}\n\n" + " ".join(words(80, k))))
+            want.append((10 * k + j, 3, name, True))
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.line, r.license, r.exact) for r in got) == want
+
+
+def test_licenses_at_different_places(spark):
+    mit, gpl = (licenses.TEMPLATES[n][1] for n in ("MIT", "GPL-3.0"))
+    text = f"{mit} {' '.join(words(20, 3))} {gpl.replace('published', 'issued')} {' '.join(words(20, 4))} {mit}"
+    got = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert sorted((r.license, r.exact) for r in got) == [("GPL-3.0", False), ("MIT", True), ("MIT", True)]
+
+
 # chats
 
 
