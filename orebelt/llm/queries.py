@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebelt.llm import ann, chat, decontaminate, language, licenses, lines, mixing, mixlm, simhash, tokens
-from orebelt.llm.common import quality_weights, table
+from orebelt.llm import ann, chat, decontaminate, language, licenses, lines, mixing, mixlm, negatives, periodic, quality, simhash, tokens
+from orebelt.llm.common import BLANK_WORD, quality_weights, table, words
 from orebelt.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
 @query("op1_nearest")
@@ -209,3 +209,100 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language.held_out(F.col("doc_id"), 7, 2)
     scored = mixlm.score_documents(docs, ~held_out)
     return scored.withColumn("held_out", held_out)
+
+
+_OP11 = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+met AS (
+  SELECT a.id AS anchor_id, b.id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS s
+  FROM v a, v b WHERE a.id % 100 = 0 AND a.id <> b.id AND len(a.e) = len(b.e)),
+p AS (SELECT * FROM met WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.s DESC, n.other_id) AS INT) AS rank,
+       n.other_id AS negative_id, p.s AS positive_score, n.s AS negative_score
+FROM p JOIN met n ON p.anchor_id = n.anchor_id AND NOT n.same AND 30 * p.s <= 100 * n.s AND 100 * n.s <= 90 * p.s
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.s DESC, n.other_id) <= 10
+"""
+
+
+@query("op11_hard_negatives", _OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, one label in seven moved on."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    # what has no exact integer of 31 bits is no component; the operator leaves such rows out
+    whole = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.when(F.abs(x) < float(1 << 22), F.floor(x * 256)))
+    return negatives.mine(rows.select("vec_id", label.alias("label"), whole.alias("embedding")), F.col("vec_id") % 100 == 0)
+
+
+_OP12 = r"""
+WITH crc AS (
+  SELECT [list_reduce(list_concat([b], range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1))) FOR b IN range(256)] AS t),
+doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w,
+         xor(4294967295, list_reduce(list_concat([4294967295], [CAST(ascii(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+                                     lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1]))) AS h
+  FROM documents, crc),
+aimed AS (
+  SELECT r, doc_id, w, len(w) AS n, coalesce(h % 10 = 0, false) AND len(w) > 0 AS made, (h // 10) % greatest(len(w), 1) AS a,
+         1 + (len(w) - (h // 10) % greatest(len(w), 1)) // (3 + (h // 10) % 8) AS p
+  FROM doc),
+word AS (
+  SELECT r, n, i, CASE WHEN made AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS x
+  FROM (SELECT *, unnest(range(n)) AS i FROM aimed)),
+gram AS (
+  SELECT r, n, i, [x, lead(x, 1) OVER t, lead(x, 2) OVER t, lead(x, 3) OVER t, lead(x, 4) OVER t] AS g
+  FROM word WINDOW t AS (PARTITION BY r ORDER BY i)),
+met AS (
+  SELECT b.r, b.i, c.i - b.i AS q FROM gram b JOIN gram c ON b.r = c.r AND b.g = c.g
+  WHERE b.i < c.i AND b.i + 5 <= b.n AND c.i + 5 <= b.n AND c.i - b.i <= b.n / 4),
+island AS (
+  SELECT r, q, min(i) AS start, max(i) - min(i) + 5 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS isle FROM met) GROUP BY r, q, isle),
+run AS (
+  SELECT r, start, length, min(q) AS period FROM island WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length),
+listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines,
+         min({'l': -length, 's': start, 'q': period}) AS top
+  FROM run GROUP BY r),
+dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM run),
+body AS (
+  SELECT r, string_agg(x, ' ' ORDER BY i) AS body FROM word ANTI JOIN dropped USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, -top.l AS length, top.q AS period,
+       (-1000 * top.l) // top.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM doc LEFT JOIN listed USING (r) LEFT JOIN body USING (r)
+"""
+
+
+@query("op12_periodic_runs", _OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, one document in ten made to repeat first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", words(F.col("text"), BLANK_WORD).alias("words"))
+    n, h = F.size("words"), F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    made = F.coalesce(h % 10 == 0, F.lit(False)) & (n > 0)
+    docs = docs.withColumn("a", F.when(made, F.pmod(g, F.greatest(n, F.lit(1)))).cast("int"))
+    docs = docs.withColumn("p", (F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + g % 8))).cast("int"))
+    repeated = F.transform("words", lambda w, i: F.when(i >= F.col("a"), F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))).otherwise(w))
+    docs = docs.select("doc_id", F.when(F.col("a").isNull(), F.col("words")).otherwise(repeated).alias("words"))
+    found = periodic.find_runs(docs).withColumn("top", F.array_min(F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"]))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    length, start, period = -F.col("top.col1"), F.col("top.start"), F.col("top.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(length * 1000 / period).alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(periodic.collapse(F.col("words"), F.col("kept")), 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_quality_rules")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics of every document and the verdict of trees fitted to the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    judged = quality.judge(docs, model)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")

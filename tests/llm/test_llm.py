@@ -66,7 +66,7 @@ def test_sql(spark, name):
     got = queries.QUERIES[name](spark, DATA)
     columns = sorted(got.columns)
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "labels", "conversations"):
+    for table in ("documents", "benchmark", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     want = con.sql(queries.ORACLE[name]).df()[columns]
     assert sorted(map(key, got.select(columns).collect())) == sorted(map(key, want.astype(object).itertuples(index=False)))
