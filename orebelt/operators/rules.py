@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orebelt import contract
-from orebelt.functions.names import belongs, find_column, quoted
+from orebelt.functions.names import belongs, find_column, quoted, typed
 from orebelt.functions.values import elapsed_seconds
 from orebelt.operators.shape import dedup_by_key, dedup_rows
 
@@ -61,18 +61,25 @@ def _lasts_at_most(seconds: int) -> Callable[[Column, Column], Column]:
     return lambda begin, end: elapsed_seconds(begin, end) <= seconds
 
 
-def _dated(start: str, end: str) -> Callable[[Column], Column]:
-    return lambda moment: (moment >= F.lit(start).cast("timestamp_ntz")) & (
-        moment < F.lit(end).cast("timestamp_ntz")
-    )
+def _dated(start: str, end: str, closed_midnight: bool = False) -> Callable[[Column], Column]:
+    """From ``start`` to before ``end``; with ``closed_midnight`` up to the last day's first moment."""
+
+    def within(moment: Column) -> Column:
+        stop = F.lit(end).cast("timestamp_ntz")
+        before = moment <= stop - F.expr("INTERVAL 1 DAY") if closed_midnight else moment < stop
+        return (moment >= F.lit(start).cast("timestamp_ntz")) & before
+
+    return within
 
 
 def trip_rules(
     date_range: tuple[str, str] = contract.DATE_RANGE,
     critical: Mapping[str, tuple[str, ...]] = contract.CRITICAL_ROLES,
     reject_negative_duration: bool = False,
+    closed_midnight: bool = False,
 ) -> tuple[Rule, ...]:
-    """The standard trip rules in order. Dates form a half-open range."""
+    """The standard trip rules in order. Dates form a half-open range; ``closed_midnight`` ends it
+    at midnight of the last day, that moment included, as a range between two dates does."""
     needed: dict[str, tuple[str, ...]] = {}
     for dataset, roles in critical.items():
         for role in roles:
@@ -99,7 +106,7 @@ def trip_rules(
         Rule("payment_known", "validez", ("payment_type",), _within(*contract.PAYMENT_RANGE), True),
         Rule("pickup_zone_known", "validez", ("pickup_location_id",), _within(*contract.LOCATION_RANGE), True),
         Rule("dropoff_zone_known", "validez", ("dropoff_location_id",), _within(*contract.LOCATION_RANGE), True),
-        Rule("pickup_in_period", "oportunidad", ("pickup_datetime",), _dated(*date_range)),
+        Rule("pickup_in_period", "oportunidad", ("pickup_datetime",), _dated(*date_range, closed_midnight)),
     )
     if reject_negative_duration:
         order = next(i for i, rule in enumerate(rules) if rule.rule_id == "duration_in_range")
@@ -120,6 +127,10 @@ def role_candidates(extra: Mapping[str, tuple[str, ...]] | None = None) -> dict[
     return {f.name: (f.name, *f.sources, *more.get(f.name, ())) for f in contract.CANONICAL_FIELDS}
 
 
+#: Integer roles meet as doubles, so that a fraction does not pass for the integer below it.
+_MEETING_TYPES = {f.name: "double" if f.dtype == "int" else f.dtype for f in contract.CANONICAL_FIELDS}
+
+
 def bind_roles(df: DataFrame, extra: Mapping[str, tuple[str, ...]] | None = None) -> dict[str, Column]:
     """Canonical role to its value, for the roles the frame has.
 
@@ -131,6 +142,9 @@ def bind_roles(df: DataFrame, extra: Mapping[str, tuple[str, ...]] | None = None
         present = dict.fromkeys(found for c in candidates if (found := find_column(df.columns, [c])))
         if present:
             columns = [quoted(c) for c in present]
+            if len({df.schema[c].dataType for c in present}) > 1:
+                # columns of different types meet in the role's own; what does not fit is no value
+                columns = [typed(df, c, _MEETING_TYPES[role]) for c in present]
             bound[role] = columns[0] if len(columns) == 1 else F.coalesce(*columns)
     return bound
 
@@ -280,42 +294,48 @@ class RuleSet:
         return wide.select(*self.scope, F.col("_original").alias("original"), F.inline(F.array(*entries)))
 
     def _open_scopes(self) -> tuple[DataFrame, list[Column]]:
-        """Scopes in which the guarded rule counts, and the join to them.
-
-        A row that holds the guarding value opens its own scope, so only rows
-        without it depend on the rest of their scope and take part in the join.
-        """
+        """Scopes in which the guarded rule counts, and the join to them."""
         seen = self.df.where(self._reaches_guard()).select(
             *[F.col(c).alias(f"_s{i}") for i, c in enumerate(self.scope)]
         )
         same = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(self.scope)]
-        needs_scope = self.roles[self.guarded.only_if_any].isNull()
-        return seen.distinct(), [needs_scope, *same]
+        return seen.distinct(), same
 
     def survivors(self) -> DataFrame:
-        """Distinct rows that pass every rule; rejected rows never reach the shuffle."""
+        """Distinct rows that pass every rule; rejected rows never reach the shuffle.
+
+        A row that holds the guarding value opens its own scope, so its fate is settled where
+        it is read. Only rows without the value depend on the rest of their scope: they alone
+        are joined to the open scopes, and the others go past the join.
+        """
         firm = [rule for rule in (*self.before, *self.after) if rule is not self.guarded]
         rows = self.df.where(self.first_failure(firm).isNull())
         if self.guarded is not None:
-            guard_value = self.roles[self.guarded.only_if_any]
-            rows = rows.where(guard_value.isNull() | ~self.violates(self.guarded))
-            scopes, on = self._open_scopes()
-            rows = rows.join(scopes, on, "left_anti")
+            has_value = self.roles[self.guarded.only_if_any].isNotNull()
+            scopes, same = self._open_scopes()
+            fails = self.violates(self.guarded)
+            # a row the rule passes stays in any scope, one that holds the value fails in its own
+            rows = rows.where(~fails).unionAll(rows.where(fails & ~has_value).join(scopes, same, "left_anti"))
         return dedup_rows(rows) if self.has_unique else rows
 
     def judged(self) -> DataFrame:
-        """Distinct rows with the rule that rejects them; NULL for rows that stay."""
+        """Distinct rows with the rule that rejects them; NULL for rows that stay.
+
+        Rows that the guarded rule does not decide, and rows that hold the guarding value, go
+        past the join to the open scopes.
+        """
         groups = self.groups()
-        after = F.col("_after_on")
+        verdict = groups.withColumn("_after", F.col("_after_on"))
         if self.guarded is not None:
-            scopes, on = self._open_scopes()
-            groups = groups.join(scopes.withColumn("_guard_on", F.lit(True)), on, "left")
-            opened = self.roles[self.guarded.only_if_any].isNotNull() | F.col("_guard_on")
-            after = F.when(opened, F.col("_after_on")).otherwise(F.col("_after_off"))
-        return groups.select(
+            hangs = self.roles[self.guarded.only_if_any].isNull() & ~F.col("_after_on").eqNullSafe(F.col("_after_off"))
+            scopes, same = self._open_scopes()
+            joined = groups.where(hangs).join(scopes.withColumn("_guard_on", F.lit(True)), same, "left")
+            after = F.when(F.col("_guard_on"), F.col("_after_on")).otherwise(F.col("_after_off"))
+            verdict = verdict.where(~hangs).unionAll(joined.select(*groups.columns, after.alias("_after")))
+        return verdict.select(
             *[quoted(c) for c in self.df.columns],
             "_copies",
-            self.rule_at(F.coalesce(F.col("_before"), after)).alias("_rule"),
+            self.rule_at(F.coalesce(F.col("_before"), F.col("_after"))).alias("_rule"),
             F.col("_before").isNotNull().alias("_all_copies"),
         )
 

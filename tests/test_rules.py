@@ -177,3 +177,55 @@ def test_trip_parts_count_sunday_as_one(spark):
     sunday = dt.datetime(2024, 5, 5, 23, 59)
     got = with_trip_parts(frame(spark, [row(tpep_pickup_datetime=sunday, tpep_dropoff_datetime=sunday + dt.timedelta(seconds=90))])).first()
     assert (got.pickup_day, got.pickup_hour, got.trip_duration_minutes) == (1, 23, 1.5)
+
+
+def test_closed_midnight_ends_at_the_last_days_first_moment(spark):
+    last = dt.datetime(2027, 12, 31)
+    rows = [row(tpep_pickup_datetime=last + dt.timedelta(seconds=n), tpep_dropoff_datetime=last + dt.timedelta(seconds=n)) for n in (-1, 0, 1)]
+    assert r.clean(frame(spark, rows), r.trip_rules()).count() == 3
+    kept = r.clean(frame(spark, rows), r.trip_rules(closed_midnight=True)).collect()
+    assert sorted(x.tpep_pickup_datetime for x in kept) == [last - dt.timedelta(seconds=1), last]
+
+
+def test_roles_of_different_types_meet_without_failing(spark):
+    df = frame(spark, [row(payment_type=None), row(payment_type=9), row(payment_type=2), row(payment_type=None)])
+    df = df.selectExpr("*", "CASE WHEN payment_type IS NULL THEN 'x' ELSE '7' END AS paymenttype")
+    found = {x.rule: x.removed for x in r.cleaning_counts(df, r.trip_rules()).collect()}
+    assert found["payment_known"] == 1 and found["unique_rows"] == 1
+
+
+def _scans(plan):
+    """Per leaf of the executed plan: the operators above it, root first."""
+    paths = []
+
+    def walk(node, above):
+        above = [*above, (node.nodeName(), node.verboseString(200))]
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if not children:
+            paths.append(above)
+        for child in children:
+            walk(child, above)
+
+    walk(plan, [])
+    return paths
+
+
+@pytest.mark.parametrize("form", ["survivors", "judged"])
+def test_rows_with_the_guarding_value_go_past_the_join(spark, form, tmp_path):
+    frame(spark, [row(), row(tpep_dropoff_datetime=None, taxi_type="fhv"), row(taxi_type="fhv")]).write.parquet(str(tmp_path / "t"))
+    held = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.read.parquet(str(tmp_path / "t"))
+        made = getattr(r.RuleSet(df, r.trip_rules()), form)()
+        paths = _scans(made._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", held)
+    straight = [p for p in paths if not any("Join" in name for name, _ in p)]
+    joined = [p for p in paths if any("Join" in name for name, _ in p)]
+    assert len(straight) == 1 and len(joined) == 2
+    # all rows but those without the value: one exchange, the one that removes copies
+    assert sum(name == "Exchange" for name, _ in straight[0]) == 1
+    # what enters the join on the rows' side lacks the value
+    assert any("isnull(tpep_dropoff_datetime" in text for _, text in joined[0])
+    assert made.count() == {"survivors": 2, "judged": 3}[form]
