@@ -1,16 +1,22 @@
 """Star schema store with replaceable source contributions.
 
 A refresh writes the contributions of all stale sources as one batch directory and then
-appends one manifest row per source with its fingerprint and batch; that append is the
-commit. Readers take only the batches the manifest names, and of them only the versions in
-force, so a crash leaves an unused directory but never a wrong fact, and a source that
-became empty cannot leave its old rows behind. Batches without a source in force are
-deleted by ``vacuum``. A publication is one version directory with the fact and all
-dimensions, recorded once with its row counts after its keys have been checked.
+makes one numbered commit with a row per source: its fingerprint and batch. Readers take only
+the batches the manifest names, and of them only the versions in force, so a crash leaves an
+unused directory but never a wrong fact, and a source that became empty cannot leave its old
+rows behind. A commit states which one it was derived from, so a writer that another has
+overtaken fails instead of hiding what the other did; clocks decide nothing.
+
+Batches have levels. ``compact`` merges the versions in force of as many batches of one level as
+the fan-out says into one batch of the next, so a fact of n refreshes is read from a number of
+batches logarithmic in n, and a contribution is rewritten once a level. Batches without a
+source in force are deleted by ``vacuum``. A publication is one version directory with the
+fact and all dimensions, committed with its row counts after its keys have been checked.
 """
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Sequence
@@ -21,10 +27,11 @@ from pyspark.sql import functions as F
 
 from orebelt.contract import FACT_KEYS
 from orebelt.operators import star
-from orebelt.operators.incremental import compare_sources, latest_state
+from orebelt.operators.incremental import compare_sources
 from orebelt.operators.shape import require_unique, union_by_name
 from orebelt.session import materialize
-from orebelt.sources.sinks import append, delete, exists, modified_at
+from orebelt.sources.commits import CommitLog
+from orebelt.sources.sinks import delete, modified_at
 
 _KEY_TYPES = {
     "time_id": "string", "tipo_dataset": "string", "provider_key": "string",
@@ -63,34 +70,36 @@ class StarStore:
     def published_path(self) -> str:
         return f"{self.root}/published"
 
-    def prepare(self, spark: SparkSession) -> None:
-        """Create the empty manifest on first use; later calls do nothing."""
-        if not exists(spark, self.manifest_path):
-            spark.createDataFrame([], MANIFEST_SCHEMA).write.mode("append").parquet(self.manifest_path)
+    @property
+    def commits(self) -> CommitLog:
+        return CommitLog(self.manifest_path, MANIFEST_SCHEMA, "source_id")
+
+    @property
+    def publications(self) -> CommitLog:
+        return CommitLog(f"{self.published_path}/versions", PUBLISHED_SCHEMA)
 
     def manifest(self, spark: SparkSession) -> DataFrame:
         """Active sources with the version in force and the batch that holds it."""
-        log = spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_path)
-        return latest_state(log).where("active")
+        return self.commits.state(spark).where("active").drop("seq")
 
     def batches(self, spark: SparkSession) -> list[str]:
-        """Batches with a version in force; their number is that of refreshes, not of sources."""
+        """Batches with a version in force; their number is logarithmic in that of refreshes
+        where :meth:`compact` follows them."""
         held = self.manifest(spark).where("contribution_rows > 0").select("batch").distinct()
         return sorted(row["batch"] for row in held.collect())
 
     def _batch(self, name: str) -> str:
         return f"{self.contributions_path}/{name}"
 
-    def contributions(self, spark: SparkSession) -> DataFrame:
-        """Contributions in force, read from the batches in force only."""
-        active = self.manifest(spark).select("batch", "source_id", F.col("fingerprint").alias("version"))
-        parts = [
-            spark.read.schema(CONTRIBUTION_SCHEMA).parquet(self._batch(b)).withColumn("batch", F.lit(b))
-            for b in self.batches(spark)
-        ]
-        if not parts:
+    def contributions(self, spark: SparkSession, batches: Sequence[str] | None = None) -> DataFrame:
+        """Contributions in force, of all batches or of some: one scan of the batches in force."""
+        names = self.batches(spark) if batches is None else batches
+        if not names:
             return spark.createDataFrame([], CONTRIBUTION_SCHEMA)
-        return union_by_name(parts).join(active, ["batch", *_VERSION], "left_semi").drop("batch")
+        active = self.manifest(spark).select("batch", "source_id", F.col("fingerprint").alias("version"))
+        batch = F.element_at(F.split("_metadata.file_path", "/"), -2)
+        held = spark.read.schema(CONTRIBUTION_SCHEMA).parquet(*[self._batch(name) for name in names])
+        return held.withColumn("batch", batch).join(active, ["batch", *_VERSION], "left_semi").drop("batch")
 
     def fact(self, spark: SparkSession) -> DataFrame:
         """Merged fact of the active contributions, not yet published."""
@@ -99,18 +108,21 @@ class StarStore:
     def changes(self, spark: SparkSession, fingerprints: DataFrame, force: bool = False) -> DataFrame:
         """Change class of every known source. No contribution is read."""
         state = self.manifest(spark)
-        there = [b for b in self.batches(spark) if exists(spark, self._batch(b))]
+        there = [name for name, _ in modified_at(spark, self.contributions_path)]
         staged = state.where(F.col("batch").isin(there) | (F.col("contribution_rows") == 0)).select("source_id")
         return compare_sources(fingerprints, state, staged, force)
 
     def stage(self, prepared: DataFrame) -> str:
         """Write the contributions of prepared trips as a new batch and return its name.
 
-        ``prepared`` carries ``source_id`` and ``version``. The rebalance hint groups the
-        aggregate by source and splits a source that holds most rows.
+        ``prepared`` carries ``source_id`` and ``version``.
         """
-        batch = f"b-{uuid.uuid4().hex}"
-        star.fact_contribution(prepared, _VERSION).hint("rebalance", *_VERSION).write.parquet(self._batch(batch))
+        return self._write(star.fact_contribution(prepared, _VERSION), 0)
+
+    def _write(self, contributions: DataFrame, level: int) -> str:
+        """A new batch. The rebalance hint groups it by source and splits a source that holds most rows."""
+        batch = f"b-{level}-{uuid.uuid4().hex}"
+        contributions.hint("rebalance", *_VERSION).write.parquet(self._batch(batch))
         return batch
 
     def staged_versions(self, spark: SparkSession, batch: str) -> DataFrame:
@@ -120,21 +132,50 @@ class StarStore:
             F.count(F.lit(1)).alias("contribution_rows")
         )
 
-    def commit(self, spark: SparkSession, versions: DataFrame, batch: str | None, active: bool = True) -> None:
-        """Append manifest rows for ``source_id, fingerprint`` pairs of a staged batch."""
-        rows = versions.withColumn("contribution_rows", F.lit(0).cast("long"))
-        if batch is not None:
-            held = self.staged_versions(spark, batch)
-            rows = versions.join(held, ["source_id", "fingerprint"], "left")
-        rows = rows.select(
-            "source_id",
-            "fingerprint",
-            F.lit(batch).cast("string").alias("batch"),
-            F.lit(active).alias("active"),
-            F.coalesce("contribution_rows", F.lit(0)).alias("contribution_rows"),
-            F.current_timestamp().alias("recorded_at"),
-        )
-        append(rows, self.manifest_path)
+    def commit(self, spark: SparkSession, versions: DataFrame, batch: str | None, gone: DataFrame | None = None, after: int | None = None) -> int:
+        """One commit of the ``source_id, fingerprint`` pairs of a staged batch and of those ``gone``.
+
+        Pairs of ``versions`` without rows in the batch are sources without contributions.
+        ``after`` is the commit that the pairs were derived from.
+        """
+        rows = versions
+        if batch is None:
+            rows = rows.withColumn("contribution_rows", F.lit(0).cast("long"))
+        elif "contribution_rows" not in rows.columns:
+            rows = rows.join(self.staged_versions(spark, batch), ["source_id", "fingerprint"], "left")
+        rows = rows.select("source_id", "fingerprint", "contribution_rows", F.lit(batch).cast("string").alias("batch"), F.lit(True).alias("active"))
+        if gone is not None:
+            left = gone.select("source_id", "fingerprint", F.lit(0).cast("long").alias("contribution_rows"), F.lit(None).cast("string").alias("batch"), F.lit(False).alias("active"))
+            rows = rows.unionByName(left)
+        return self._record(rows, after)
+
+    def _record(self, rows: DataFrame, after: int | None) -> int:
+        counted = F.coalesce("contribution_rows", F.lit(0).cast("long")).alias("contribution_rows")
+        rows = rows.select("source_id", "fingerprint", "batch", "active", counted, F.current_timestamp().alias("recorded_at"))
+        return self.commits.append(rows, after)
+
+    def compact(self, spark: SparkSession, fanout: int = 8) -> list[str]:
+        """Merge batches level by level until no level has ``fanout`` of them; returns new batches.
+
+        Each merge is one commit that only renames where versions in force are held. Versions
+        replaced since a batch was written are left behind. If another writer commits while a
+        merge runs, the merge fails with ``CommitConflict``, its batch is never read, and it can
+        be started again. The manifest is checkpointed too.
+        """
+        made = []
+        while True:
+            base = self.commits.last(spark)
+            levels: dict[int, list[str]] = {}
+            for name in self.batches(spark):
+                levels.setdefault(int(re.match(r"b-(\d+)-", name)[1]), []).append(name)
+            full = next((level for level in sorted(levels) if len(levels[level]) >= fanout), None)
+            if full is None:
+                self.commits.checkpoint(spark)
+                return made
+            names = levels[full]
+            held = self.manifest(spark).where(F.col("batch").isin(names))
+            made.append(self._write(self.contributions(spark, names), full + 1))
+            self._record(held.withColumn("batch", F.lit(made[-1])), base)
 
     def refresh(
         self,
@@ -145,35 +186,38 @@ class StarStore:
         dataset: str | Column = "desconocido",
         year: int | Column | None = None,
     ) -> bool:
-        """Bring contributions in line with the sources; True when anything changed.
+        """Bring contributions in line with the sources in one commit; True when anything changed.
+
+        Fails with ``CommitConflict``, changing nothing, if another writer has committed since
+        the sources were compared.
 
         ``canonical`` has a ``source_id`` column, best a partition column, so that only
         stale sources are read. ``dataset`` and ``year`` fill gaps, as columns such as those
         of ``with_source_identity``.
         """
+        base = self.commits.last(spark)
         # One row per source, used by several jobs below.
         changes = materialize(self.changes(spark, fingerprints, force), "source-changes")
         found = {row["change"]: row["count"] for row in changes.groupBy("change").count().collect()}
+        if not any(found.get(kind) for kind in (*_STALE, "gone")):
+            return False
+        stale = changes.where(F.col("change").isin(*_STALE)).select("source_id", "fingerprint")
+        gone = changes.where("change = 'gone'").select("source_id", F.col("previous_fingerprint").alias("fingerprint"))
+        batch = None
         if any(found.get(kind) for kind in _STALE):
-            stale = changes.where(F.col("change").isin(*_STALE)).select("source_id", "fingerprint")
-            versions = stale.withColumnRenamed("fingerprint", "version")
-            trips = canonical.join(versions, "source_id")
-            self.commit(spark, stale, self.stage(star.star_input(trips, dataset, year, carry=_VERSION)))
-        if found.get("gone"):
-            gone = changes.where("change = 'gone'").select(
-                "source_id", F.col("previous_fingerprint").alias("fingerprint")
-            )
-            self.commit(spark, gone, None, active=False)
-        return any(found.get(kind) for kind in (*_STALE, "gone"))
+            trips = canonical.join(stale.withColumnRenamed("fingerprint", "version"), "source_id")
+            batch = self.stage(star.star_input(trips, dataset, year, carry=_VERSION))
+        self.commit(spark, stale, batch, gone, base)
+        return True
 
     def vacuum(self, spark: SparkSession, grace_seconds: float = 7 * 86400) -> list[str]:
-        """Delete batches without a version in force, and publications but the last, that are
-        older than the grace period, and return their paths."""
+        """Delete batches without a version in force, publications but the last, and commits that a
+        checkpoint covers, where older than the grace period; returns their paths."""
         held = {self._batch(b) for b in self.batches(spark)}
         current = self.current(spark)
         held.add(f"{self.published_path}/{current}")
         limit = time.time() - grace_seconds
-        old = []
+        old = self.commits.trim(spark, limit)
         for folder, prefix in ((self.contributions_path, "b-"), (self.published_path, "v-")):
             for name, at in modified_at(spark, folder):
                 if name.startswith(prefix) and at <= limit and f"{folder}/{name}" not in held:
@@ -183,10 +227,7 @@ class StarStore:
 
     def current(self, spark: SparkSession) -> str | None:
         """The version published last."""
-        if not exists(spark, f"{self.published_path}/versions"):
-            return None
-        log = spark.read.schema(PUBLISHED_SCHEMA).parquet(f"{self.published_path}/versions")
-        return log.agg(F.max_by("version", "published_at")).first()[0]
+        return self.publications.read(spark).agg(F.max_by("version", "seq")).first()[0]
 
     def published(self, spark: SparkSession) -> dict[str, DataFrame]:
         """Fact and dimensions of the version published last."""
@@ -199,7 +240,9 @@ class StarStore:
 
     def publish(self, spark: SparkSession, lookup: DataFrame) -> dict[str, DataFrame]:
         """Write the fact and its ten dimensions as one version, check that keys are unique, and
-        only then record the version with its row counts, in a single append."""
+        only then commit the version with its row counts. Fails with ``CommitConflict`` if another
+        writer has published meanwhile."""
+        base_commit = self.publications.last(spark)
         version = f"v-{uuid.uuid4().hex}"
         base = f"{self.published_path}/{version}"
         self.fact(spark).hint("rebalance", "time_id").write.partitionBy("time_id").parquet(f"{base}/{_FACT}")
@@ -210,7 +253,7 @@ class StarStore:
         for name, key in star.DIMENSION_KEYS.items():
             require_unique(tables[name], [key], name)
         counted = published_counts(tables).select(F.lit(version).alias("version"), "table", "rows", F.current_timestamp().alias("published_at"))
-        append(counted, f"{self.published_path}/versions")
+        self.publications.append(counted, base_commit)
         return tables
 
     def publish_if_needed(

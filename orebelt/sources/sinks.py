@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,23 +77,18 @@ def delete(spark: SparkSession, path: str) -> None:
     store.delete(handle, True)
 
 
-def publish_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a new version directory, then record it in the table of versions.
-
-    Readers take the last recorded version, so they see the old table or the new
-    one, never a half-written one. No data is moved or overwritten.
-    """
-    version = f"{base}/v-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(version)
-    record = df.sparkSession.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
-    append(record, f"{base}/versions")
-    return version
-
-
-def read_current(spark: SparkSession, base: str) -> DataFrame:
-    """The version published last."""
-    latest = spark.read.parquet(f"{base}/versions").agg(F.max_by("version", "published_at")).first()[0]
-    return spark.read.parquet(latest)
+def move_exclusively(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder to a path that must not exist; False if it does."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.FileContext.getFileContext(hadoop.Path(source).toUri(), spark._jsc.hadoopConfiguration())
+    no_options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        files.rename(hadoop.Path(source), hadoop.Path(target), no_options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in error.java_exception.toString():
+            raise
+        return False
+    return True
 
 
 def load_bronze(raw: DataFrame, path: str) -> None:

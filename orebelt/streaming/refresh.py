@@ -1,9 +1,10 @@
 """Contributions kept current by a stream of arriving files.
 
 Every file is its own source, so a batch aggregates new files only and never reads
-a source again. A batch is one directory whatever the number of its files. Versions come
-from the file's own modification time, and the manifest's last entry per source counts: a
-replayed batch replaces what it wrote before, which makes the sink idempotent.
+a source again. A batch is one directory whatever the number of its files, and batches are
+compacted level by level as they come. Versions come from the file's own modification time,
+and the manifest's last entry per source counts: a replayed batch replaces what it wrote
+before, which makes the sink idempotent.
 """
 
 from __future__ import annotations
@@ -38,16 +39,21 @@ def stream_contributions(
     store: StarStore,
     checkpoint: str,
     to_canonical: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    fanout: int = 8,
 ) -> StreamingQuery:
-    """Process what has arrived, then stop. ``to_canonical`` must keep the identity columns."""
+    """Process what has arrived, then stop. ``to_canonical`` must keep the identity columns.
+
+    ``fanout`` is the number of batches of one level that are merged into one of the next.
+    """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         staged = store.stage(star_input(to_canonical(batch), carry=_IDENTITY))
         # files without a trip have no contribution to replace or keep
-        store.commit(spark, store.staged_versions(spark, staged).select("source_id", "fingerprint"), staged)
+        store.commit(spark, store.staged_versions(spark, staged), staged)
+        if batch_id % fanout == fanout - 1:  # no level fills up sooner
+            store.compact(spark, fanout)
 
-    store.prepare(stream.sparkSession)
     return (
         stream.writeStream.foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)

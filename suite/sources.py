@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orebelt.operators import schema as s
 from orebelt.operators.incremental import source_id
 from orebelt.session import scratch_path
-from orebelt.sources import files, sinks, tables
+from orebelt.sources import files, sinks, tables, versions
 from suite import trips as t
 from suite.registry import query, with_ctes
 
@@ -146,9 +146,9 @@ def versioned_publish(spark, sf_dir):
     """A second version replaces the first through the pointer."""
     base = scratch_path(spark, "published")
     facts = t.fact(spark, sf_dir).select("time_id", "cantidad_viajes")
-    sinks.publish_version(facts.where("cantidad_viajes > 1"), base)
-    sinks.publish_version(facts, base)
-    return sinks.read_current(spark, base).groupBy("time_id").agg(F.sum("cantidad_viajes").alias("viajes"))
+    versions.publish_version(facts.where("cantidad_viajes > 1"), base)
+    versions.publish_version(facts, base)
+    return versions.read_current(spark, base).groupBy("time_id").agg(F.sum("cantidad_viajes").alias("viajes"))
 
 
 @query("snk_fact_by_month", with_ctes(*t.STAR, select="SELECT time_id, count(*) AS rows FROM fact GROUP BY 1"))

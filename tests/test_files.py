@@ -5,7 +5,7 @@ import pytest
 
 from orebelt.operators import catalog as c
 from orebelt.operators import schema as s
-from orebelt.sources import files, sinks, tables
+from orebelt.sources import commits, files, sinks, tables, versions
 
 
 def test_probe_and_validate(spark, tmp_path):
@@ -94,9 +94,59 @@ def test_log_keeps_open_objects_as_text(spark, tmp_path):
 
 def test_published_version_is_swapped_whole(spark, tmp_path):
     base = f"{tmp_path}/t"
-    sinks.publish_version(spark.range(3), base)
-    sinks.publish_version(spark.range(5), base)
-    assert sinks.read_current(spark, base).count() == 5
+    versions.publish_version(spark.range(3), base)
+    versions.publish_version(spark.range(5), base)
+    assert versions.read_current(spark, base).count() == 5
+
+
+def test_overtaken_publication_fails_and_changes_nothing(spark, tmp_path):
+    base = f"{tmp_path}/t"
+    versions.publish_version(spark.range(3), base)
+    seen = versions.last_commit(spark, base)
+    versions.publish_version(spark.range(5), base, after=seen)
+    with pytest.raises(commits.CommitConflict):
+        versions.publish_version(spark.range(9), base, after=seen)
+    assert versions.read_current(spark, base).count() == 5 and versions.last_commit(spark, base) == 2
+
+
+LOG = "k string, v int, at timestamp"
+
+
+def test_commits_are_ordered_by_number_not_by_clock(spark, tmp_path):
+    log = commits.CommitLog(f"{tmp_path}/log", LOG, "k")
+    assert log.last(spark) == 0 and log.state(spark).count() == 0
+    clocks = [dt.datetime(2030, 1, 1), dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 1), dt.datetime(2010, 1, 1)]
+    for n, at in enumerate(clocks, 1):
+        assert log.append(spark.createDataFrame([("a", n, at), (f"k{n}", n, at)], LOG)) == n
+    state = {r.k: (r.v, r.seq) for r in log.state(spark).collect()}
+    assert state == {"a": (4, 4), "k1": (1, 1), "k2": (2, 2), "k3": (3, 3), "k4": (4, 4)}
+
+
+def test_of_two_writers_of_one_number_one_fails(spark, tmp_path):
+    log = commits.CommitLog(f"{tmp_path}/log", LOG, "k")
+    row = spark.createDataFrame([("a", 1, None)], LOG)
+    log.append(row, after=0)
+    for stale in (0, 5):  # behind, and ahead of what exists
+        with pytest.raises(commits.CommitConflict):
+            log.append(row, after=stale)
+    assert log.last(spark) == 1 and log.read(spark).count() == 1
+    # the rename itself refuses an existing commit, without any look before it
+    row.write.parquet(f"{tmp_path}/log/_pending-x")
+    assert not sinks.move_exclusively(spark, f"{tmp_path}/log/_pending-x", f"{tmp_path}/log/seq={1:020d}")
+
+
+def test_checkpoint_shortens_the_log_and_keeps_the_state(spark, tmp_path):
+    log = commits.CommitLog(f"{tmp_path}/log", LOG, "k")
+    for n in range(1, 8):
+        log.append(spark.createDataFrame([(f"k{n % 3}", n, None)], LOG).coalesce(1))
+        log.checkpoint(spark, every=3)
+    before = sorted(map(tuple, log.state(spark).collect()))
+    assert [(k, v) for k, v, *_ in before] == [("k0", 6), ("k1", 7), ("k2", 5)]
+    assert len(log.trim(spark, dt.datetime(2100, 1, 1).timestamp())) == 7  # six commits, the first checkpoint
+    assert len([f for f in log.read(spark).inputFiles() if "/log/seq=" in f]) == 1
+    assert sorted(map(tuple, log.state(spark).collect())) == before
+    assert log.append(spark.createDataFrame([("k0", 9, None)], LOG)) == 8
+    assert {r.k: r.v for r in log.state(spark).collect()} == {"k0": 9, "k1": 7, "k2": 5}
 
 
 def test_expected_periods_stop_at_the_current_month(spark):

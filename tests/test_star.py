@@ -1,3 +1,6 @@
+import shutil
+from functools import reduce
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,6 +9,8 @@ from orebelt.operators import star
 from orebelt.operators.canonical import canonicalise, lineage
 from orebelt.operators.shape import require_unique
 from orebelt.contract import HIGH_VOLUME_SOURCES
+from orebelt.plans import star_refresh
+from orebelt.sources.commits import CommitConflict
 from orebelt.plans.star_refresh import StarStore, full_fact, published_counts
 from orebelt.streaming.refresh import file_stream, stream_contributions
 
@@ -69,7 +74,6 @@ def fact_rows(df):
 
 def test_refresh_equals_full_build_after_add_change_remove_and_empty(spark, tmp_path):
     store = StarStore(f"{tmp_path}/star")
-    store.prepare(spark)
     lookup = spark.sql(ZONES)
     trips = spark.sql(TRIPS)
     tables = store.publish_if_needed(spark, trips, prints(trips), lookup)
@@ -97,9 +101,6 @@ def test_refresh_equals_full_build_after_add_change_remove_and_empty(spark, tmp_
 
 def test_only_batches_in_force_are_read_and_kept(spark, tmp_path):
     store = StarStore(f"{tmp_path}/star")
-    for _ in range(3):
-        store.prepare(spark)
-    assert len(list((tmp_path / "star" / "manifest").glob("*.parquet"))) == 1
     trips, lookup = spark.sql(TRIPS), spark.sql(ZONES)
     assert store.publish_if_needed(spark, trips, prints(trips), lookup)
     first, version = store.batches(spark), store.current(spark)
@@ -119,7 +120,6 @@ def test_only_batches_in_force_are_read_and_kept(spark, tmp_path):
 
 def test_failed_check_publishes_nothing(spark, tmp_path, monkeypatch):
     store = StarStore(f"{tmp_path}/star")
-    store.prepare(spark)
     trips, lookup = spark.sql(TRIPS), spark.sql(ZONES)
     store.publish_if_needed(spark, trips, prints(trips), lookup)
     version = store.current(spark)
@@ -138,7 +138,6 @@ def test_failed_check_publishes_nothing(spark, tmp_path, monkeypatch):
 
 def test_type_and_year_fall_back_to_the_source(spark, tmp_path):
     store = StarStore(f"{tmp_path}/star")
-    store.prepare(spark)
     trips = spark.sql(TRIPS).withColumns({"source_type": F.split("source_id", "_")[0], "source_year": F.split("source_id", "_")[1]})
     store.refresh(spark, trips, prints(trips), dataset=F.col("source_type"), year=F.col("source_year"))
     assert {r.tipo_dataset for r in store.fact(spark).collect()} == {"green", "fhv"}
@@ -186,6 +185,79 @@ def test_stream_adds_only_new_files_and_replays_safely(spark, tmp_path):
     assert fact_rows(store.fact(spark)) == fact_rows(full_fact(trips))
 
 
+def test_stream_of_60_files_stays_on_few_batches(spark, tmp_path):
+    """One micro-batch a file; batches in force grow with the logarithm of their number."""
+    source, store, fanout = tmp_path / "in", StarStore(f"{tmp_path}/star"), 3
+    trips = spark.sql(TRIPS).drop("source_id").coalesce(1)
+    trips.write.parquet(f"{tmp_path}/one")
+    part = next((tmp_path / "one").glob("*.parquet"))
+    source.mkdir()
+    for n in range(60):
+        shutil.copy(part, source / f"f{n:03d}.parquet")
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        stream = file_stream(spark, trips.schema, str(source), files_per_trigger=1)
+        stream_contributions(stream, store, f"{tmp_path}/checkpoint", fanout=fanout).awaitTermination()
+        whole = spark.read.parquet(str(source))
+        assert fact_rows(store.fact(spark)) == fact_rows(full_fact(whole))
+        assert store.manifest(spark).count() == 60
+        assert len(store.batches(spark)) <= (fanout - 1) * 4  # 3 ** 4 > 60
+        assert len([f for f in store.commits.read(spark).inputFiles() if "/manifest/seq=" in f]) <= 64
+        store.vacuum(spark, grace_seconds=-60)
+        assert fact_rows(store.fact(spark)) == fact_rows(full_fact(whole))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+
+
+def test_compaction_leaves_replaced_versions_behind(spark, tmp_path):
+    store, trips = StarStore(f"{tmp_path}/star"), spark.sql(TRIPS).where("source_id = 'green_2023'")
+
+    def sources(last, amount):
+        parts = [trips.withColumns({"source_id": F.lit(f"s{n}"), "monto_total": F.lit(amount if n == 2 else float(n))}) for n in range(1, last + 1)]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+    for last in range(1, 5):
+        now = sources(last, 2.0 if last < 4 else 99.0)  # the fourth refresh also replaces s2
+        store.refresh(spark, now, prints(now))
+    assert len(store.batches(spark)) == 3 and store.compact(spark, fanout=4) == []
+    made = store.compact(spark, fanout=3)
+    assert made == store.batches(spark) and made[0].startswith("b-1-")
+    held = spark.read.parquet(f"{store.contributions_path}/{made[0]}")
+    assert held.count() == held.select("source_id").distinct().count() == 4
+    assert fact_rows(store.fact(spark)) == fact_rows(full_fact(now))
+    assert not store.refresh(spark, now, prints(now))
+    assert len(store.vacuum(spark, grace_seconds=-60)) == 4  # the batches before; no commit is covered by a checkpoint
+
+
+def test_overtaken_writers_fail_and_hide_nothing(spark, tmp_path, monkeypatch):
+    store, trips, lookup = StarStore(f"{tmp_path}/star"), spark.sql(TRIPS), spark.sql(ZONES)
+    green, fhv = trips.where("source_id = 'green_2023'"), trips.where("source_id <> 'green_2023'")
+    stage = StarStore.stage
+
+    def overtaken(self, prepared):
+        monkeypatch.setattr(StarStore, "stage", stage)
+        store.refresh(spark, green, prints(green))
+        return stage(self, prepared)
+
+    monkeypatch.setattr(StarStore, "stage", overtaken)
+    with pytest.raises(CommitConflict):
+        store.refresh(spark, fhv, prints(fhv))
+    assert fact_rows(store.fact(spark)) == fact_rows(full_fact(green))
+
+    check = star_refresh.require_unique
+
+    def published_meanwhile(*arguments):
+        monkeypatch.setattr(star_refresh, "require_unique", check)
+        store.publish(spark, lookup)
+        return check(*arguments)
+
+    monkeypatch.setattr(star_refresh, "require_unique", published_meanwhile)
+    with pytest.raises(CommitConflict):
+        store.publish(spark, lookup)
+    assert store.publications.last(spark) == 1
+
+
 def test_canonical_types_and_lineage(spark):
     raw = spark.sql(
         "SELECT 7 AS VendorID, '2024-01-07 10:00:00' AS tpep_pickup_datetime, timestamp_ntz'2024-01-07 10:01:30' AS tpep_dropoff_datetime, "
