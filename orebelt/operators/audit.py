@@ -1,14 +1,15 @@
 """Audit log: event schema, checks, state folds, views and dashboard measures.
 
-Events are folded with ``max_by`` / ``min_by`` per run, so a run's events are merged
-map-side and never replayed in one place. The order of events is their time, then
+Events are folded to the last start and the first and last finish per run, so a run's events
+are merged map-side and never replayed in one place. The order of events is their time, then
 ``event_seq``, which the log reader fills with the place in the log where the log has none;
 if it is missing altogether, a finish follows a start of equal time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,109 +50,102 @@ def invalid_events(events: DataFrame) -> DataFrame:
     return events.select("event_id", "event_type", "status", problem.alias("problem")).where(F.col("problem").isNotNull())
 
 
-def _fold(
-    events: DataFrame,
-    key: str,
-    prefix: str,
-    header: Sequence[str],
-    started: Mapping[str, Column],
-    finished: Mapping[str, Column],
-    unfinished: Mapping[str, Column],
-    unstarted: Mapping[str, Column],
-) -> DataFrame:
-    """Last state per key. A start resets the row, a later finish updates it, and a
-    finish without a start takes its header from the first such finish."""
-    order = F.struct(*_ORDER)
-    is_start, is_finish = F.col("event_type") == f"{prefix}_STARTED", F.col("event_type") == f"{prefix}_FINISHED"
-    start_values = F.struct(*header, *[v.alias(n) for n, v in started.items()])
-    finish_values = F.struct(*[v.alias(n) for n, v in finished.items()])
-    folded = (
-        events.where(is_start | is_finish)
-        .groupBy(key)
-        .agg(
-            F.max_by(start_values, F.when(is_start, order)).alias("s"),
-            F.max(F.when(is_start, order)).alias("s_at"),
-            F.min_by(F.struct(*header), F.when(is_finish, order)).alias("h"),
-            F.max_by(finish_values, F.when(is_finish, order)).alias("f"),
-            F.max(F.when(is_finish, order)).alias("f_at"),
+@dataclass(frozen=True)
+class RunFold:
+    """The last state per run: a start resets the row, a later finish updates it, and a finish
+    without a start takes its header from the first such finish.
+
+    What decides is the last start, the first finish and the last finish. These three form a
+    state that merges in any order and grouping, whole or repeated, so it can be kept as a table
+    and brought forward with new events alone. ``started`` and ``finished`` map columns to
+    expressions over events; ``unfinished`` columns keep those of the start or are filled.
+    """
+
+    key: str
+    prefix: str
+    header: tuple[str, ...]
+    started: Mapping[str, Callable[[], Column]]
+    finished: Mapping[str, Callable[[], Column]]
+    fill: Mapping[str, str]
+
+    def state(self, events: DataFrame) -> DataFrame:
+        """One row per run that the events touch: last start, first and last finish with their order."""
+        order = F.struct(*_ORDER)
+        is_start, is_finish = F.col("event_type") == f"{self.prefix}_STARTED", F.col("event_type") == f"{self.prefix}_FINISHED"
+        start_values = F.struct(*self.header, *[v().alias(n) for n, v in self.started.items()])
+        finish_values = F.struct(*[v().alias(n) for n, v in self.finished.items()])
+        parts = events.where(is_start | is_finish).select(
+            self.key,
+            F.when(is_start, start_values).alias("s"),
+            F.when(is_start, order).alias("s_at"),
+            F.when(is_finish, F.struct(*self.header)).alias("h"),
+            F.when(is_finish, order).alias("h_at"),
+            F.when(is_finish, finish_values).alias("f"),
+            F.when(is_finish, order).alias("f_at"),
         )
-    )
-    has_start = F.col("s_at").isNotNull()
-    # Unnumbered events of equal time: a finish follows its start.
-    later = F.when(F.col("f_at.occurred_at") != F.col("s_at.occurred_at"), F.col("f_at.occurred_at") > F.col("s_at.occurred_at")).otherwise(
-        F.coalesce(F.col("f_at.event_seq") > F.col("s_at.event_seq"), F.lit(True))
-    )
-    ended = F.col("f_at").isNotNull() & (~has_start | later)
-    columns = [F.when(has_start, F.col(f"s.{c}")).otherwise(F.col(f"h.{c}")).alias(c) for c in header]
-    columns += [
-        F.when(has_start, F.col(f"s.{name}")).otherwise(unstarted[name]).alias(name)
-        for name in started
-        if name in unstarted
-    ]
-    columns += [F.when(ended, F.col(f"f.{name}")).otherwise(unfinished[name]).alias(name) for name in finished]
-    return folded.select(key, *columns)
+        return self.merge(parts)
+
+    def merge(self, states: DataFrame) -> DataFrame:
+        """States of the same runs as one; equal orders are told apart by the values."""
+        last = {c: F.max(F.when(F.col(f"{c}_at").isNotNull(), F.struct(F.col(f"{c}_at").alias("at"), F.col(c).alias("v")))) for c in "sf"}
+        first = F.min(F.when(F.col("h_at").isNotNull(), F.struct(F.col("h_at").alias("at"), F.col("h").alias("v"))))
+        merged = states.groupBy(self.key).agg(last["s"].alias("s"), first.alias("h"), last["f"].alias("f"))
+        return merged.select(self.key, *[F.col(f"{c}.{part}").alias(name) for c in "shf" for part, name in (("v", c), ("at", f"{c}_at"))])
+
+    def rows(self, state: DataFrame) -> DataFrame:
+        """The runs of a state."""
+        has_start = F.col("s_at").isNotNull()
+        # Unnumbered events of equal time: a finish follows its start.
+        later = F.when(F.col("f_at.occurred_at") != F.col("s_at.occurred_at"), F.col("f_at.occurred_at") > F.col("s_at.occurred_at")).otherwise(
+            F.coalesce(F.col("f_at.event_seq") > F.col("s_at.event_seq"), F.lit(True))
+        )
+        ended = F.col("f_at").isNotNull() & (~has_start | later)
+        columns = [F.when(has_start, F.col(f"s.{c}")).otherwise(F.col(f"h.{c}")).alias(c) for c in self.header]
+        columns += [F.when(has_start, F.col(f"s.{c}")).otherwise(F.lit(self.fill.get(c))).alias(c) for c in self.started if c not in self.finished]
+        columns += [
+            F.when(ended, F.col(f"f.{c}")).otherwise(F.col(f"s.{c}") if c in self.started else F.lit(self.fill.get(c))).alias(c) for c in self.finished
+        ]
+        return state.select(self.key, *columns)
+
+    def __call__(self, events: DataFrame) -> DataFrame:
+        return self.rows(self.state(events))
+
+
+def _own(name: str, default: str | None = None) -> Callable[[], Column]:
+    return lambda: F.col(name) if default is None else F.coalesce(F.col(name), F.lit(default))
+
+
+_OUTCOME = {"status": _own("status"), "message": _own("message")}
+
+PIPELINE_FOLD = RunFold(
+    "pipeline_id",
+    "PIPELINE",
+    ("pipeline_name", "pipeline_version", "environment", "host_name", "process_id"),
+    {"started_at": _own("occurred_at"), "parameters_json": _own("payload.parameters", _EMPTY_OBJECT), **_OUTCOME},
+    {"finished_at": _own("occurred_at"), **_OUTCOME, "metrics_json": _own("payload.metrics", _EMPTY_OBJECT)},
+    {"parameters_json": _EMPTY_OBJECT, "metrics_json": _EMPTY_OBJECT},
+)
+STAGE_FOLD = RunFold(
+    "stage_run_id",
+    "STAGE",
+    ("pipeline_id", "stage_name"),
+    {"started_at": _own("occurred_at"), "command_json": _own("payload.command", _EMPTY_LIST), **_OUTCOME},
+    {
+        "finished_at": _own("occurred_at"), **_OUTCOME, "metrics_json": _own("payload.metrics", _EMPTY_OBJECT),
+        **{c: _own(f"payload.{c}") for c in ("duration_seconds", "return_code", "stdout_log", "stderr_log")},
+    },
+    {"command_json": _EMPTY_LIST, "metrics_json": _EMPTY_OBJECT},
+)
 
 
 def pipeline_runs(events: DataFrame) -> DataFrame:
     """One row per pipeline run."""
-    header = ("pipeline_name", "pipeline_version", "environment", "host_name", "process_id")
-    return _fold(
-        events,
-        "pipeline_id",
-        "PIPELINE",
-        header,
-        started={
-            "started_at": F.col("occurred_at"),
-            "parameters_json": F.coalesce(F.col("payload.parameters"), F.lit(_EMPTY_OBJECT)),
-            "status": F.col("status"),
-            "message": F.col("message"),
-        },
-        finished={
-            "finished_at": F.col("occurred_at"),
-            "status": F.col("status"),
-            "message": F.col("message"),
-            "metrics_json": F.coalesce(F.col("payload.metrics"), F.lit(_EMPTY_OBJECT)),
-        },
-        unfinished={
-            "finished_at": F.lit(None),
-            "status": F.col("s.status"),
-            "message": F.col("s.message"),
-            "metrics_json": F.lit(_EMPTY_OBJECT),
-        },
-        unstarted={"started_at": F.lit(None), "parameters_json": F.lit(_EMPTY_OBJECT)},
-    )
+    return PIPELINE_FOLD(events)
 
 
 def stage_runs(events: DataFrame) -> DataFrame:
     """One row per stage run."""
-    payload = {c: F.col(f"payload.{c}") for c in ("duration_seconds", "return_code", "stdout_log", "stderr_log")}
-    return _fold(
-        events,
-        "stage_run_id",
-        "STAGE",
-        ("pipeline_id", "stage_name"),
-        started={
-            "started_at": F.col("occurred_at"),
-            "command_json": F.coalesce(F.col("payload.command"), F.lit(_EMPTY_LIST)),
-            "status": F.col("status"),
-            "message": F.col("message"),
-        },
-        finished={
-            "finished_at": F.col("occurred_at"),
-            "status": F.col("status"),
-            "message": F.col("message"),
-            "metrics_json": F.coalesce(F.col("payload.metrics"), F.lit(_EMPTY_OBJECT)),
-            **payload,
-        },
-        unfinished={
-            "finished_at": F.lit(None),
-            "status": F.col("s.status"),
-            "message": F.col("s.message"),
-            "metrics_json": F.lit(_EMPTY_OBJECT),
-            **{c: F.lit(None) for c in payload},
-        },
-        unstarted={"started_at": F.lit(None), "command_json": F.lit(_EMPTY_LIST)},
-    )
+    return STAGE_FOLD(events)
 
 
 _EVENT_KEYS = ("event_id", "occurred_at", "pipeline_id", "stage_run_id", "stage_name", "status")

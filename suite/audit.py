@@ -14,6 +14,7 @@ from orebelt.plans.audit_views import history_views, latest_views
 from orebelt.session import materialize, scratch_path
 from orebelt.sources.sinks import append_events
 from orebelt.sources.tables import read_event_log
+from orebelt.streaming.runs import current_runs, stream_runs
 from suite import trips as t
 from suite.registry import query, rounded, with_ctes
 
@@ -80,7 +81,11 @@ _PAYLOAD = {
 
 def log(spark, sf_dir):
     """Audit events in the library's event schema."""
-    keyed = t.table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return to_log(t.table(spark, sf_dir, "events"))
+
+
+def to_log(events):
+    keyed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     typed = keyed.withColumn("kind", F.expr(_TYPE))
     payload = F.struct(*[F.expr(sql).alias(name) for name, sql in _PAYLOAD.items()])
     return typed.select(*[F.expr(sql).alias(name) for name, sql in _FLAT.items()], payload.alias("payload"))
@@ -158,6 +163,28 @@ def stage_runs(spark, sf_dir):
     return a.stage_runs(log(spark, sf_dir))
 
 
+def _streamed(spark, sf_dir, fold):
+    """Events arrive in four files, the newest first, and the first file once more at the end."""
+    arrived = scratch_path(spark, "arriving-events")
+    events = t.table(spark, sf_dir, "events")
+    events.repartitionByRange(4, F.col("ts").desc(), "event_id").write.parquet(arrived)
+    events.where("event_id % 5 = 0").coalesce(1).write.mode("append").parquet(arrived)
+    root = scratch_path(spark, "run-states")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arrived)
+    stream_runs(stream, [fold], root, scratch_path(spark, "run-checkpoint"), to_log, fanout=2).awaitTermination()
+    return current_runs(spark, fold, root)
+
+
+@query("str_pipeline_runs", with_ctes(*LOG, RUNS, select="SELECT * FROM runs"))
+def streamed_pipeline_runs(spark, sf_dir):
+    return _streamed(spark, sf_dir, a.PIPELINE_FOLD)
+
+
+@query("str_stage_runs", with_ctes(*LOG, STAGES, select="SELECT * FROM stages"))
+def streamed_stage_runs(spark, sf_dir):
+    return _streamed(spark, sf_dir, a.STAGE_FOLD)
+
+
 @query("aud_file_runs", with_ctes(*LOG, *FILES, select="SELECT * FROM files"))
 def file_runs(spark, sf_dir):
     return a.file_runs(log(spark, sf_dir))

@@ -1,10 +1,15 @@
 import json
+import random
+from functools import reduce
 
+import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orebelt.operators import audit as a
 from orebelt.plans.audit_views import export_views
 from orebelt.sources.tables import read_event_log
+from orebelt.streaming.runs import current_runs, run_table, stream_runs
 
 
 def event(seq, kind, pipeline="p", stage=None, status="RUNNING", message=None, **payload):
@@ -109,3 +114,45 @@ def test_log_without_numbers(spark, tmp_path):
     assert a.stage_runs(log).first().status == "SUCCESS"
     unplaced = log.withColumn("event_seq", F.lit(None).cast("long")).where("pipeline_id = 'p'")
     assert a.pipeline_runs(unplaced).first().status == "SUCCESS" and a.stage_runs(unplaced).first().status == "SUCCESS"
+
+
+def _random_events(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    kinds = ["PIPELINE_STARTED", "PIPELINE_FINISHED", "STAGE_STARTED", "STAGE_FINISHED"]
+    items = []
+    for n in range(60):
+        kind = rng.choice(kinds)
+        stage = f"s{rng.randint(1, 5)}" if kind.startswith("STAGE") else None
+        items.append(event(n, kind, f"p{rng.randint(1, 5)}", stage, rng.choice(["SUCCESS", "FAILED", "RUNNING"]), f"m{n}"))
+    return events(spark, tmp_path, *items)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_run_state_of_any_split_equals_the_whole_log(spark, tmp_path, seed):
+    log = _random_events(spark, tmp_path, seed)
+    for fold in (a.PIPELINE_FOLD, a.STAGE_FOLD):
+        whole = sorted(map(str, fold(log).collect()))
+        for parts in (2, 5):
+            pieces = [fold.state(log.where(F.pmod(F.hash("event_id", F.lit(seed)), F.lit(parts)) == n)) for n in range(parts)]
+            pieces += [pieces[0], fold.state(log.where("event_seq % 3 = 0"))]  # repeated and late events
+            merged = reduce(DataFrame.unionByName, reversed(pieces))
+            assert sorted(map(str, fold.rows(fold.merge(merged)).collect())) == whole
+
+
+def test_streamed_runs_equal_the_whole_log_at_every_step(spark, tmp_path):
+    log, source, root = _random_events(spark, tmp_path, 3), tmp_path / "in", f"{tmp_path}/state"
+    assert current_runs(spark, a.PIPELINE_FOLD, root) is None
+    for step, part in enumerate(("event_seq >= 30", "event_seq < 10", "event_seq between 5 and 40")):
+        log.where(part).coalesce(1).write.mode("append").parquet(str(source))
+        stream = spark.readStream.schema(log.schema).parquet(str(source))
+        # the last step also replays everything under a new checkpoint
+        stream_runs(stream, [a.PIPELINE_FOLD, a.STAGE_FOLD], root, f"{tmp_path}/check{step // 2}", fanout=2).awaitTermination()
+        so_far = spark.read.parquet(str(source))
+        for fold in (a.PIPELINE_FOLD, a.STAGE_FOLD):
+            assert sorted(map(str, current_runs(spark, fold, root).collect())) == sorted(map(str, fold(so_far).collect()))
+    table = run_table(root, a.PIPELINE_FOLD)
+    before = sorted(map(str, table.read(spark).collect()))
+    table.compact(spark, fanout=2)
+    assert sorted(table.deltas(spark).values()) == [0, 1]  # three batches
+    assert table.vacuum(spark, grace_seconds=-60)
+    assert sorted(map(str, table.read(spark).collect())) == before
