@@ -8,6 +8,9 @@ from orebelt.contract import QUALITY_THRESHOLDS, QUALITY_WEIGHTS
 from orebelt.operators import profile as p
 from orebelt.operators import quality as q
 from orebelt.operators import reports, rules
+from orebelt.plans.profile_store import ProfileStore
+from orebelt.session import scratch_path
+from orebelt.sources.sinks import overwrite_partitions
 from suite import trips as t
 from suite.cleaning import CHAIN, LAST
 from suite.registry import query, rounded, with_ctes
@@ -154,6 +157,45 @@ def merge_year_exact(spark, sf_dir):
     return rounded(merged.drop("distinct_avg"), 6, means=("mean",), stddev=5)
 
 
+def _stored(spark, sf_dir):
+    """Profile states of the first half of each year, then of the months that are left."""
+    path, store = scratch_path(spark, "raw-by-month"), ProfileStore(scratch_path(spark, "profile-states"))
+    raw = t.raw_trips(spark, sf_dir)
+    overwrite_partitions(raw.select(*MONTH, *COLUMNS).hint("rebalance", *MONTH), path, MONTH)
+    records = spark.read.parquet(path)
+    store.refresh(spark, records.where("file_month <= 6"), list(COLUMNS))
+    store.refresh(spark, records, list(COLUMNS))
+    return store
+
+
+@query(
+    "prf_incremental_year",
+    with_ctes(
+        *YEARLY,
+        select='SELECT taxi_type, file_year, "column", dtype, n, nulls, round(null_pct, 6) AS null_pct, round(min, 6) AS min, '
+        "round(max, 6) AS max, round(mean + 3.7e-8, 6) AS mean, round(stddev, 6) AS stddev FROM prof",
+    ),
+)
+def incremental_year(spark, sf_dir):
+    """Yearly profiles from monthly states stored in two refreshes; the SQL profiles all rows at once."""
+    merged = _stored(spark, sf_dir).profile(spark).drop("distinct", "distinct_pct")  # estimates: see the tests
+    return rounded(merged, means=("mean",))
+
+
+@query(
+    "prf_yearly_trend",
+    with_ctes(
+        *YEARLY,
+        "mon AS (SELECT taxi_type, file_year, count(DISTINCT file_month) AS months FROM trips GROUP BY 1, 2)",
+        f"sc AS ({_scores_sql('initial', t.SCOPE)})",
+        select="SELECT taxi_type, file_year, months, records, quality_score FROM sc JOIN mon USING (taxi_type, file_year)",
+    ),
+)
+def yearly_trend(spark, sf_dir):
+    """Records, quality score and months of every type and year, from stored states."""
+    return _stored(spark, sf_dir).trend(spark)
+
+
 _CLASS = (
     "cls AS (SELECT *, CASE WHEN null_pct = 100 THEN 'all_null' WHEN \"distinct\" = 1 THEN 'constant' "
     "WHEN null_pct > 50 THEN 'high_null' WHEN null_pct = 0 THEN 'zero_null' ELSE 'useful' END AS usefulness FROM prof)"

@@ -1,6 +1,7 @@
 import pytest
 
 from orebelt.operators import profile as p
+from orebelt.plans.profile_store import ProfileStore
 from orebelt.operators import quality as q
 from orebelt.operators import schema as s
 
@@ -127,3 +128,55 @@ def test_drift_report_form_turns_reported_columns_into_text(spark):
 def test_default_schema_sizes(spark):
     sizes = {r.dataset: r["count"] for r in s.default_schemas(spark).groupBy("dataset").count().collect()}
     assert sizes == {"yellow": 19, "green": 20, "fhv": 6, "fhvhv": 25}
+
+
+def _months(spark, offset=1e9):
+    return spark.range(4000).selectExpr(
+        "'d' AS taxi_type", "2024 AS file_year", "CAST(1 + id % 4 AS INT) AS file_month",
+        f"IF(id % 7 = 0, NULL, {offset}D + (id * 37 % 1000) * 0.001D) AS x", "CAST(id % 1300 AS INT) AS y", "CONCAT('v', id) AS s",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(id % 50 AS INT)) AS m", "CAST(NULL AS DOUBLE) AS z",
+    )
+
+
+def test_stored_months_equal_a_profile_of_all_rows_even_far_from_zero(spark, tmp_path):
+    df, store = _months(spark), ProfileStore(f"{tmp_path}/states")
+    assert store.states(spark) is store.profile(spark) is store.trend(spark) is None
+    store.refresh(spark, df.where("file_month < 3"))
+    store.refresh(spark, df)
+    merged = {r.column: r for r in store.profile(spark).collect()}
+    direct = {r.column: r for r in p.column_profile(df, ["taxi_type", "file_year"], ["x", "y", "s", "m", "z"]).collect()}
+    assert set(merged) == set(direct)
+    for name, got in merged.items():
+        want = direct[name]
+        assert (got.n, got.nulls, got.dtype, got.min, got.max) == (want.n, want.nulls, want.dtype, want.min, want.max)
+        assert (got.mean, got.stddev) == (None, None) if want.mean is None else (got.mean, got.stddev) == (pytest.approx(want.mean, rel=1e-15), pytest.approx(want.stddev, rel=1e-6))
+        assert got.distinct == pytest.approx(want.distinct, rel=0.03)
+    assert direct["x"].stddev == pytest.approx(0.2887, rel=1e-2)
+    trend = store.trend(spark).first()
+    assert (trend.months, trend.records) == (4, 4000)
+    whole = {r.column: r for r in store.profile(spark, by=()).collect()}
+    assert whole["x"].stddev == pytest.approx(direct["x"].stddev, rel=1e-6) and whole["x"].n == 4000
+
+
+def test_exact_merge_is_stable_far_from_zero(spark):
+    df = _months(spark)
+    scope = ["taxi_type", "file_year"]
+    merged = p.merge_profiles(p.column_profile(df, [*scope, "file_month"], ["x"]), scope, "file_month", exact=True).first()
+    direct = p.column_profile(df, scope, ["x"]).first()
+    assert merged.mean == pytest.approx(direct.mean, rel=1e-15) and merged.stddev == pytest.approx(direct.stddev, rel=1e-6)
+
+
+def test_only_pending_months_are_scanned(spark, tmp_path):
+    path, store = f"{tmp_path}/records", ProfileStore(f"{tmp_path}/states")
+    _months(spark).write.partitionBy("taxi_type", "file_year", "file_month").parquet(path)
+    records = spark.read.parquet(path)
+    assert store.refresh(spark, records.where("file_month <> 3")).count() == 3
+    # a month with a state is not opened again: its broken file does no harm
+    for part in (tmp_path / "records" / "taxi_type=d" / "file_year=2024" / "file_month=1").glob("*.parquet"):
+        part.write_bytes(b"broken")
+        (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    months = spark.createDataFrame([("d", 2024, n) for n in range(1, 5)], "taxi_type string, file_year int, file_month int")
+    done = store.refresh(spark, spark.read.schema(records.schema).parquet(path), available=months)
+    assert [r.file_month for r in done.collect()] == [3]
+    assert store.refresh(spark, spark.read.schema(records.schema).parquet(path), available=months).isEmpty()
+    assert store.trend(spark).first().months == 4 and store.profile(spark).where("column = 's'").first().n == 4000
