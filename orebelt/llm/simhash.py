@@ -34,6 +34,8 @@ BUCKET = 128
 FREE = 9
 #: Minimum hashes of a band, and the share of pairs at the wanted similarity that all bands may miss.
 ROWS, MISSED = 4, 1e-9
+#: Shingles of the texts that ask, and of those that are asked, in a block.
+ASKED, HELD = 1 << 17, 1 << 20
 _ALL = (1 << 64) - 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = 1 << 16
@@ -221,41 +223,97 @@ def _verified(pairs: DataFrame, shingled: DataFrame, similarity: float) -> DataF
     return pairs.join(side("a", "one"), "a").join(side("b", "other"), "b").where(_alike(similarity)).select("a", "b")
 
 
+def _linked(similarity: float, mine: tuple[np.ndarray, ...], theirs: tuple[np.ndarray, ...]) -> list[tuple[int, int]]:
+    """Links between the texts of two blocks that are in different components, as few as join the
+    same components as all such pairs at the similarity would.
+
+    A block is ids, components, numbers of shingles and all shingles in a row. Overlaps with a whole block are
+    counted through its shingles in order, for texts of a fitting size only.
+    """
+    ids, comps, sizes, shingles = mine
+    other_ids, other_comps, other_sizes, other_shingles = theirs
+    _, labels = np.unique(np.concatenate((comps, other_comps)), return_inverse=True)
+    own, other = labels[: len(ids)].copy(), labels[len(ids) :].copy()
+    order = np.argsort(other_shingles, kind="stable")
+    values, owners = other_shingles[order], np.repeat(np.arange(len(other_ids)), other_sizes)[order]
+    links = []
+    for i, part in enumerate(np.split(shingles, np.cumsum(sizes)[:-1])):
+        small, large = np.minimum(other_sizes, sizes[i]), np.maximum(other_sizes, sizes[i])
+        fits = (other != own[i]) & (small >= similarity * large)
+        if not fits.any():
+            continue
+        low, high = np.searchsorted(values, part, "left"), np.searchsorted(values, part, "right")
+        count = high - low
+        at = np.repeat(low - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+        common = np.bincount(owners[at], minlength=len(other_ids))
+        alike = np.flatnonzero(fits & (common >= similarity * (sizes[i] + other_sizes - common)))
+        for label, first in zip(*np.unique(other[alike], return_index=True), strict=True):
+            links.append((int(ids[i]), int(other_ids[alike[first]])))
+            own[own == label], other[other == label] = own[i], own[i]
+    return links
+
+
+def _links_between(texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between components of a group, complete up to what they join.
+
+    ``texts`` (grp, same, comp, shingles). The largest component of a group is not compared with
+    itself; the texts of the others are compared with the whole group, block by block. Blocks
+    hold a bounded number of shingles, so a group of any size is many tasks.
+    """
+    sized = texts.withColumn("size", F.size("shingles"))
+    by_comp = sized.groupBy("grp", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("part"))
+    largest = F.max(F.struct("n", "comp", "part")).alias("main")
+    whole = by_comp.groupBy("grp").agg(largest, F.sum("part").alias("total"))
+    sized = sized.join(whole.select("grp", F.col("main.comp").alias("main"), "total", (F.col("total") - F.col("main.part")).alias("asked")), "grp")
+
+    def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        blob = lambda column, kind: np.asarray(column, kind).tobytes()
+        whole = np.concatenate([np.asarray(x, np.int32) for x in frame["shingles"]])
+        return pd.DataFrame({"grp": [key[0]], "ids": [blob(frame["same"], np.int64)], "comps": [blob(frame["comp"], np.int64)], "sizes": [blob(frame["size"], np.int64)], "shingles": [whole.tobytes()]})
+
+    def blocks(rows: DataFrame, total: str, limit: int) -> DataFrame:
+        chunk = F.pmod(F.xxhash64("same"), F.ceil(F.col(total) / limit)).alias("chunk")
+        return rows.select("grp", chunk, "same", "comp", "size", "shingles").groupBy("grp", "chunk").applyInPandas(pack, "grp bigint, ids binary, comps binary, sizes binary, shingles binary")
+
+    @F.udf("array<struct<a: bigint, b: bigint>>", useArrow=False)
+    def compare(*blobs: bytes) -> list[tuple[int, int]]:
+        kinds = (np.int64, np.int64, np.int64, np.int32)
+        opened = [np.frombuffer(x, kind) for x, kind in zip(blobs, kinds * 2, strict=True)]
+        return _linked(similarity, tuple(opened[:4]), tuple(opened[4:]))
+
+    names = ("ids", "comps", "sizes", "shingles")
+    asking = blocks(sized.where("comp <> main"), "asked", ASKED).select("grp", *[F.col(c).alias(f"q_{c}") for c in names])
+    met = materialize(asking, "asking").join(materialize(blocks(sized, "total", HELD), "held"), "grp")
+    return met.select(F.inline(compare(*[f"q_{c}" for c in names], *names)))
+
+
 def _copies(members: DataFrame, shingled: DataFrame, similarity: float) -> DataFrame:
     """Copies (a, b) whose components equal those of all copies that share a bucket.
 
-    At first every text meets the first text of one of its buckets. After that, each round takes
-    the buckets that still hold several components and compares the smallest of these with all
-    others, four times as many a round, until no pair across components is unverified. Copies of
-    one text thus cost few pairs each; only texts that stay apart are compared with each other.
+    At first every text meets the first text of one of its buckets, then, where that left it in
+    another component, the first texts of all its buckets: a bounded number of pairs a text.
+    Copies of one text are joined by then. What is left are buckets that still hold several
+    components: buckets with a text in common form a group, and inside a group the components
+    are compared block by block, which adds rows for links only.
     """
     pairs = members.where("same <> hub").groupBy("same").agg(F.min("hub").alias("hub")).select(F.col("hub").alias("a"), F.col("same").alias("b"))
-    members, tried, copies, width, last = members.select("bucket", "same"), None, None, 1, False
-    while True:
-        pairs = materialize(pairs, "pairs")
-        new = materialize(_verified(pairs, shingled, similarity), "copies")
-        tried, copies = (pairs, new) if tried is None else (tried.unionAll(pairs), copies.unionAll(new))
-        if last:
-            return copies
-        joined = components(copies).withColumnRenamed("node", "same")
-        placed = materialize(members.join(joined, "same", "left").select("bucket", "same", F.coalesce("root", "same").alias("comp")), "placed")
-        sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-        parts = sizes.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("n", "comp"))).alias("parts")).where(F.size("parts") > 1)
-        parts = materialize(parts, "parts")
-        members = materialize(placed.join(parts.select("bucket"), "bucket", "left_semi"), "members")
-        widest = parts.agg(F.max(F.size("parts"))).first()[0] or 0
-        pairs = None
-        while widest and not last and (pairs is None or pairs.isEmpty()):
-            last = width >= widest - 1  # every pair across components is among these or those tried
-            few = parts.select("bucket", F.explode(F.slice("parts", 1, width)).alias("part")).select("bucket", F.col("part.comp").alias("comp"))
-            hubs = members.join(few, ["bucket", "comp"]).select("bucket", F.col("comp").alias("own"), F.col("same").alias("hub"))
-            cross = hubs.join(members, "bucket").where("own <> comp").select(F.least("hub", "same").alias("a"), F.greatest("hub", "same").alias("b")).distinct()
-            either = tried.unionAll(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = materialize(cross.join(either, ["a", "b"], "left_anti"), "pairs")
-            width *= 4
-        members = members.select("bucket", "same")
-        if pairs is None or pairs.isEmpty():
-            return copies
+    copies = materialize(_verified(materialize(pairs, "pairs"), shingled, similarity), "copies")
+    placed = _placed(members, components(copies))
+    pairs = placed.where("comp <> hub_comp").select(F.col("hub").alias("a"), F.col("same").alias("b")).distinct()
+    copies = copies.unionAll(materialize(_verified(materialize(pairs, "pairs"), shingled, similarity), "copies"))
+    placed = materialize(_placed(members, components(copies)), "placed")
+    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
+    mixed = materialize(placed.join(mixed.select("bucket"), "bucket", "left_semi").select("hub", "same", "comp").distinct(), "mixed")
+    groups = components(mixed.select(F.col("hub").alias("a"), F.col("same").alias("b")))
+    texts = mixed.select("same", "comp").distinct().join(groups.select(F.col("node").alias("same"), F.col("root").alias("grp")), "same")
+    return copies.unionAll(materialize(_links_between(texts.join(shingled, "same"), similarity), "links"))
+
+
+def _placed(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members of buckets with their component and that of the bucket's first text."""
+    of = lambda end, name: joined.select(F.col("node").alias(end), F.col("root").alias(f"_{name}"))
+    rows = members.select("bucket", "hub", "same").join(of("same", "comp"), "same", "left").join(of("hub", "hub_comp"), "hub", "left")
+    return rows.select("bucket", "hub", "same", F.coalesce("_comp", "same").alias("comp"), F.coalesce("_hub_comp", "hub").alias("hub_comp"))
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

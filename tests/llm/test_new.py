@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orebelt.llm import negatives, periodic, quality
+from orebelt.llm import negatives, periodic, quality, simhash
 from orebelt.llm.common import BLANK_WORD, words
 
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
@@ -209,3 +209,61 @@ def test_quality_without_labels_or_rows(spark, judged_docs):
         assert kept == 0
     assert quality.judge(df.limit(0), quality.fit(df.limit(0), labels)).count() == 0
     assert not quality.judge(df, quality.fit(df, labels.where("quality = 0"))).where("kept").count()
+
+
+# near copies of the pipeline, where no text of a bucket resembles the first one
+
+
+def test_links_between_blocks_join_what_all_pairs_join():
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        base = rng.integers(0, 400, (6, 30))
+        texts = [np.unique(np.where(rng.random(30) < rng.choice([0.02, 0.1, 0.2]), rng.integers(0, 400, 30), base[rng.integers(0, 6)])) for _ in range(40)]
+        comps = rng.integers(0, 30, 40)
+        block = lambda at: (np.array(at), comps[at], np.array([len(texts[i]) for i in at]), np.concatenate([texts[i] for i in at]).astype(np.int32))
+        root = {int(c): int(c) for c in comps}
+        want = dict(root)
+
+        def join(of, x, y):
+            a, b = of[int(comps[x])], of[int(comps[y])]
+            for c, r in of.items():
+                if r == b:
+                    of[c] = a
+
+        asking, held = list(range(15)), list(range(40))
+        for x in asking:
+            for y in held:
+                common = len(np.intersect1d(texts[x], texts[y]))
+                if common >= 0.8 * (len(texts[x]) + len(texts[y]) - common):
+                    join(want, x, y)
+        links = simhash._linked(0.8, block(asking), block(held))
+        for x, y in links:
+            join(root, x, y)
+        classes = lambda of: {frozenset(c for c in of if of[c] == r) for r in of.values()}
+        assert classes(root) == classes(want)
+        assert len(links) <= 29
+
+
+def test_near_copies_in_a_crowd_that_is_no_copy(spark, monkeypatch):
+    """Texts of one family at Jaccard about 0.6 share buckets without being copies; the planted pairs are."""
+    monkeypatch.setattr(simhash, "ASKED", 400)
+    monkeypatch.setattr(simhash, "HELD", 900)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    texts = {}
+    for n in range(60):
+        own = list(base)
+        for k in rng.sample(range(120), 6):
+            own[k] = f"x{n}-{k}"
+        texts[2 * n] = own
+        texts[2 * n + 1] = own[:-1] + [f"y{n}"] if n % 2 else [f"{w}-{n}" for w in own]
+    sets = {i: {tuple(t[k : k + 5]) for k in range(len(t) - 4)} for i, t in texts.items()}
+    root = {i: i for i in texts}
+    for i in texts:
+        for j in texts:
+            if i < j and root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = {k: new if r == old else r for k, r in root.items()}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    assert {r.doc_id for r in simhash.drop_near_copies(df).collect()} == set(root.values())
+    assert len(set(root.values())) < len(texts)
