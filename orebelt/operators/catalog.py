@@ -80,20 +80,62 @@ def reconcile(catalog: DataFrame, downloaded: DataFrame, validated: DataFrame, l
     return union_by_name(counted).select("stage", "records", (F.col("records") == expected).alias("complete"))
 
 
-def required_outputs(inventory: DataFrame, root: str, pattern: str, minimum: int = 1) -> DataFrame:
-    """Whether enough files below a root match a glob pattern."""
-    regex = pattern.replace(".", r"\.").replace("*", "[^/]*").replace("?", "[^/]")
-    name = F.element_at(F.split("path", "/"), -1)
-    hits = inventory.where(F.col("path").contains(root.rstrip("/") + "/") & name.rlike(f"^{regex}$"))
-    return hits.agg(F.count(F.lit(1)).alias("actual_files")).select(
-        F.lit(root).alias("root"),
-        F.lit(pattern).alias("pattern"),
-        F.lit(minimum).alias("minimum_files"),
-        "actual_files",
-        (F.col("actual_files") >= minimum).alias("passed"),
+def glob_pattern(glob: Column) -> Column:
+    """Regular expression of a glob: ``*`` and ``?`` stay within a folder, ``**`` crosses folders
+    (``**/`` also matches none), ``[...]`` and ``[!...]`` are sets; all else stands for itself."""
+    steps = (
+        (r"([.+^$(){}|\\])", r"\\$1"), (r"\[!", "[^"), (r"\*\*/", "\u0001"), (r"\*\*", "\u0002"),
+        (r"\*", "[^/]*"), (r"\?", "[^/]"), ("\u0001", "(?:.*/)?"), ("\u0002", ".*"),
+    )
+    for found, put in steps:
+        glob = F.regexp_replace(glob, found, put)
+    return F.concat(F.lit("^"), glob, F.lit("$"))
+
+
+def required_outputs(inventory: DataFrame, rules: DataFrame) -> DataFrame:
+    """Every rule of ``root, pattern, minimum_files`` with the files that match it, in one pass.
+
+    A root is one folder or several in a row, anywhere in a path; a scheme and outer slashes are
+    left aside. A pattern with a slash is matched
+    with the path below the root, any other with the file name at any depth. Each file is
+    dealt to the rules whose root it lies below by a join on its folders; rules without a file
+    count 0. Rows that repeat a rule are one rule.
+    """
+    rules = rules.select("root", "pattern", F.col("minimum_files").cast("long").alias("minimum_files")).distinct()
+    compiled = rules.select("*", F.regexp_replace("root", r"^\w+:/+|^/+|/+$", "").alias("_root"), glob_pattern(F.col("pattern")).alias("_regex"), F.col("pattern").contains("/").alias("_deep"))
+    parts = F.split("path", "/")
+    # each run of folders that ends above the file, with what is left of the path below it
+    runs = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), F.size(parts) - 1),
+            lambda end: F.transform(
+                F.sequence(F.lit(1), end),
+                lambda start: F.struct(
+                    F.array_join(F.slice(parts, start, end - start + 1), "/").alias("_root"),
+                    F.array_join(F.slice(parts, end + 1, F.size(parts)), "/").alias("_below"),
+                ),
+            ),
+        )
+    )
+    below = inventory.select("path").distinct().where(F.size(parts) > 1).select("path", F.inline(runs))
+    name = F.element_at(F.split("_below", "/"), -1)
+    hits = below.join(compiled, "_root").where(F.rlike(F.when(F.col("_deep"), F.col("_below")).otherwise(name), F.col("_regex")))
+    counted = hits.groupBy("root", "pattern", "minimum_files").agg(F.count_distinct("path").alias("actual_files"))
+    found = F.coalesce("actual_files", F.lit(0).cast("long"))
+    return rules.join(counted, ["root", "pattern", "minimum_files"], "left").select(
+        "root", "pattern", "minimum_files", found.alias("actual_files"), (found >= F.col("minimum_files")).alias("passed")
     )
 
 
+def require_outputs(inventory: DataFrame, rules: DataFrame) -> DataFrame:
+    """The rules' results; raises with the failed ones if there are any."""
+    results = required_outputs(inventory, rules)
+    failed = results.where("NOT passed").orderBy("root", "pattern").limit(20).collect()
+    if failed:
+        raise RuntimeError("missing outputs: " + "; ".join(f"{r.root}/{r.pattern}: {r.actual_files} of {r.minimum_files}" for r in failed))
+    return results
+
+
 def changed_artifacts(before: DataFrame, after: DataFrame) -> DataFrame:
     """Files created or modified between two inventories, by size, time and hash."""
     signature = F.struct("size_bytes", "modified_at", "sha256")

@@ -142,9 +142,18 @@ def changed_artifacts(spark, sf_dir):
     "cat_required_outputs",
     with_ctes(
         _INVENTORY.format(where=""),
-        select="""SELECT 'lake/BUILDING' AS root, '1*.PARQUET' AS pattern, 3 AS minimum_files,
-  count(*) FILTER (path LIKE 'lake/BUILDING/1%.PARQUET') AS actual_files, count(*) FILTER (path LIKE 'lake/BUILDING/1%.PARQUET') >= 3 AS passed FROM inv""",
+        "rule(root, pattern, regex, minimum_files) AS (VALUES ('lake/BUILDING', '1*.PARQUET', 'lake/BUILDING/(.*/)?1[^/]*[.]PARQUET', 3), "
+        "('lake', '**/*[05].PARQUET', 'lake/(.*/)?[^/]*[05][.]PARQUET', 1), ('lake/', 'BUILDING/*.PARQUET', 'lake/BUILDING/[^/]*[.]PARQUET', 100000), "
+        "('BUILDING', '?.PARQUET', '(.*/)?BUILDING/(.*/)?[^/][.]PARQUET', 2), ('nowhere', '*', 'nowhere/.*', 1))",
+        select="""SELECT root, pattern, minimum_files::BIGINT AS minimum_files, count(path) AS actual_files, count(path) >= minimum_files AS passed
+FROM rule LEFT JOIN (SELECT DISTINCT path FROM inv) ON regexp_full_match(path, regex) GROUP BY root, pattern, minimum_files""",
     ),
 )
 def required_outputs(spark, sf_dir):
-    return c.required_outputs(_inventory(spark, sf_dir), "lake/BUILDING", "1*.PARQUET", 3)
+    """Five rules over all files at once, one of them without a file."""
+    rules = [
+        ("lake/BUILDING", "1*.PARQUET", 3), ("lake", "**/*[05].PARQUET", 1), ("lake/", "BUILDING/*.PARQUET", 100000),
+        ("BUILDING", "?.PARQUET", 2), ("nowhere", "*", 1),
+    ]
+    rules = spark.createDataFrame(rules, "root string, pattern string, minimum_files long")
+    return c.required_outputs(_inventory(spark, sf_dir), rules)

@@ -141,6 +141,26 @@ def quantile_classes(spark, sf_dir):
     )
 
 
+@query("agg_exact_class_limits", with_ctes(*_BASE, _HOURLY, _LIMITS, select="SELECT low AS umbral_bajo, high AS umbral_alto FROM lim"))
+def exact_class_limits(spark, sf_dir):
+    """Class limits by exact selection, no accuracy to set."""
+    demand = materialize(m.hourly_demand(_fact(spark, sf_dir)), "hourly-demand")
+    return m.demand_thresholds(demand, CONFIG.test_year, relative_error=0)
+
+
+_SHARES = (0.0, 0.01, 0.33, 0.5, 0.66, 0.999, 1.0)
+
+
+@query(
+    "agg_exact_quantiles",
+    " UNION ALL ".join(f"SELECT {s}::DOUBLE AS share, quantile_disc(l_extendedprice, {s})::DOUBLE AS value FROM lineitem" for s in _SHARES),
+)
+def exact_quantiles(spark, sf_dir):
+    """Exact quantiles of all line prices."""
+    found = m.exact_quantiles(t.table(spark, sf_dir, "lineitem"), "l_extendedprice", _SHARES)
+    return spark.createDataFrame(list(zip(_SHARES, found, strict=True)), "share double, value double")
+
+
 @query(
     "ml_regression_metrics",
     with_ctes(

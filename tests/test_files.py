@@ -2,6 +2,7 @@ import datetime as dt
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from orebelt.operators import catalog as c
 from orebelt.operators import schema as s
@@ -162,5 +163,32 @@ def test_required_outputs_by_glob(spark, tmp_path):
     for name in ("a.parquet", "b.parquet", "c.json"):
         (tmp_path / name).write_bytes(b"1")
     inventory = files.file_inventory(spark, str(tmp_path))
-    got = c.required_outputs(inventory, str(tmp_path), "*.parquet", 3).first()
-    assert (got.actual_files, got.passed) == (2, False)
+    rules = [(str(tmp_path), "*.parquet", 3), (str(tmp_path), "[!a].*", 1), (f"{tmp_path.name}/", "**", 3), (tmp_path.name, "c+.json", 1)]
+    rules = spark.createDataFrame(rules + rules[:1], "root string, pattern string, minimum_files int")
+    got = {r.pattern: (r.actual_files, r.passed) for r in c.required_outputs(inventory, rules).collect()}
+    assert got == {"*.parquet": (2, False), "[!a].*": (2, True), "**": (3, True), "c+.json": (0, False)}
+    with pytest.raises(RuntimeError, match="2 of 3"):
+        c.require_outputs(inventory, rules)
+
+
+@pytest.mark.parametrize(
+    "glob, matching, other",
+    [
+        ("a*.p?", ["ab.pq", "a.pp"], ["a.p", "a/b.pq", "xab.pq"]),
+        ("**/x.p", ["x.p", "a/x.p", "a/b/x.p"], ["ax.p", "a/bx.p"]),
+        ("a/**", ["a/b", "a/b/c"], ["a", "b/a/c"]),
+        ("[ab][!c]+", ["ad+"], ["ac+", "cd+", "add", "ad"]),
+        ("(1){2}|$^.\\", ["(1){2}|$^.\\"], ["11", "(1){2}"]),
+    ],
+)
+def test_globs(spark, glob, matching, other):
+    df = spark.createDataFrame([(p, glob) for p in matching + other], "path string, glob string")
+    hit = df.where(F.rlike("path", c.glob_pattern(F.col("glob")))).collect()
+    assert sorted(r.path for r in hit) == sorted(matching)
+
+
+def test_required_outputs_do_not_depend_on_the_number_of_rules(spark):
+    inventory = spark.range(500).selectExpr("CONCAT('lake/d', id % 50, '/y', id % 2, '/f', id, '.parquet') AS path")
+    rules = spark.range(60).selectExpr("CONCAT('d', id) AS root", "IF(id % 2 = 0, 'y0/*.parquet', '*.parquet') AS pattern", "5 AS minimum_files")
+    got = {r.root: r.actual_files for r in c.required_outputs(inventory, rules).collect()}
+    assert len(got) == 60 and all(got[f"d{n}"] == (10 if n < 50 else 0) for n in range(60))

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 
 from orebelt.operators import models as m
@@ -45,3 +47,20 @@ def test_output_checks(spark):
         check_outputs({"fact_pronostico_demanda": spark.sql("SELECT '2030-01' AS time_id")}, dims, config)
     with pytest.raises(ValueError, match="no rows"):
         check_outputs({"x": good.limit(0)}, dims, config)
+
+
+@pytest.mark.parametrize("values", [
+    "CAST(id AS DOUBLE)", "CAST(id % 7 AS DOUBLE)", "IF(id < 19000, 5.0D, id * 1.0D)", "POW(2.0D, id % 600 - 300)", "-1.0D / (id + 1)",
+    "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 5 = 0 THEN DOUBLE('NaN') ELSE id * id * 1.0D END",
+])
+def test_exact_quantiles_by_selection(spark, values):
+    df = spark.range(20_000).selectExpr(f"{values} AS v")
+    plain = sorted(r.v for r in df.where("v IS NOT NULL AND NOT isnan(v)").collect())
+    shares = (0.0, 0.0001, 0.33, 0.5, 0.66, 0.95, 1.0)
+    want = [plain[max(1, math.ceil(s * len(plain))) - 1] for s in shares]
+    assert m.exact_quantiles(df, "v", shares) == want
+
+
+def test_exact_quantiles_of_nothing(spark):
+    assert m.exact_quantiles(spark.range(0), "id", (0.5,)) == [None]
+    assert m.exact_quantiles(spark.range(1), "id", (0.5, 1.0)) == [0.0, 0.0]
