@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from orebelt.operators import schema as s
 from orebelt.operators.incremental import source_id
+from orebelt.plans.bronze import load_bronze_files
 from orebelt.session import scratch_path
 from orebelt.sources import files, sinks, tables, versions
 from suite import trips as t
@@ -46,6 +47,32 @@ def _bronze(spark, sf_dir):
     return path
 
 
+@query(
+    "src_bronze_load",
+    with_ctes(
+        t.TRIPS,
+        "m AS (SELECT taxi_type, file_year, file_month, count(*) AS n FROM trips GROUP BY 1, 2, 3)",
+        select="""SELECT taxi_type AS tipo_dataset, file_year AS anio, file_month AS mes, 'loaded' AS bronze_status, NULL AS reason, n::BIGINT AS records, n::BIGINT AS stored FROM m
+UNION ALL SELECT 'green', 1990, 1, 'skipped_invalid', 'missing file', NULL, NULL UNION ALL SELECT 'green', 1990, 2, 'skipped_invalid', 'wrong extension', NULL, NULL""",
+    ),
+)
+def bronze_load(spark, sf_dir):
+    """Monthly files and two bad ones through validation into bronze; audit beside what is stored."""
+    keys = ["tipo_dataset", "anio", "mes"]
+    raw, text, base = scratch_path(spark, "raw"), scratch_path(spark, "text"), scratch_path(spark, "bronze")
+    trips = t.raw_trips(spark, sf_dir).withColumnsRenamed({"taxi_type": "tipo_dataset", "file_year": "anio", "file_month": "mes"})
+    trips.repartition(*keys).write.partitionBy(*keys).parquet(raw)
+    spark.range(1).select(F.lit("no table")).coalesce(1).write.text(text)
+    place = [F.regexp_extract("path", f"{k}=([^/]+)", 1).cast("string" if k == "tipo_dataset" else "int").alias(k) for k in keys]
+    catalog = files.file_inventory(spark, raw, "*.parquet").select("path", *place)
+    odd = files.file_inventory(spark, text, "*.txt").select("path", F.lit("green").alias("tipo_dataset"), F.lit(1990).alias("anio"), F.lit(2).alias("mes"))
+    gone = spark.createDataFrame([(f"{raw}/none.parquet", "green", 1990, 1)], odd.schema)
+    audit = load_bronze_files(spark, catalog.unionByName(odd).unionByName(gone), base)
+    stored = spark.read.parquet(base).groupBy(*keys).agg(F.count(F.lit(1)).alias("stored"))
+    per_month = audit.groupBy(*keys, "bronze_status", "reason").agg(F.sum("records").alias("records"))
+    return per_month.join(stored, keys, "left")
+
+
 @query(
     "src_partitioned_scan",
     with_ctes(t.TRIPS, select=f"SELECT {_TRIP_OUT} FROM trips WHERE taxi_type IN ('green', 'fhv') AND file_year = 1998 GROUP BY 1, 2, 3"),

@@ -1,11 +1,14 @@
 import datetime as dt
 import hashlib
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from orebelt.operators import catalog as c
 from orebelt.operators import schema as s
+from orebelt.plans import bronze
+from orebelt.plans.bronze import load_bronze_files
 from orebelt.sources import commits, files, sinks, tables, versions
 
 
@@ -192,3 +195,32 @@ def test_required_outputs_do_not_depend_on_the_number_of_rules(spark):
     rules = spark.range(60).selectExpr("CONCAT('d', id) AS root", "IF(id % 2 = 0, 'y0/*.parquet', '*.parquet') AS pattern", "5 AS minimum_files")
     got = {r.root: r.actual_files for r in c.required_outputs(inventory, rules).collect()}
     assert len(got) == 60 and all(got[f"d{n}"] == (10 if n < 50 else 0) for n in range(60))
+
+
+def test_bronze_takes_valid_files_and_audits_every_file(spark, tmp_path):
+    raw, base = tmp_path / "raw files", f"{tmp_path}/bronze"
+    frames = {"a": "SELECT id, 'x' AS mes FROM range(5)", "b": "SELECT id, 'y' AS mes FROM range(3)", "c": "SELECT CAST(id AS INT) AS id, 1.5D AS tip FROM range(4)"}
+    for name, sql in frames.items():
+        spark.sql(sql).coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        raw.mkdir(exist_ok=True)
+        shutil.copy(next((tmp_path / name).glob("*.parquet")), raw / f"{name}.parquet")
+    (raw / "bad.parquet").write_bytes(b"PAR1 no table PAR1")
+    (raw / "empty.parquet").write_bytes(b"")
+    places = {"a": ("green", 2024, 1), "b": ("green", 2024, 2), "c": ("green", 2024, 2), "bad": ("fhv", 2024, 1), "empty": ("fhv", 2024, 1), "none": ("fhv", 2024, 1)}
+    catalog = spark.createDataFrame([(f"{raw}/{n}.parquet", *p) for n, p in places.items()], "path string, tipo_dataset string, anio int, mes int")
+    for _ in range(2):  # a repeated load changes nothing
+        audit = {r.path.split("/")[-1].split(".")[0]: r for r in load_bronze_files(spark, catalog, base, f"{tmp_path}/audit").collect()}
+        assert {n: r.bronze_status for n, r in audit.items()} == {n: "loaded" if n in "abc" else "skipped_invalid" for n in places}
+        assert (audit["a"].records, audit["c"].records, audit["bad"].bronze_path) == (5, 4, None)
+        assert audit["b"].bronze_path.endswith("/tipo_dataset=green/anio=2024/mes=2") and audit["none"].reason == "missing file"
+        found = {r[0]: r[1] for r in spark.read.schema("id long, mes int").parquet(base).groupBy("mes").count().collect()}
+        assert found == {1: 5, 2: 7}
+    assert spark.read.parquet(f"{tmp_path}/audit").count() == 12
+
+
+def test_bronze_reports_rows_that_do_not_add_up(spark, tmp_path, monkeypatch):
+    spark.range(5).coalesce(1).write.parquet(f"{tmp_path}/raw")
+    catalog = files.file_inventory(spark, f"{tmp_path}/raw", "*.parquet").selectExpr("path", "'fhv' AS tipo_dataset", "2024 AS anio", "1 AS mes")
+    checked = bronze.validate_files
+    monkeypatch.setattr(bronze, "validate_files", lambda probed, extension: checked(probed, extension).withColumn("records", F.lit(6).cast("long")))
+    assert [r.bronze_status for r in load_bronze_files(spark, catalog, f"{tmp_path}/bronze").collect()] == ["count_differs"]
