@@ -51,16 +51,17 @@ def _bronze(spark, sf_dir):
     "src_bronze_load",
     with_ctes(
         t.TRIPS,
-        "m AS (SELECT taxi_type, file_year, file_month, count(*) AS n FROM trips GROUP BY 1, 2, 3)",
+        "m AS (SELECT taxi_type, file_year, ((file_month - 1) // 3 * 3 + 1)::INT AS file_month, count(*) AS n FROM trips GROUP BY 1, 2, 3)",
         select="""SELECT taxi_type AS tipo_dataset, file_year AS anio, file_month AS mes, 'loaded' AS bronze_status, NULL AS reason, n::BIGINT AS records, n::BIGINT AS stored FROM m
 UNION ALL SELECT 'green', 1990, 1, 'skipped_invalid', 'missing file', NULL, NULL UNION ALL SELECT 'green', 1990, 2, 'skipped_invalid', 'wrong extension', NULL, NULL""",
     ),
 )
 def bronze_load(spark, sf_dir):
-    """Monthly files and two bad ones through validation into bronze; audit beside what is stored."""
+    """Files of a quarter and two bad ones through validation into bronze; audit beside what is stored."""
     keys = ["tipo_dataset", "anio", "mes"]
     raw, text, base = scratch_path(spark, "raw"), scratch_path(spark, "text"), scratch_path(spark, "bronze")
     trips = t.raw_trips(spark, sf_dir).withColumnsRenamed({"taxi_type": "tipo_dataset", "file_year": "anio", "file_month": "mes"})
+    trips = trips.withColumn("mes", F.expr("CAST((mes - 1) DIV 3 * 3 + 1 AS INT)"))
     trips.repartition(*keys).write.partitionBy(*keys).parquet(raw)
     spark.range(1).select(F.lit("no table")).coalesce(1).write.text(text)
     place = [F.regexp_extract("path", f"{k}=([^/]+)", 1).cast("string" if k == "tipo_dataset" else "int").alias(k) for k in keys]
@@ -238,3 +239,22 @@ def schema_per_period(spark, sf_dir):
 def source_ids(spark, sf_dir):
     path = F.concat(F.lit("dir/"), "c_name", F.lit(".parquet"))
     return t.table(spark, sf_dir, "customer").select("c_custkey", source_id(path).alias("source_id"))
+
+
+@query("snk_overwrite", "SELECT n_regionkey AS region, count(*) AS nations FROM nation GROUP BY 1")
+def overwritten(spark, sf_dir):
+    """A table replaced whole by another with fewer columns."""
+    path = scratch_path(spark, "table")
+    sinks.overwrite(t.table(spark, sf_dir, "customer"), path)
+    sinks.overwrite(t.table(spark, sf_dir, "nation"), path)
+    return spark.read.parquet(path).groupBy(F.col("n_regionkey").alias("region")).agg(F.count(F.lit(1)).alias("nations"))
+
+
+@query("snk_dimension", "SELECT c_nationkey AS nation, count(*) AS customers, 1::BIGINT AS files FROM customer GROUP BY 1")
+def dimension(spark, sf_dir):
+    """A dimension as a single file."""
+    path = scratch_path(spark, "dimension")
+    customers = t.table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
+    sinks.write_dimension(customers, path)
+    stored = spark.read.parquet(path)
+    return stored.withColumn("files", F.lit(len(stored.inputFiles())).cast("long"))
