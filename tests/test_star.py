@@ -185,14 +185,14 @@ def test_stream_adds_only_new_files_and_replays_safely(spark, tmp_path):
     assert fact_rows(store.fact(spark)) == fact_rows(full_fact(trips))
 
 
-def test_stream_of_60_files_stays_on_few_batches(spark, tmp_path):
+def test_stream_of_14_files_stays_on_few_batches(spark, tmp_path):
     """One micro-batch a file; batches in force grow with the logarithm of their number."""
-    source, store, fanout = tmp_path / "in", StarStore(f"{tmp_path}/star"), 3
+    source, store, fanout = tmp_path / "in", StarStore(f"{tmp_path}/star"), 2
     trips = spark.sql(TRIPS).drop("source_id").coalesce(1)
     trips.write.parquet(f"{tmp_path}/one")
     part = next((tmp_path / "one").glob("*.parquet"))
     source.mkdir()
-    for n in range(60):
+    for n in range(14):
         shutil.copy(part, source / f"f{n:03d}.parquet")
     held = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "1")
@@ -201,8 +201,8 @@ def test_stream_of_60_files_stays_on_few_batches(spark, tmp_path):
         stream_contributions(stream, store, f"{tmp_path}/checkpoint", fanout=fanout).awaitTermination()
         whole = spark.read.parquet(str(source))
         assert fact_rows(store.fact(spark)) == fact_rows(full_fact(whole))
-        assert store.manifest(spark).count() == 60
-        assert len(store.batches(spark)) <= (fanout - 1) * 4  # 3 ** 4 > 60
+        assert store.manifest(spark).count() == 14
+        assert len(store.batches(spark)) <= (fanout - 1) * 4  # 2 ** 4 > 14
         assert len([f for f in store.commits.read(spark).inputFiles() if "/manifest/seq=" in f]) <= 64
         store.vacuum(spark, grace_seconds=-60)
         assert fact_rows(store.fact(spark)) == fact_rows(full_fact(whole))
