@@ -69,13 +69,8 @@ WITH doc AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text,
 txt AS (SELECT DISTINCT text, ls FROM doc WHERE text IS NOT NULL),
 line AS (SELECT text, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM txt),
 tok AS (SELECT text, line, pos, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS raw FROM line),
-nb AS (
-  SELECT text, line, pos, raw, len(raw) AS n,
-         coalesce(lag(len(raw)) OVER (PARTITION BY text ORDER BY pos), 0) AS prev,
-         coalesce(lead(len(raw)) OVER (PARTITION BY text ORDER BY pos), 0) AS next
-  FROM tok),
 seen AS (
-  SELECT text, line, pos, prev, next, n, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END FOR t IN raw] AS toks FROM nb WHERE n >= 4),
+  SELECT text, line, pos, len(raw) AS n, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END FOR t IN raw] AS toks FROM tok WHERE len(raw) >= 3),
 leafed AS (SELECT *, {'n': n, 'lead': toks[1:3]} AS leaf FROM seen),
 mine AS (SELECT * FROM leafed WHERE leaf IN (SELECT leaf FROM leafed GROUP BY leaf HAVING count(DISTINCT text) >= 3)),
 body AS (SELECT leaf, line, any_value(toks) AS toks, count(DISTINCT text) AS w FROM mine GROUP BY leaf, line),
@@ -87,10 +82,13 @@ part AS (
 tpl AS (
   SELECT line, string_agg(part, ' ' ORDER BY idx) AS template FROM part GROUP BY leaf, line
   HAVING count(*) FILTER (WHERE fixed) >= 0.6 * count(*)),
-spot AS (SELECT template, text, min({'a': prev, 'b': next}) AS place FROM mine JOIN tpl USING (line) GROUP BY template, text),
-rec AS (
-  SELECT template FROM spot GROUP BY template
-  HAVING count(*) >= 3 AND count(DISTINCT place) >= greatest(least(count(*) / 2.0, 64), 3)),
+spot AS (SELECT DISTINCT template, text FROM mine JOIN tpl USING (line)),
+piece AS (SELECT DISTINCT text, md5(array_to_string(raw[i : i + 4], ' ')) AS piece FROM (SELECT text, raw, unnest(range(1, len(raw) + 1, 5)) AS i FROM tok)),
+lows AS (SELECT text, piece, count(*) OVER (PARTITION BY text) AS size FROM piece QUALIFY row_number() OVER (PARTITION BY text ORDER BY piece) <= 12),
+sketch AS (SELECT text, piece, ('0x' || substr(md5(text), 1, 15))::BIGINT AS k, least(size, 12) AS size FROM lows),
+brought AS (SELECT template, piece, min({'k': k, 'size': size}) AS f FROM spot JOIN sketch USING (text) GROUP BY template, piece),
+firsts AS (SELECT template, f FROM brought GROUP BY template, f HAVING 2 * count(*) > f.size),
+rec AS (SELECT template FROM firsts GROUP BY template HAVING count(*) >= 3),
 gone AS (SELECT DISTINCT text, pos FROM seen JOIN tpl USING (line) JOIN rec USING (template)),
 kept AS (
   SELECT line.text, count(*) FILTER (WHERE gone.pos IS NOT NULL) AS n_dropped,

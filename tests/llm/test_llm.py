@@ -220,6 +220,30 @@ def test_long_words_merge_alike():
 # lines
 
 
+def test_boilerplate_in_a_fixed_place(spark):
+    """Headers, footers, blank lines between paragraphs, a passage of several lines; copies stay."""
+    head, foot = "Welcome to the daily pages of our small town", "All rights reserved."
+    passage = [" ".join(words(20, 9000 + j)) for j in range(3)]
+    docs = []
+    for k in range(200):
+        parts = [" ".join(words(30, 100 * k + j)) for j in range(4)]
+        if k % 20 == 0:
+            parts[2:2] = passage
+        docs.append((k, "\n\n".join([head, *parts, foot]), "en", "a", 0))
+    source = [" ".join(words(25, 77_000 + j)) for j in range(6)]
+    copies = []
+    for k in range(300):  # one word of one line differs
+        edited = list(source)
+        edited[k % 6] = edited[k % 6].replace(" ", f" edit{chr(97 + k % 26)} ", 1)
+        copies.append((1000 + k, "\n".join(edited), "en", "a", 0))
+    got = {r.doc_id: r for r in lines.drop_recurring_lines(spark.createDataFrame(docs + copies, DOC), counts=True).collect()}
+    for k, text, *_ in docs:
+        kept = [x for x in text.split("\n") if x not in (head, foot, *passage)]
+        assert got[k].text == "\n".join(kept) and got[k]._n_dropped == (5 if k % 20 == 0 else 2)
+    for k, text, *_ in copies:
+        assert got[k].text == text
+
+
 def test_lines(spark, hard):
     rng = random.Random(8)
     body = lambda k: [" ".join(words(rng.randint(5, 30), 1000 * k + j)) for j in range(4)]
