@@ -173,15 +173,15 @@ step(n, source, s, w, t) AS (
   UNION ALL
   SELECT n + 1, source, s, w,
          CASE WHEN t >= 3 * s THEN 3 * s
-              ELSE w / sum(CASE WHEN t < 3 * s THEN w END) OVER ()
-                   * (sum(s) OVER () - sum(CASE WHEN t >= 3 * s THEN 3 * s ELSE 0 END) OVER ()) END
+              ELSE (sum(s) OVER () - sum(CASE WHEN t >= 3 * s THEN 3 * s ELSE 0 END) OVER ())
+                   / sum(CASE WHEN t < 3 * s THEN w END) OVER () * w END
   FROM step WHERE n < 60),
 target AS (SELECT source, s, t FROM step WHERE n = 60),
 run AS (
   SELECT doc_id, size, CAST(s AS BIGINT) AS source_size, t, CASE WHEN s > 0 THEN CAST(floor(t / s) AS BIGINT) ELSE 0 END AS epochs, s,
          sum(size) OVER (PARTITION BY doc.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS through
   FROM doc JOIN target ON doc.source IS NOT DISTINCT FROM target.source)
-SELECT doc_id, size, source_size, round(t, 3) AS target,
+SELECT doc_id, size, source_size, t AS target,
        CAST(size * (epochs + CASE WHEN size > 0 AND through - size / 2.0 <= t - epochs * s THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM run
 """
@@ -191,7 +191,7 @@ FROM run
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all sources takes from every document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"), quality=quality_weights(spark, sf_dir))
-    return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
