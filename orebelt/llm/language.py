@@ -18,10 +18,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orebelt.session import materialize
+
 UNDETERMINED = "und"
 #: Hash buckets of n-grams (a power of two).
 BUCKETS = 1 << 14
-#: A label column with more values is not a column of languages: an error.
+#: Labels learned at most: those of most n-grams. It bounds the model; other labels are never predicted.
 MAX_LANGUAGES = 512
 #: Texts are read in slices of this many bytes; a slice also holds the two bytes before it.
 _SLICE = 1 << 18
@@ -105,10 +107,16 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     Spark sums, per label, the shares of n-grams that its documents give to each bucket; each
     document counts up to its length's square root, so long ones do not outweigh all others.
-    The driver receives one number per label and bucket. No labelled text: a model without
-    languages, which calls everything ``und``.
+    The driver receives one number per label and bucket. Of more than ``MAX_LANGUAGES`` labels
+    those of the largest sums are learned (ties: smaller by code point). No labelled text: a
+    model without languages, which calls everything ``und``.
     """
 
+    def shares(sums: dict[str, np.ndarray]) -> Iterator[pd.DataFrame]:
+        for label, total in sums.items():
+            at = np.flatnonzero(total)
+            yield pd.DataFrame({"lang": label, "bucket": at.astype("int32"), "n": total[at]})
+
     def tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
         for frame in frames:
@@ -116,20 +124,19 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
                 counts = profile(body)
                 if n := counts.sum():
                     sums[label] = sums.get(label, 0.0) + np.sqrt(n) * counts / n
-            if len(sums) > MAX_LANGUAGES:
-                raise ValueError(f"more than {MAX_LANGUAGES} different labels")
-        for label, total in sums.items():
-            at = np.flatnonzero(total)
-            yield pd.DataFrame({"lang": label, "bucket": at.astype("int32"), "n": total[at]})
+                if len(sums) > MAX_LANGUAGES:  # a task holds no more, however many labels there are
+                    yield from shares(sums)
+                    sums = {}
+        yield from shares(sums)
 
     labelled = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
     sums = labelled.mapInPandas(tally, "lang string, bucket int, n double").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    names = sorted(r[0] for r in sums.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} different labels")
+    sums = materialize(sums, "language_counts")
+    most = sums.groupBy("lang").agg(F.round(F.sum("n"), 3).alias("total")).orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES)
+    names = sorted(r["lang"] for r in most.collect())
     counts = np.zeros((len(names), BUCKETS))
     row = {name: k for k, name in enumerate(names)}
-    for name, bucket, n in sums.toLocalIterator():
+    for name, bucket, n in sums.where(F.col("lang").isin(names)).toLocalIterator():
         counts[row[name], bucket] = round(n, 6)  # sums of doubles differ in the last digits between runs
     code = codewords(len(names))
     share = (counts + 0.02) / (counts + 0.02).sum(axis=1, keepdims=True) if names else counts

@@ -220,6 +220,17 @@ def test_long_words_merge_alike():
 # lines
 
 
+def test_more_labels_than_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    docs = [(k, ("aba bab " if k % 3 else "xyz zyx ") * 20, ("l1" if k % 3 else "l0"), "a", 0) for k in range(30)]
+    docs += [(100 + k, "q", f"rare{k}", "a", 0) for k in range(5)]
+    df = spark.createDataFrame(docs, DOC)
+    model = language.fit(df)
+    assert model.languages == ["l0", "l1"]
+    got = {r.doc_id: r.lang_pred for r in language.identify(df, model).collect()}
+    assert all(got[d[0]] == d[2] for d in docs[:30]) and set(got.values()) == {"l0", "l1"}
+
+
 def test_boilerplate_in_a_fixed_place(spark):
     """Headers, footers, blank lines between paragraphs, a passage of several lines; copies stay."""
     head, foot = "Welcome to the daily pages of our small town", "All rights reserved."
