@@ -17,9 +17,11 @@ from orebelt.session import materialize
 PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same words before A-Z are lower-cased.
 RAW_PATTERN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Windows (about 150 bytes each) broadcast at once; a larger set is cut by hash into parts that
-#: are broadcast one after the other, each to a scan of its own.
-BROADCAST_WINDOWS = 500_000
+#: Bytes of windows broadcast at once; a larger set is cut by hash into parts that are broadcast
+#: one after the other, each to a scan of its own.
+BROADCAST_BYTES = 64 << 20
+#: Ids of items beside a window: where more items exist, a window's ids are dealt to several rows.
+ITEMS = 10_000
 #: Words of a text that are looked at together.
 CHUNK = 64
 
@@ -31,14 +33,19 @@ def _tokens(text: Column) -> Column:
 def benchmark_windows(benchmark: DataFrame, width: int = 10, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """Different windows of all items: ``len, hash, window`` (words) and the ``items`` that hold them.
 
+    Item ids are dealt by hash, so that a row holds about ``ITEMS`` of them at most; a window that
+    more items share has several rows, told apart by ``deal``.
+
     An item of fewer than ``width`` words, but not none, is one window; null texts have none.
     Item ids are kept as strings; items without an id count under a null that hits but is not listed.
     """
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), _tokens(F.col(text)).alias("w")).where("size(w) > 0")
     last = F.greatest(F.size("w") - F.lit(width - 1), F.lit(1))
     window = F.explode(F.transform(F.sequence(F.lit(1), last), lambda i: F.slice("w", i, width))).alias("window")
-    each = items.select("item", window).groupBy("window").agg(F.collect_set("item").alias("items"))
-    return each.select(F.size("window").alias("len"), run_hash(F.col("window"), width).alias("hash"), "window", "items")
+    deals = -(-benchmark.count() // ITEMS) or 1
+    each = items.select("item", F.pmod(F.xxhash64("item"), F.lit(deals)).alias("deal"), window)
+    each = each.groupBy("window", "deal").agg(F.collect_set("item").alias("items"))
+    return each.select(F.size("window").alias("len"), run_hash(F.col("window"), width).alias("hash"), "window", "items", "deal")
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -64,10 +71,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, doc_id: str = "
         mine = (F.col("k") > seen) & (F.col("k") <= seen + count)
         length, at, seen = F.when(mine, F.lit(n)).otherwise(length), F.when(mine, F.col("k") - seen).otherwise(at), seen + count
     rows = rows.select("doc_id", "key", "n_words", "c", "words", F.posexplode(F.concat(*hashes)).alias("k", "h"))
-    parts = max(1, -(-windows.count() // BROADCAST_WINDOWS))
+    held = F.lit(48) + F.octet_length(F.array_join("window", "")) + F.octet_length(F.array_join("items", "")) + 16 * (F.col("len") + F.size("items"))
+    parts = -(-(windows.agg(F.sum(held)).first()[0] or 0) // BROADCAST_BYTES) or 1
     met = None
     for part in range(parts):
-        known = F.broadcast(windows.where(F.pmod("hash", F.lit(parts)) == part))
+        known = F.broadcast(windows.where(F.pmod(F.xxhash64("hash", "deal"), F.lit(parts)) == part))
         joined = rows.join(known, rows["h"] == known["hash"], "left")
         verified = F.col("items").isNotNull() & (F.slice("words", F.greatest(at, F.lit(1)), length) == F.col("window"))
         marker = F.lit(part == 0) & (F.col("k") == 0) & (F.col("c") == 0)

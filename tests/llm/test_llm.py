@@ -231,6 +231,18 @@ def test_more_labels_than_are_learned(spark, monkeypatch):
     assert all(got[d[0]] == d[2] for d in docs[:30]) and set(got.values()) == {"l0", "l1"}
 
 
+def test_windows_in_parts(spark, monkeypatch):
+    """Windows that many items share, and more windows than one broadcast takes, change no result."""
+    common = " ".join(words(10, 1))
+    items = spark.createDataFrame([(k, f"{common} {' '.join(words(6, 10 + k))}") for k in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"a b {common} c", "en", "a", 0), (2, "nothing here", "en", "a", 0), (3, None, "en", "a", 0)], DOC)
+    whole = sorted(map(key, decontaminate.contamination(docs, items).collect()))
+    monkeypatch.setattr(decontaminate, "ITEMS", 7)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 20_000)
+    assert sorted(map(key, decontaminate.contamination(docs, items).collect())) == whole
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.contamination(docs, items).collect()} == {1: (10, 60), 2: (0, 0), 3: (0, 0)}
+
+
 def test_boilerplate_in_a_fixed_place(spark):
     """Headers, footers, blank lines between paragraphs, a passage of several lines; copies stay."""
     head, foot = "Welcome to the daily pages of our small town", "All rights reserved."
