@@ -68,7 +68,7 @@ def format_chats(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
         lambda p: F.struct(
             p["type"].isin(*ATTACHED).alias("attached"),
             F.when(p["type"].isin(*ATTACHED), F.concat(F.lit("<|"), p["type"], F.lit("|>"))).otherwise(escaped(F.coalesce(p["text"], F.lit("")))).alias("out"),
-            p["type"].alias("type"), p["ref"].alias("ref"), _tokens(p).alias("tokens"),
+            p["type"].alias("type"), p["ref"].alias("ref"), _tokens(p).alias("tokens"), F.coalesce(p["text"], F.lit("")).alias("raw"),
         ),
     )
     named = escaped(F.coalesce(F.col(role), F.lit("")))
@@ -88,6 +88,7 @@ def format_chats(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
         "conv_id",
         F.struct(
             F.col("turn").isNull().alias("last"), "turn",
+            F.coalesce("role", F.lit("")).alias("role"), F.transform("shown", lambda p: p["raw"]).alias("raw"),
             F.concat(F.lit(TURN), "named", F.lit(SEP), body, F.lit(END)).alias("piece"),
             F.when(F.col("role") == "assistant", spans).otherwise(F.slice(spans, 1, 0)).alias("spans"),
             places.alias("places"),
