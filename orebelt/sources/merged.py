@@ -41,10 +41,13 @@ class MergedTable:
         rows.write.parquet(self._path(delta))
         return delta
 
-    def add(self, rows: DataFrame) -> None:
-        """Commit rows, already merged among themselves, as a delta."""
+    def add(self, rows: DataFrame, after: int | None = None) -> None:
+        """Commit rows, already merged among themselves, as a delta.
+
+        With ``after``, the last commit they were derived from, fails if there is a later one.
+        """
         delta = self._write(rows)
-        self.commits.append(rows.sparkSession.range(1).select(F.lit(delta).alias("delta"), F.lit(0).alias("level"), F.lit(True).alias("active")))
+        self.commits.append(rows.sparkSession.range(1).select(F.lit(delta).alias("delta"), F.lit(0).alias("level"), F.lit(True).alias("active")), after)
 
     def deltas(self, spark: SparkSession) -> dict[str, int]:
         """Deltas in force and their levels."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from orebelt.operators import incremental as inc
 from orebelt.operators.canonical import canonicalise
+from orebelt.plans.row_index import RowIndex
 from orebelt.plans.star_refresh import StarStore
 from orebelt.sources.sinks import overwrite_partitions
 from orebelt.session import materialize, scratch_path
@@ -181,3 +182,21 @@ def streamed(spark, sf_dir):
 
     stream_contributions(arriving, store, scratch_path(spark, "stream-checkpoint"), to_canonical).awaitTermination()
     return rounded(store.fact(spark), 6, **t.FACT_DIGITS)
+
+
+@query(
+    "inc_rows_across_years",
+    """SELECT CAST(min(year(o_orderdate)) AS VARCHAR) AS source, o_custkey, o_orderpriority
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY o_custkey, o_orderpriority""",
+)
+def rows_across_years(spark, sf_dir):
+    """Customer and priority of orders, loaded year by year; each pair stays with its first year."""
+    orders = t.table(spark, sf_dir, "orders").where("o_orderdate is not null")
+    index, kept = RowIndex(scratch_path(spark, "row_index")), None
+    years = [r[0] for r in orders.select(F.year("o_orderdate").alias("y")).distinct().orderBy("y").collect()]
+    for year in years:
+        rows = orders.where(F.year("o_orderdate") == year).select("o_custkey", "o_orderpriority")
+        fresh = index.keep_new(rows, str(year)).select(F.lit(str(year)).alias("source"), "o_custkey", "o_orderpriority")
+        kept = fresh if kept is None else kept.unionByName(fresh)
+        index.table.compact(spark, 4)
+    return kept
