@@ -1,13 +1,17 @@
 """Language-model scores by online logistic context mixing.
 
-A text is scored as its words, A-Z lower-cased, joined by single spaces and closed by an end
-mark. Each byte is a path of binary decisions down the prefix code of the byte before it, so a
-step predicts one bit. Predictors look the step up under different contexts: the byte before
-(the code's own node), the last three and five bytes, and the word so far; all but the first are hashed into tables of bit counts that Spark sums over
-every training document. Their log-odds are mixed by weights that a gate selects, by how often
-the word so far has been seen, and the weights are refined online, block by block of
-each document, by the gradient of what the block cost. The product over all steps is the
-text's probability; its negative binary logarithm over the bytes is the bits per byte.
+A text is scored as its words, A-Z lower-cased, and an end mark. Each is a path of binary
+decisions, so a step predicts one bit: a frequent training word or the end has its prefix code;
+any other word is an escape, then spelled byte by byte down the prefix code of the byte before
+it. Predictors look the step up under different contexts: the code's own node; the word before,
+the word before that and both (when spelling: three bytes, five bytes and the word so far). All
+but the first are hashed into tables of bit counts that Spark sums over every training document.
+Their log-odds are mixed by weights that a gate selects, by how often the widest context has been
+seen, and the weights are refined online, block by block of each document, by the gradient of
+what the block cost. Last, the probability of an escaped word is mixed with its share of the
+escaped words in training, whose counts grow with the corpus and are joined by shuffle. The
+product over all steps is the text's probability; its negative binary logarithm over the bytes
+is the bits per byte.
 """
 
 from __future__ import annotations
@@ -18,29 +22,33 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orebelt.session import materialize
 
-#: Address bits of the hashed tables (three bytes, five bytes, word so far), and slots a row carries.
-BITS, PIECE = (20, 21, 22), 4096
+#: Address bits of the hashed tables (word before / three bytes, the one before that / five
+#: bytes, both / word so far), and slots a row carries.
+BITS, PIECE = (22, 20, 22), 16384
 HASHED = len(BITS)
 #: The hashed context that gates the weights, by how often it has been seen: 0, 1, 2-3, 4-7, ...
-WORD, GATES = 2, 10
-#: The most frequent training words, whose counts are broadcast; all others are joined.
-HEAD = 100_000
-#: Training documents (crc32 of the id modulo TUNING[0] = TUNING[1]) that shape the codes and
-#: start the weights instead of filling the tables.
+GATE, GATES = 2, 10
+#: The most frequent training words have codes of their own, unless they are longer than WIDEST
+#: bytes; both bound what is broadcast. All other words' counts are joined.
+HEAD, WIDEST = 1 << 17, 256
+#: Training documents (crc32 of the id modulo TUNING[0] = TUNING[1]) that start the weights
+#: before they, too, are added to the tables.
 TUNING = (61, 3)
-_END, _BLANK = 10, 32
+_BLANK = 32
+_BYTES = 65536
 _FIRST, _LARGEST = 64, 8192
-_GROUP = 1 << 18
+_GROUP = 1 << 17
 _RATE = 0.7
 #: Log-odds are kept in a byte, in steps of this size: the model is broadcast several times.
 ODDS = np.float32(1 / 12)
@@ -52,19 +60,28 @@ def split(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def canonical(words: list[bytes]) -> np.ndarray:
-    """The bytes that are scored."""
-    return np.frombuffer(b" ".join(words) + b"\n", np.uint8)
-
-
-def word_hash(word: bytes) -> int:
-    value = xxhash.xxh64_intdigest(word, 42)
-    return value - (1 << 64) if value >> 63 else value
+def _paths(weights: list[float]) -> Iterator[list[tuple[int, int]]]:
+    """Huffman path of every leaf from the root: (inner node, bit). Nodes count from 0."""
+    n = len(weights)
+    heap = [(float(w) + 0.01, k) for k, w in enumerate(weights)]
+    heapq.heapify(heap)
+    above = [0] * (2 * n - 1)
+    for k in range(n, 2 * n - 1):
+        (a, x), (b, y) = heapq.heappop(heap), heapq.heappop(heap)
+        above[x], above[y] = k << 1, k << 1 | 1
+        heapq.heappush(heap, (a + b, k))
+    for at in range(n):
+        path = []
+        while at != 2 * n - 2:
+            at, bit = above[at] >> 1, above[at] & 1
+            path.append((at - n, bit))
+        yield path[::-1]
 
 
 @dataclass
 class Codes:
-    """For each pair (byte before, byte): its path of nodes and bits, end to end in one array."""
+    """Paths of nodes and bits, end to end in one array. Symbol ``before * 256 + byte`` is a byte
+    after another; from 65,536 on follow the words of the head, the escape and the end."""
 
     start: np.ndarray
     length: np.ndarray
@@ -72,73 +89,132 @@ class Codes:
     bit: np.ndarray
 
     @staticmethod
-    def build(pairs: np.ndarray) -> Codes:
-        """Huffman codes of every byte after every byte from 256 x 256 counts; none is left out."""
-        nodes: list[int] = []
-        bits: list[int] = []
-        start, length = np.zeros(65536, np.int32), np.zeros(65536, np.int32)
-        for before in range(256):
-            heap = [(float(w) + 0.01, k) for k, w in enumerate(pairs[before])]
-            heapq.heapify(heap)
-            above: dict[int, tuple[int, int]] = {}
-            for k in range(256, 511):
-                (a, x), (b, y) = heapq.heappop(heap), heapq.heappop(heap)
-                above[x], above[y] = (k, 0), (k, 1)
-                heapq.heappush(heap, (a + b, k))
-            for byte in range(256):
-                path, at = [], byte
-                while at in above:
-                    at, bit = above[at]
-                    path.append((before * 256 + at - 256, bit))
-                start[before * 256 + byte], length[before * 256 + byte] = len(nodes), len(path)
-                for node, bit in reversed(path):
-                    nodes.append(node)
-                    bits.append(bit)
-        return Codes(start, length, np.array(nodes, np.uint32), np.array(bits, np.uint8))
+    def build(pairs: np.ndarray, words: list[float]) -> Codes:
+        """From 256 x 256 counts of bytes after bytes and counts of words, escape and end."""
+        nodes, bits, length = [], [], []
+        for base, weights in chain(((before * 256, pairs[before]) for before in range(256)), [(_BYTES, words)]):
+            for path in _paths(weights):
+                length.append(len(path))
+                nodes.extend(base + k for k, _ in path)
+                bits.extend(bit for _, bit in path)
+        size = np.array(length, np.int32)
+        return Codes(np.cumsum(size, dtype=np.int32) - size, size, np.array(nodes, np.uint32), np.array(bits, np.uint8))
+
+    @property
+    def nodes(self) -> int:
+        return len(self.start) - 1
 
 
 @dataclass
 class Model:
     codes: Codes
+    #: Number of each word that has a code; the next two numbers are escape and end.
+    head: dict[bytes, int]
+    #: How often the training documents have each of them (zero for the escape).
+    seen: np.ndarray
     #: Log-odds of a one in steps of ODDS: by node, and by slot of each hashed table.
     first: np.ndarray
     tables: list[np.ndarray]
-    #: Gate of each slot of the word table.
+    #: Gate of each slot of the gating table.
     level: np.ndarray
     weights: np.ndarray = field(default_factory=lambda: np.full((GATES, HASHED + 1), 0.3, np.float64))
 
 
+@dataclass
+class Laid:
+    """Symbols of some texts, text after text, and the contexts each stands in."""
+
+    sizes: np.ndarray
+    symbol: np.ndarray
+    contexts: list[np.ndarray]
+    #: Words that are spelled: the word, its text, and where its bytes begin and end.
+    spelled: list[bytes]
+    owner: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+
+
 def levels(seen: np.ndarray) -> np.ndarray:
     return np.minimum(np.ceil(np.log2(seen + 1.0)), GATES - 1).astype(np.int8)
 
 
-def _contexts(data: np.ndarray) -> list[np.ndarray]:
-    """Hashes (32 bit) of the hashed contexts before each byte; ``data`` holds texts end to end."""
+def _spelling(spelled: list[bytes], size: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Symbols and hashed contexts (32 bit) of words that are spelled, each closed by a blank.
+    Nothing before a word is context of its bytes."""
+    data = np.frombuffer(b" ".join(spelled) + b" ", np.uint8)
     n = len(data)
-    wide = np.concatenate((np.full(5, _END, np.uint8), data)).astype(np.uint32)
-    three = wide[2 : n + 2] << np.uint32(16) | wide[3 : n + 3] << np.uint32(8) | wide[4 : n + 4]
-    five = (three * np.uint32(0x85EBCA6B)) ^ (wide[:n] << np.uint32(8) | wide[1 : n + 1]) * np.uint32(0xC2B2AE35)
+    begin = np.repeat(np.cumsum(size) - size, size)
+    at = np.arange(n) - begin
+    wide = np.concatenate((np.full(5, _BLANK, np.uint8), data))
+    back = [np.where(at >= k, wide[5 - k : n + 5 - k], _BLANK).astype(np.uint32) for k in range(1, 6)]
+    three = back[2] << np.uint32(16) | back[1] << np.uint32(8) | back[0]
+    five = (three * np.uint32(0x85EBCA6B)) ^ (back[4] << np.uint32(8) | back[3]) * np.uint32(0xC2B2AE35)
     # word so far: a polynomial hash, as differences of one running sum modulo 2 ** 64
     odd, inverse = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
     with np.errstate(over="ignore"):
         up = np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(n - 1, odd, np.uint64))))
         down = np.cumprod(np.full(n, inverse, np.uint64))
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * down)))
-        starts = np.concatenate(([True], (data[:-1] == _BLANK) | (data[:-1] == _END)))
-        begin = np.maximum.accumulate(np.where(starts, np.arange(n), 0))
         # relative to the word's begin, so that the hash does not depend on where the word stands
         word = (total[:-1] - total[begin]) * up[begin]
         word *= np.uint64(0xD6E8FEB86659FD93)
         word ^= word >> np.uint64(32)
-    return [three * np.uint32(0x27D4EB2F), five, word.astype(np.uint32)]
-
-
-def _steps(codes: Codes, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte number, node and bit of every binary step of the pairs."""
-    length = codes.length[pair]
-    owner = np.repeat(np.arange(len(pair), dtype=np.int32), length)
+    symbol = back[0].astype(np.int32) << 8 | data
+    return symbol, [three * np.uint32(0x27D4EB2F), five, word.astype(np.uint32)]
+
+
+def lay_out(texts: list[list[bytes]], head: dict[bytes, int]) -> Laid:
+    """Symbols and contexts of texts given as words. Nothing of one text is context of the next."""
+    escape = len(head)
+    n_words = np.array([len(t) for t in texts], np.int64)
+    tokens = n_words + 1
+    number = np.full(tokens.sum(), escape + 1, np.int32)  # the end of each text, and its words before
+    last = np.cumsum(tokens) - 1
+    inner = np.ones(len(number), bool)
+    inner[last] = False
+    number[inner] = np.fromiter((head.get(w, escape) for t in texts for w in t), np.int32, int(n_words.sum()))
+    escaped = np.flatnonzero(number == escape)
+    flat = number[inner] == escape
+    spelled = [w for w, out in zip(chain.from_iterable(texts), flat.tolist(), strict=True) if out]
+    # what a word is as context: its number, or a checksum where it has none
+    value = number.astype(np.uint32) + np.uint32(1)
+    value[escaped] = np.fromiter((zlib.crc32(w) | 1 << 31 for w in spelled), np.uint32, len(spelled))
+    value *= np.uint32(0x9E3779B1)
+    value ^= value >> np.uint32(15)
+    before, earlier = np.zeros_like(value), np.zeros_like(value)
+    before[1:], earlier[2:] = value[:-1], value[:-2]
+    first = last - n_words
+    before[first] = 0
+    earlier[first] = 0
+    earlier[np.minimum(first + 1, last)] = 0
+    own = [before ^ np.uint32(0x5BD1E995), earlier * np.uint32(0x7FEB352D), before * np.uint32(0x846CA68B) ^ (earlier >> np.uint32(7)) + earlier]
+    width = np.ones(len(number), np.int64)
+    size = np.fromiter((len(w) + 1 for w in spelled), np.int64, len(spelled))
+    width[escaped] += size
+    place = np.cumsum(width) - width
+    total = int(width.sum())
+    symbol, contexts = np.empty(total, np.int32), [np.empty(total, np.uint32) for _ in own]
+    symbol[place] = number + _BYTES
+    for c, x in zip(contexts, own, strict=True):
+        c[place] = x
+    if spelled:
+        rest = np.ones(total, bool)
+        rest[place] = False
+        codes, inside = _spelling(spelled, size)
+        symbol[rest] = codes
+        for c, x in zip(contexts, inside, strict=True):
+            c[rest] = x
+    text_of = np.repeat(np.arange(len(texts)), tokens)
+    sizes = np.bincount(text_of, width, len(texts)).astype(np.int64)
+    return Laid(sizes, symbol, contexts, spelled, text_of[escaped], place[escaped] + 1, place[escaped] + 1 + size)
+
+
+def _steps(codes: Codes, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, node and bit of every binary step of the symbols."""
+    length = codes.length[symbol]
+    owner = np.repeat(np.arange(len(symbol), dtype=np.int32), length)
     before = np.cumsum(length, dtype=np.int32) - length
-    at = np.arange(len(owner), dtype=np.int32) + (codes.start[pair] - before)[owner]
+    at = np.arange(len(owner), dtype=np.int32) + (codes.start[symbol] - before)[owner]
     return owner, codes.node[at], codes.bit[at]
 
 
@@ -150,30 +226,13 @@ def _slots(context: np.ndarray, owner: np.ndarray, mixed: np.ndarray, bits: int)
     return value
 
 
-def _laid_out(texts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Pairs and contexts of the texts' bytes, end to end. Each text begins after end marks, so
-    nothing of one text is context of the next."""
-    pad = np.full(5, _END, np.uint8)
-    data = np.concatenate([part for t in texts for part in (pad, t)])
-    own = np.ones(len(data), bool)
-    ends = np.cumsum([len(t) + 5 for t in texts])
-    begins = ends - [len(t) + 5 for t in texts]
-    own[(begins[:, None] + np.arange(5)).ravel()] = False
-    return _pairs(data)[own], [c[own] for c in _contexts(data)]
-
-
 def _tally(counts: np.ndarray, slot: np.ndarray, bit: np.ndarray) -> None:
     """Count a bit in each slot; indices and increment of these types take numpy's fast path."""
     np.add.at(counts, slot.astype(np.intp) * 2 + bit, np.int32(1))
 
 
-def _pairs(data: np.ndarray) -> np.ndarray:
-    before = np.concatenate((np.array([_END], np.uint8), data[:-1]))
-    return before.astype(np.int32) << 8 | data
-
-
-def _blocks(sizes: list[int]) -> np.ndarray:
-    """Block number of each byte within its text: blocks double from 64 to 8192 bytes."""
+def _blocks(sizes: np.ndarray) -> np.ndarray:
+    """Block number of each symbol within its text: blocks double from 64 to 8192 symbols."""
     top = int(math.log2(_LARGEST // _FIRST)) + 1
     limit = _FIRST * (2**top - 1)
     longest = np.arange(max(sizes))
@@ -181,26 +240,25 @@ def _blocks(sizes: list[int]) -> np.ndarray:
     return np.concatenate([number[:n] for n in sizes])
 
 
-def score(texts: list[np.ndarray], model: Model, final: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Natural log-probability of each text, and each text's last weights if ``final``."""
-    sizes = [len(t) for t in texts]
-    pair, contexts = _laid_out(texts)
-    number = _blocks(sizes)
+def score(laid: Laid, model: Model, final: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """What each symbol costs in natural units, and each text's last weights if ``final``."""
+    n = len(laid.sizes)
+    number = _blocks(laid.sizes)
     order = np.argsort(number, kind="stable")  # block by block, within a block text by text
-    doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)[order]
-    pair = pair[order]
-    contexts = [c[order] for c in contexts]
+    doc = np.repeat(np.arange(n, dtype=np.int32), laid.sizes)[order]
+    symbol = laid.symbol[order]
+    contexts = [c[order] for c in laid.contexts]
     edges = np.flatnonzero(np.diff(number[order], prepend=-1, append=-2))
-    weights = np.repeat(model.weights[None], len(texts), axis=0).reshape(-1, HASHED + 1)
-    result = np.zeros(len(texts))
+    weights = np.repeat(model.weights[None], n, axis=0).reshape(-1, HASHED + 1)
+    cost = np.empty(len(symbol))
     for a, b in zip(edges[:-1], edges[1:], strict=True):
-        owner, node, bit = _steps(model.codes, pair[a:b])
+        owner, node, bit = _steps(model.codes, symbol[a:b])
         mixed = node * np.uint32(0x2C1B3C6D)
         slots = [_slots(c[a:b], owner, mixed, bits) for c, bits in zip(contexts, BITS, strict=True)]
         inputs = [model.first[node]] + [t[at] for t, at in zip(model.tables, slots, strict=True)]
         inputs = [x * ODDS for x in inputs]
-        key = doc[a:b][owner] * GATES
-        key += model.level[slots[WORD]]
+        key = (doc[a:b] * GATES)[owner]
+        key += model.level[slots[GATE]]
         odds = np.zeros(len(owner), np.float32)
         for k, x in enumerate(inputs):
             odds += weights[:, k].astype(np.float32)[key] * x
@@ -210,21 +268,23 @@ def score(texts: list[np.ndarray], model: Model, final: bool = False) -> tuple[n
         odds *= sign
         odds = np.clip(odds, -30, 30)
         miss = np.exp(-odds)
-        result += np.bincount(doc[a:b][owner], np.log1p(miss), len(texts))
+        cost[a:b] = np.bincount(owner, np.log1p(miss), b - a)
         miss /= 1 + miss  # the probability the mix gave to the other bit
         miss *= sign
         seen = np.bincount(key, minlength=len(weights)) + 32.0
         for k, x in enumerate(inputs):
             weights[:, k] += _RATE * np.bincount(key, miss * x, len(weights)) / seen
-    return -result, weights.reshape(len(texts), GATES, HASHED + 1) if final else weights[:0]
+    result = np.empty(len(cost))
+    result[order] = cost
+    return result, weights.reshape(n, GATES, HASHED + 1) if final else weights[:0]
 
 
 def _groups(sizes: Iterator[int]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of together about _GROUP bytes."""
+    """Ranges of texts of together about _GROUP words."""
     begin = total = 0
     last = 0
     for last, size in enumerate(sizes, 1):
-        total += size
+        total += size + 1
         if total >= _GROUP:
             yield begin, last
             begin, total = last, 0
@@ -232,31 +292,26 @@ def _groups(sizes: Iterator[int]) -> Iterator[tuple[int, int]]:
         yield begin, last
 
 
-def _tuned(docs: DataFrame, codes: Codes | None, model: Model | None) -> np.ndarray:
-    """Sum over the tuning documents: of byte pairs, or of last weights with their number."""
+def _tuned(docs: DataFrame, model: Model) -> np.ndarray:
+    """Sum over the tuning documents of their last weights, and how much they were summed by."""
     carried = docs.sparkSession.sparkContext.broadcast(model)
-    width = 65536 if model is None else GATES * (HASHED + 1) + 1
+    width = GATES * (HASHED + 1) + 1
 
     def gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(width)
         for frame in frames:
-            texts = [canonical(split(t)) for t in frame["text"]]
-            if model_is_none:
-                for t in texts:
-                    total += np.bincount(_pairs(t), minlength=65536)
-            else:
-                for a, b in _groups(map(len, texts)):
-                    _, last = score(texts[a:b], carried.value, final=True)
-                    share = np.sqrt([len(t) for t in texts[a:b]])
-                    total[:-1] += (last.reshape(b - a, -1) * share[:, None]).sum(axis=0)
-                    total[-1] += share.sum()
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"k": at.astype("int32"), "n": total[at]})
-
-    model_is_none = model is None
+            texts = [split(t) for t in frame["text"]]
+            for a, b in _groups(map(len, texts)):
+                laid = lay_out(texts[a:b], carried.value.head)
+                _, last = score(laid, carried.value, final=True)
+                share = np.sqrt(laid.sizes)
+                total[:-1] += (last.reshape(b - a, -1) * share[:, None]).sum(axis=0)
+                total[-1] += share.sum()
+        yield pd.DataFrame({"k": np.arange(width, dtype=np.int32), "n": total})
+
     out = np.zeros(width)
     sums = docs.select("text").mapInPandas(gather, "k int, n double").groupBy("k").agg(F.sum("n").alias("n"))
-    for k, n in sums.collect():  # at most ``width`` rows
+    for k, n in sums.collect():  # ``width`` rows
         out[k] = round(n, 4)
     carried.destroy()
     return out
@@ -266,91 +321,142 @@ def _summed(pieces: DataFrame, keys: list[str]) -> DataFrame:
     """Add up count arrays of equal keys, streaming over each partition."""
 
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pack, unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
         key, total = None, None
+        row_of = lambda: pd.DataFrame([(*key, pack.compress(total.tobytes()))], columns=[*keys, "data"])
         for frame in frames:
             for row in frame.itertuples(index=False):
                 mine = tuple(getattr(row, k) for k in keys)
-                counts = np.frombuffer(zlib.decompress(row.data), np.int64)
+                counts = np.frombuffer(unpack.decompress(row.data), np.int32)
                 if mine == key:
-                    total = total + counts
+                    total += np.minimum(counts, _MOST - total)
                     continue
                 if key is not None:
-                    yield pd.DataFrame([(*key, zlib.compress(total.tobytes(), 1))], columns=[*keys, "data"])
-                key, total = mine, counts
+                    yield row_of()
+                key, total = mine, counts.copy()
         if key is not None:
-            yield pd.DataFrame([(*key, zlib.compress(total.tobytes(), 1))], columns=[*keys, "data"])
+            yield row_of()
 
     schema = ", ".join(f"{k} int" for k in keys) + ", data binary"
     return pieces.select(*keys, "data").repartition(*keys).sortWithinPartitions(*keys).mapInPandas(add, schema)
 
 
-def learn(training: DataFrame, doc_id: str = "doc_id") -> tuple[Model, DataFrame]:
-    """The model, and the table of training words: ``h`` (hash of the word) and ``c`` (count).
+#: Counts of a slot stop here; odds are kept no finer.
+_MOST = np.int32(2**31 - 1)
 
-    ``training`` has ``doc_id`` and ``text``. Bit counts and word counts come from one pass over
-    it; tables have a fixed number of slots, so what reaches the driver does not grow.
-    """
-    tuning = F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % TUNING[0] == TUNING[1], F.lit(False))
-    training = training.select(F.col("text"), tuning.alias("tuning"))
-    slice_ = materialize(training.where("tuning").select("text"), "tuning")
-    codes = Codes.build(_tuned(slice_, None, None).reshape(256, 256))
-    carried = training.sparkSession.sparkContext.broadcast(codes)
+
+def _bit_counts(docs: DataFrame, codes: Codes, head: dict[bytes, int], name: str) -> np.ndarray:
+    """Zeros and ones of every node and slot over the documents. Tables have a fixed number of
+    slots, so what reaches the driver does not grow."""
+    carried = docs.sparkSession.sparkContext.broadcast((codes, head))
+    n_nodes = codes.nodes + -codes.nodes % PIECE
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes, words = carried.value, Counter()
-        nodes = np.zeros(2 * 65536, np.int32)
+        codes, head = carried.value
+        nodes = np.zeros(2 * n_nodes, np.int32)
         tables = [np.zeros(2 << bits, np.int32) for bits in BITS]
         part = TaskContext.get().partitionId() % 32
+        for frame in frames:
+            for at in range(0, len(frame), _ROWS):
+                texts = [split(t) for t in frame["text"].iloc[at : at + _ROWS]]
+                for a, b in _groups(map(len, texts)):
+                    laid = lay_out(texts[a:b], head)
+                    for i in range(0, len(laid.symbol), _GROUP):
+                        owner, node, bit = _steps(codes, laid.symbol[i : i + _GROUP])
+                        mixed = node * np.uint32(0x2C1B3C6D)
+                        _tally(nodes, node, bit)
+                        for table, context, bits in zip(tables, laid.contexts, BITS, strict=True):
+                            _tally(table, _slots(context[i : i + _GROUP], owner, mixed, bits), bit)
+        pack = zstandard.ZstdCompressor(level=1)
+        base = 0
+        for counts in (nodes, *tables):
+            whole = counts.reshape(-1, 2 * PIECE)
+            for at in range(0, len(whole), 16):
+                rows = [(base + at + k, part, pack.compress(x.tobytes())) for k, x in enumerate(whole[at : at + 16]) if x.any()]
+                yield pd.DataFrame(rows, columns=["piece", "part", "data"])
+            base += len(whole)
+
+    gathered = materialize(docs.select("text").mapInPandas(count, "piece int, part int, data binary"), name)
+    unpack = zstandard.ZstdDecompressor()
+    counts = np.zeros(2 * (n_nodes + sum(1 << bits for bits in BITS)), np.int32)
+    for piece, data in _summed(_summed(gathered, ["piece", "part"]), ["piece"]).collect():  # as many rows as the tables have pieces
+        counts[piece * 2 * PIECE : (piece + 1) * 2 * PIECE] = np.frombuffer(unpack.decompress(data), np.int32)
+    carried.destroy()
+    return counts.reshape(-1, 2)
+
+
+def _fill(model: Model, counts: np.ndarray) -> None:
+    """Odds and gates of the model from bit counts."""
+    odds = np.empty(len(counts), np.int8)
+    for at in range(0, len(counts), 1 << 20):
+        some = counts[at : at + (1 << 20)]
+        odds[at : at + (1 << 20)] = np.clip(np.rint(np.log((some[:, 1] + 0.2) / (some[:, 0] + 0.2)) / ODDS), -127, 127)
+    n_nodes = len(counts) - sum(1 << bits for bits in BITS)
+    cuts = np.cumsum([n_nodes, *(1 << bits for bits in BITS)])
+    model.first = odds[:n_nodes]
+    model.tables = [odds[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    model.level = levels(counts[cuts[GATE] : cuts[GATE + 1]].sum(axis=1, dtype=np.int64))
 
-        def spill() -> pd.DataFrame:
-            hashes = np.fromiter((word_hash(w) for w in words), np.int64, len(words))
-            return pd.DataFrame({"piece": -1, "part": 0, "h": hashes, "c": np.fromiter(words.values(), np.int64, len(words)), "data": None})
 
+def count_words(training: DataFrame) -> DataFrame:
+    """``w, c``: every training word (the end mark is a line feed) and how often it occurs; for
+    byte pairs of words ``w`` is null, ``k`` the pair and ``c`` its count."""
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words: Counter = Counter()
+        pairs = np.zeros(_BYTES, np.int64)
+        table = lambda: pd.DataFrame({"w": list(words), "k": 0, "c": np.fromiter(words.values(), np.int64, len(words))})
         for frame in frames:
-            batch: list[np.ndarray] = []
-            size = 0
-            for k, (text, tunes) in enumerate(zip(frame["text"], frame["tuning"], strict=True), 1):
+            for text in frame["text"]:
                 found = split(text)
                 words.update(found)
                 words[b"\n"] += 1
-                if not tunes:
-                    batch.append(canonical(found))
-                    size += len(batch[-1])
-                if batch and (size >= 2 * _GROUP or k == len(frame)):
-                    pair, contexts = _laid_out(batch)
-                    for at in range(0, len(pair), 2 * _GROUP):
-                        owner, node, bit = _steps(codes, pair[at : at + 2 * _GROUP])
-                        mixed = node * np.uint32(0x2C1B3C6D)
-                        _tally(nodes, node, bit)
-                        for table, context, bits in zip(tables, contexts, BITS, strict=True):
-                            _tally(table, _slots(context[at : at + 2 * _GROUP], owner, mixed, bits), bit)
-                    batch, size = [], 0
-            if len(words) > _FLUSH:
-                yield spill()
-                words = Counter()
-        yield spill()
-        whole = np.concatenate([nodes, *tables]).reshape(-1, 2 * PIECE)
-        for at in range(0, len(whole), 64):
-            rows = [(at + k, part, 0, 0, zlib.compress(x.astype(np.int64).tobytes(), 1)) for k, x in enumerate(whole[at : at + 64]) if x.any()]
-            yield pd.DataFrame(rows, columns=["piece", "part", "h", "c", "data"])
-
-    gathered = materialize(training.mapInPandas(count, "piece int, part int, h long, c long, data binary"), "counts")
-    carried.destroy()
-    words = gathered.where("piece < 0").groupBy("h").agg(F.sum("c").alias("c"))
-    pieces = _summed(_summed(gathered.where("piece >= 0"), ["piece", "part"]), ["piece"])
-    counts = np.zeros(2 * 65536 + sum(2 << bits for bits in BITS), np.int64)
-    for piece, data in pieces.collect():  # as many rows as the tables have pieces
-        counts[piece * 2 * PIECE : (piece + 1) * 2 * PIECE] = np.frombuffer(zlib.decompress(data), np.int64)
-    counts = counts.reshape(-1, 2)
-    odds = np.log((counts[:, 1] + 0.2) / (counts[:, 0] + 0.2)) / ODDS
-    odds = np.clip(np.rint(odds), -127, 127).astype(np.int8)
-    cuts = np.cumsum([65536, *(1 << bits for bits in BITS)])
-    model = Model(codes, odds[:65536], [odds[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], levels(counts[cuts[WORD] : cuts[WORD + 1]].sum(axis=1)))
+                data = np.frombuffer(b" " + b" ".join(found) + b" ", np.uint8)
+                for at in range(0, len(data) - 1, 1 << 20):
+                    some = data[at : at + (1 << 20) + 1].astype(np.int32)
+                    pairs += np.bincount(some[:-1] << 8 | some[1:], minlength=_BYTES)
+                if len(words) > _FLUSH:
+                    yield table()
+                    words = Counter()
+        yield table()
+        at = np.flatnonzero(pairs)
+        yield pd.DataFrame({"w": None, "k": at.astype(np.int32), "c": pairs[at]})
+
+    rows = training.select("text").mapInPandas(count, "w binary, k int, c long")
+    return materialize(rows.groupBy("w", "k").agg(F.sum("c").alias("c")), "words")
+
+
+def learn(training: DataFrame, doc_id: str = "doc_id") -> tuple[Model, DataFrame]:
+    """The model, and the table of training words: ``w`` and ``c`` (count).
+
+    ``training`` has ``doc_id`` and ``text``. One pass counts words and byte pairs, a second the
+    bits under the codes they give; weights start from a slice that is added to the bits last.
+    """
+    tuning = F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % TUNING[0] == TUNING[1], F.lit(False))
+    training = training.select(F.col("text"), tuning.alias("tuning"))
+    counted = count_words(training)
+    vocabulary = counted.where("w IS NOT NULL").select("w", "c")
+    pairs = np.zeros(_BYTES, np.int64)
+    for k, c in counted.where("w IS NULL").select("k", "c").collect():  # at most 65,536 rows
+        pairs[k] = c
+    mark = F.lit(b"\n")
+    usual = vocabulary.where((F.col("w") != mark) & (F.octet_length("w") <= WIDEST) & (F.col("c") > 1))
+    head = [(bytes(w), c) for w, c in usual.orderBy(F.desc("c"), "w").limit(HEAD).collect()]
+    total, ends = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("w") == mark, F.col("c"))), F.lit(0))).first()
+    codes = Codes.build(pairs.reshape(256, 256), [*(c for _, c in head), total - ends - sum(c for _, c in head), ends])
+    numbers = {w: k for k, (w, _) in enumerate(head)}
+    slice_ = materialize(training.where("tuning").select("text"), "tuning")
+    counts = _bit_counts(training.where("NOT tuning"), codes, numbers, "bits")
+    model = Model(codes, numbers, np.array([*(c for _, c in head), 0, ends], np.int64), np.empty(0), [], np.empty(0))
+    _fill(model, counts)
     for _ in range(4):
-        sums = _tuned(slice_, codes, model)
+        sums = _tuned(slice_, model)
         if sums[-1]:
             model.weights = (sums[:-1] / sums[-1]).reshape(GATES, HASHED + 1)
-    return model, materialize(words, "words")
+    more = _bit_counts(slice_, codes, numbers, "tuning_bits")
+    counts += np.minimum(more, _MOST - counts)
+    _fill(model, counts)
+    return model, vocabulary
 
 
 def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -363,59 +469,66 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
 
     Null and empty texts are the end mark alone. Repeated rows are scored alike and come back as
     often as they came; a null training condition is false; with nothing to learn from, every
-    bit is even odds. Frequent words' counts are broadcast (HEAD of them), all others joined.
+    bit is even odds; an empty table gives an empty one. Words of equal count are ordered by
+    their bytes. Texts are scored whole: a very long one holds some 20 bytes of memory for each of
+    its bytes. Other columns, of any name, are left out. Frequent words' counts are broadcast
+    (HEAD of them), all others joined.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("_train"))
     model, vocabulary = learn(rows.where("_train").select("doc_id", "text"))
-    spark = docs.sparkSession
-    total, different = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    head = vocabulary.orderBy(F.desc("c"), "h").limit(HEAD)
-    known = {h: c for h, c in head.toPandas().itertuples(index=False)}
-    carried = spark.sparkContext.broadcast((model, known))
+    once = F.sum(F.when(F.col("c") == 1, 1).otherwise(0))
+    total, different, singles = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(once, F.lit(0))).first()
+    escapes = total - int(model.seen.sum())
+    # chance that an escaped word has been seen: all but the share of those seen once
+    seen_before = (escapes - min(singles, escapes) + 0.5) / (escapes + 1)
+    carried = docs.sparkSession.sparkContext.broadcast(model)
 
     def rate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, known = carried.value
-        cache: dict[bytes, tuple[int, int]] = {}
+        model = carried.value
+        logs = np.log10(model.seen + 1.0)
         number = TaskContext.get().partitionId() << 32
+        columns = ["n_tokens", "n_known", "part", "plain", "size", "tail_w", "tail_cost"]
         # a batch of Arrow holds thousands of texts; their words are held for a few of them
         for frame in (f.iloc[at : at + _ROWS] for f in frames for at in range(0, len(f), _ROWS)):
-            found = [split(t) for t in frame["text"]]
-            texts = [canonical(w) for w in found]
-            scores = np.concatenate([score(texts[a:b], model)[0] for a, b in _groups(map(len, texts))]) if texts else []
-            out = []
-            for words, size, value in zip(found, map(len, texts), scores, strict=True):
-                part, seen, tail_h, tail_n = 0.0, 0, [], []
-                counts = Counter(words)
-                counts[b"\n"] = 1
-                for word, n in counts.items():
-                    got = cache.get(word)
-                    if got is None:
-                        h = word_hash(word)
-                        got = cache[word] = (h, known.get(h, 0))
-                    if got[1]:
-                        part += n * math.log10(got[1] + 1)
-                        seen += n
-                    else:
-                        tail_h.append(got[0])
-                        tail_n.append(n)
-                if len(cache) > _FLUSH:
-                    cache = {}
-                out.append((len(words) + 1, seen, part, value / math.log(10), -value / math.log(2) / size, tail_h, tail_n))
-            result = pd.DataFrame(out, columns=["n_tokens", "n_known", "part", "score", "bits_per_byte", "tail_h", "tail_n"])
+            texts = [split(t) for t in frame["text"]]
+            out: list[tuple] = []
+            for a, b in _groups(map(len, texts)):
+                laid = lay_out(texts[a:b], model.head)
+                cost, _ = score(laid, model)
+                text_of = np.repeat(np.arange(b - a), laid.sizes)
+                plain = laid.symbol >= _BYTES
+                token = laid.symbol[plain] - _BYTES
+                value = np.bincount(text_of[plain], cost[plain], b - a)
+                part = np.bincount(text_of[plain], logs[token], b - a)
+                # cost of each spelling: sums between two places of the running total of its text's costs
+                running = np.concatenate(([0.0], np.cumsum(np.where(plain, 0.0, cost))))
+                spelled = running[laid.end] - running[laid.begin]
+                cuts = np.searchsorted(laid.owner, np.arange(b - a + 1))
+                for k, words in enumerate(texts[a:b]):
+                    i, j = cuts[k], cuts[k + 1]
+                    end_known = int(logs[-1] > 0)
+                    out.append((len(words) + 1, len(words) - (j - i) + end_known, part[k], value[k], sum(map(len, words)) + max(len(words), 1), laid.spelled[i:j], spelled[i:j]))
+            result = pd.DataFrame(out, columns=columns)
             result.insert(0, "doc_id", frame["doc_id"].to_numpy())
             result.insert(0, "row", np.arange(number, number + len(frame)))
             number += len(frame)
             yield result
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, n_tokens long, n_known long, part double, score double, bits_per_byte double, tail_h array<long>, tail_n array<long>"
+    schema = f"row long, doc_id {kind}, n_tokens long, n_known long, part double, plain double, size long, tail_w array<binary>, tail_cost array<double>"
     rated = materialize(rows.select("doc_id", "text").mapInPandas(rate, schema), "rated")
     carried.destroy()
-    tail = rated.select("row", F.inline(F.arrays_zip(F.col("tail_h").alias("h"), F.col("tail_n").alias("n"))))
-    tail = tail.join(vocabulary, "h").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("rest"))
-    out = rated.drop("tail_h", "tail_n").join(tail, "row", "left")
-    base = F.col("part") + F.coalesce("rest", F.lit(0.0)) - F.col("n_tokens") * math.log10(total + different + 1)
+    tail = rated.select("row", F.inline(F.arrays_zip(F.col("tail_w").alias("w"), F.col("tail_cost").alias("cost"))))
+    share = F.col("c") * (seen_before / max(escapes, 1)) + F.exp(-F.col("cost")) * (1 - seen_before)
+    gain = F.when(F.col("c").isNull(), math.log(1 - seen_before) - F.col("cost")).otherwise(F.log(share))
+    tail = tail.join(vocabulary, "w", "left").groupBy("row").agg(
+        F.count("c").alias("more"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("rest"), F.sum(gain).alias("gain")
+    )
+    none = F.lit(0.0)
+    out = rated.drop("tail_w", "tail_cost").join(tail, "row", "left")
+    base = F.col("part") + F.coalesce("rest", none) - F.col("n_tokens") * math.log10(total + different + 1)
+    value = F.coalesce("gain", none) - F.col("plain")
     return out.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        base.alias("base_score"), "score", "bits_per_byte",
+        base.alias("base_score"), (value / math.log(10)).alias("score"), (-value / math.log(2) / F.col("size")).alias("bits_per_byte"),
     )

@@ -581,16 +581,56 @@ def test_scores(spark, hard):
     assert {r.n_known for r in mixlm.score_documents(df.limit(3), F.lit(None)).collect()} == {0}
 
 
-def test_probabilities_sum_to_one():
-    codes = mixlm.Codes.build(np.random.default_rng(0).integers(0, 50, (256, 256)))
+def small_model():
     rng = np.random.default_rng(1)
+    head = {b"some": 0, b"words": 1, b"of": 2, b"it": 3}
+    codes = mixlm.Codes.build(rng.integers(0, 50, (256, 256)), [9, 7, 5, 3, 6, 2])
     tables = [rng.integers(-30, 30, 1 << b).astype(np.int8) for b in mixlm.BITS]
-    model = mixlm.Model(codes, rng.integers(-30, 30, 65536).astype(np.int8), tables, np.zeros(1 << mixlm.BITS[mixlm.WORD], np.int8))
-    # the next byte after a fixed beginning: the probabilities of all 256 add up to one
-    begin = np.frombuffer(b"some wo", np.uint8)
-    alone = mixlm.score([begin], model)[0][0]
-    every = [np.append(begin, np.uint8(b)) for b in range(256)]
-    assert np.exp(mixlm.score(every, model)[0] - alone).sum() == pytest.approx(1.0)
+    gate = rng.integers(0, mixlm.GATES, 1 << mixlm.BITS[mixlm.GATE]).astype(np.int8)
+    return mixlm.Model(codes, head, np.array([9, 7, 5, 3, 0, 2]), rng.integers(-30, 30, codes.nodes).astype(np.int8), tables, gate)
+
+
+def cost_at(words_, model, place):
+    return mixlm.score(mixlm.lay_out([words_], model.head), model)[0][place]
+
+
+def test_probabilities_sum_to_one():
+    model, begin = small_model(), [b"some", b"words"]
+    # the third word: those that have a code, the escape, and the end
+    after = [cost_at([*begin, w], model, 2) for w in [*model.head, b"zq"]] + [cost_at(begin, model, 2)]
+    assert np.exp(-np.array(after)).sum() == pytest.approx(1.0)
+    # the third byte of a word that is spelled, its end included
+    spelt = [cost_at([*begin, b"zq" + bytes([b])], model, 5) for b in range(256) if b != 32] + [cost_at([*begin, b"zq"], model, 5)]
+    assert np.exp(-np.array(spelt)).sum() == pytest.approx(1.0)
+
+
+def test_scores_bit_by_bit():
+    """Blocks, gates, weights and the mix, one bit after another."""
+    model, rng = small_model(), random.Random(2)
+    text = [rng.choice([b"some", b"words", b"of", b"it", b"zebra", b"q"]) for _ in range(150)]
+    laid = mixlm.lay_out([[b"of"], text], model.head)
+    got, last = mixlm.score(laid, model, final=True)
+    first = int(laid.sizes[0])
+    alone = mixlm.lay_out([text], model.head)
+    assert all((a[first:] == b).all() for a, b in zip(laid.contexts, alone.contexts, strict=True))  # nothing of another text
+    weights, want, at, block = model.weights.copy(), [], 0, mixlm._FIRST
+    while at < len(alone.symbol):
+        push, seen = np.zeros_like(weights), np.full(mixlm.GATES, 32.0)
+        for i in range(at, min(at + block, len(alone.symbol))):
+            cost, start = 0.0, model.codes.start[alone.symbol[i]]
+            for j in range(start, start + model.codes.length[alone.symbol[i]]):
+                node, bit = int(model.codes.node[j]), int(model.codes.bit[j])
+                slots = [((int(c[i]) + node * 0x2C1B3C6D) * 0x9E3779B1 % 2**32) >> (32 - b) for c, b in zip(alone.contexts, mixlm.BITS, strict=True)]
+                x = np.array([model.first[node], *(t[s] for t, s in zip(model.tables, slots, strict=True))]) / 12
+                gate = model.level[slots[mixlm.GATE]]
+                p = 1 / (1 + math.exp(-float(weights[gate] @ x)))
+                cost -= math.log(p if bit else 1 - p)
+                push[gate] += (bit - p) * x
+                seen[gate] += 1
+            want.append(cost)
+        weights += mixlm._RATE * push / seen[:, None]
+        at, block = at + block, min(2 * block, mixlm._LARGEST)
+    assert got[first:] == pytest.approx(want, rel=1e-3, abs=1e-3) and last[1] == pytest.approx(weights, abs=1e-4)
 
 
 # pipeline
