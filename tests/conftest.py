@@ -19,6 +19,7 @@ def spark():
             "spark__ui__showConsoleProgress": "false",
             "spark__driver__memory": "8g",
             "spark__driver__bindAddress": "127.0.0.1",
+            "spark__driver__host": "127.0.0.1",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
