@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -38,6 +39,7 @@ from orebelt.session import materialize
 BITS, PIECE = (22, 20, 22), 16384
 HASHED = len(BITS)
 #: The hashed context that gates the weights, by how often it has been seen: 0, 1, 2-3, 4-7, ...
+#: It is the last one.
 GATE, GATES = 2, 10
 #: The most frequent training words have codes of their own, unless they are longer than WIDEST
 #: bytes; both bound what is broadcast. All other words' counts are joined.
@@ -91,7 +93,7 @@ class Codes:
     @staticmethod
     def build(pairs: np.ndarray, words: list[float]) -> Codes:
         """From 256 x 256 counts of bytes after bytes and counts of words, escape and end."""
-        nodes, bits, length = [], [], []
+        nodes, bits, length = array("I"), array("B"), array("i")
         for base, weights in chain(((before * 256, pairs[before]) for before in range(256)), [(_BYTES, words)]):
             for path in _paths(weights):
                 length.append(len(path))
@@ -345,11 +347,10 @@ def _summed(pieces: DataFrame, keys: list[str]) -> DataFrame:
 _MOST = np.int32(2**31 - 1)
 
 
-def _bit_counts(docs: DataFrame, codes: Codes, head: dict[bytes, int], name: str) -> np.ndarray:
-    """Zeros and ones of every node and slot over the documents. Tables have a fixed number of
-    slots, so what reaches the driver does not grow."""
+def _bit_counts(docs: DataFrame, codes: Codes, head: dict[bytes, int], name: str) -> DataFrame:
+    """Zeros and ones of every node and slot over the documents, in pieces."""
     carried = docs.sparkSession.sparkContext.broadcast((codes, head))
-    n_nodes = codes.nodes + -codes.nodes % PIECE
+    n_nodes = codes.nodes + -codes.nodes % PIECE  # whole pieces
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes, head = carried.value
@@ -377,25 +378,34 @@ def _bit_counts(docs: DataFrame, codes: Codes, head: dict[bytes, int], name: str
             base += len(whole)
 
     gathered = materialize(docs.select("text").mapInPandas(count, "piece int, part int, data binary"), name)
-    unpack = zstandard.ZstdDecompressor()
-    counts = np.zeros(2 * (n_nodes + sum(1 << bits for bits in BITS)), np.int32)
-    for piece, data in _summed(_summed(gathered, ["piece", "part"]), ["piece"]).collect():  # as many rows as the tables have pieces
-        counts[piece * 2 * PIECE : (piece + 1) * 2 * PIECE] = np.frombuffer(unpack.decompress(data), np.int32)
+    pieces = materialize(_summed(_summed(gathered, ["piece", "part"]), ["piece"]), f"{name}_sums")
     carried.destroy()
-    return counts.reshape(-1, 2)
+    return pieces
 
 
-def _fill(model: Model, counts: np.ndarray) -> None:
-    """Odds and gates of the model from bit counts."""
-    odds = np.empty(len(counts), np.int8)
-    for at in range(0, len(counts), 1 << 20):
-        some = counts[at : at + (1 << 20)]
-        odds[at : at + (1 << 20)] = np.clip(np.rint(np.log((some[:, 1] + 0.2) / (some[:, 0] + 0.2)) / ODDS), -127, 127)
-    n_nodes = len(counts) - sum(1 << bits for bits in BITS)
-    cuts = np.cumsum([n_nodes, *(1 << bits for bits in BITS)])
-    model.first = odds[:n_nodes]
-    model.tables = [odds[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    model.level = levels(counts[cuts[GATE] : cuts[GATE + 1]].sum(axis=1, dtype=np.int64))
+def _fill(model: Model, pieces: DataFrame) -> None:
+    """Odds and gates of the model from bit counts. Tables have a fixed number of slots, so what
+    reaches the driver, a byte or two a slot, does not grow."""
+
+    def weigh(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = zstandard.ZstdDecompressor()
+        for frame in frames:
+            counts = [np.frombuffer(unpack.decompress(x), np.int32).reshape(-1, 2) for x in frame["data"]]
+            odds = [np.clip(np.rint(np.log((x[:, 1] + 0.2) / (x[:, 0] + 0.2)) / ODDS), -127, 127).astype(np.int8).tobytes() for x in counts]
+            gates = [levels(x.sum(axis=1, dtype=np.int64)).tobytes() if k >= gated else b"" for k, x in zip(frame["piece"], counts, strict=True)]
+            yield pd.DataFrame({"piece": frame["piece"], "odds": odds, "gates": gates})
+
+    sizes = [model.codes.nodes + -model.codes.nodes % PIECE, *(1 << bits for bits in BITS)]
+    cuts = np.cumsum(sizes)
+    gated = cuts[GATE] // PIECE
+    odds, gates = np.zeros(cuts[-1], np.int8), np.zeros(cuts[-1] - cuts[GATE], np.int8)
+    for piece, some, gate in pieces.mapInPandas(weigh, "piece int, odds binary, gates binary").toLocalIterator():  # the tables' pieces
+        at = piece * PIECE
+        odds[at : at + PIECE] = np.frombuffer(some, np.int8)
+        if gate:
+            gates[at - cuts[GATE] : at - cuts[GATE] + PIECE] = np.frombuffer(gate, np.int8)
+    model.first, *model.tables = np.split(odds, cuts[:-1])
+    model.level = gates
 
 
 def count_words(training: DataFrame) -> DataFrame:
@@ -454,8 +464,7 @@ def learn(training: DataFrame, doc_id: str = "doc_id") -> tuple[Model, DataFrame
         if sums[-1]:
             model.weights = (sums[:-1] / sums[-1]).reshape(GATES, HASHED + 1)
     more = _bit_counts(slice_, codes, numbers, "tuning_bits")
-    counts += np.minimum(more, _MOST - counts)
-    _fill(model, counts)
+    _fill(model, _summed(counts.unionAll(more), ["piece"]))
     return model, vocabulary
 
 
