@@ -4,7 +4,7 @@ A text is scored as its words, A-Z lower-cased, and an end mark. Each is a path
 decisions, so a step predicts one bit: a frequent training word or the end has its prefix code;
 any other word is an escape, then spelled byte by byte down the prefix code of the byte before
 it. Predictors look the step up under different contexts: the code's own node; the word before,
-the word before that and both (when spelling: three bytes, five bytes and the word so far). All
+and the two words before (when spelling: three bytes, and the word so far). All
 but the first are hashed into tables of bit counts that Spark sums over every training document.
 Their log-odds are mixed by weights that a gate selects, by how often the widest context has been
 seen, and the weights are refined online, block by block of each document, by the gradient of
@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 
 from orebelt.session import materialize
 
-#: Address bits of the hashed tables (word before / three bytes, the one before that / five
-#: bytes, both / word so far), and slots a row carries.
-BITS, PIECE = (22, 20, 22), 16384
+#: Address bits of the hashed tables (word before / three bytes, two words before / word so far),
+#: and slots a row carries.
+BITS, PIECE = (21, 22), 16384
 HASHED = len(BITS)
 #: The hashed context that gates the weights, by how often it has been seen: 0, 1, 2-3, 4-7, ...
 #: It is the last one.
-GATE, GATES = 2, 10
+GATE, GATES = 1, 10
 #: The most frequent training words have codes of their own, unless they are longer than WIDEST
 #: bytes; both bound what is broadcast. All other words' counts are joined.
 HEAD, WIDEST = 1 << 17, 256
@@ -147,10 +147,9 @@ def _spelling(spelled: list[bytes], size: np.ndarray) -> tuple[np.ndarray, list[
     n = len(data)
     begin = np.repeat(np.cumsum(size) - size, size)
     at = np.arange(n) - begin
-    wide = np.concatenate((np.full(5, _BLANK, np.uint8), data))
-    back = [np.where(at >= k, wide[5 - k : n + 5 - k], _BLANK).astype(np.uint32) for k in range(1, 6)]
+    wide = np.concatenate((np.full(3, _BLANK, np.uint8), data))
+    back = [np.where(at >= k, wide[3 - k : n + 3 - k], _BLANK).astype(np.uint32) for k in range(1, 4)]
     three = back[2] << np.uint32(16) | back[1] << np.uint32(8) | back[0]
-    five = (three * np.uint32(0x85EBCA6B)) ^ (back[4] << np.uint32(8) | back[3]) * np.uint32(0xC2B2AE35)
     # word so far: a polynomial hash, as differences of one running sum modulo 2 ** 64
     odd, inverse = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
     with np.errstate(over="ignore"):
@@ -162,7 +161,7 @@ def _spelling(spelled: list[bytes], size: np.ndarray) -> tuple[np.ndarray, list[
         word *= np.uint64(0xD6E8FEB86659FD93)
         word ^= word >> np.uint64(32)
     symbol = back[0].astype(np.int32) << 8 | data
-    return symbol, [three * np.uint32(0x27D4EB2F), five, word.astype(np.uint32)]
+    return symbol, [three * np.uint32(0x27D4EB2F), word.astype(np.uint32)]
 
 
 def lay_out(texts: list[list[bytes]], head: dict[bytes, int]) -> Laid:
@@ -189,7 +188,7 @@ def lay_out(texts: list[list[bytes]], head: dict[bytes, int]) -> Laid:
     before[first] = 0
     earlier[first] = 0
     earlier[np.minimum(first + 1, last)] = 0
-    own = [before ^ np.uint32(0x5BD1E995), earlier * np.uint32(0x7FEB352D), before * np.uint32(0x846CA68B) ^ (earlier >> np.uint32(7)) + earlier]
+    own = [before ^ np.uint32(0x5BD1E995), before * np.uint32(0x846CA68B) ^ (earlier >> np.uint32(7)) + earlier]
     width = np.ones(len(number), np.int64)
     size = np.fromiter((len(w) + 1 for w in spelled), np.int64, len(spelled))
     width[escaped] += size
