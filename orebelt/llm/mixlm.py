@@ -478,7 +478,7 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
     Null and empty texts are the end mark alone. Repeated rows are scored alike and come back as
     often as they came; a null training condition is false; with nothing to learn from, every
     bit is even odds; an empty table gives an empty one. Words of equal count are ordered by
-    their bytes. Texts are scored whole: a very long one holds some 20 bytes of memory for each of
+    their bytes. Texts are scored whole: a very long one holds some 30 bytes of memory for each of
     its bytes. Other columns, of any name, are left out. Frequent words' counts are broadcast
     (HEAD of them), all others joined.
     """
