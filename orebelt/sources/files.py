@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
@@ -92,6 +92,19 @@ def row_counts_by_file(df: DataFrame) -> DataFrame:
     return df.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("records"))
 
 
+def table_of(path: Column, names: Sequence[str], extension: str = ".parquet") -> Column:
+    """File name of the table a path belongs to: a file of that name or any file in a folder of that name."""
+    known = "|".join(re.escape(name) for name in names)
+    return F.regexp_extract(path, f"^.*/((?:{known}){re.escape(extension)})(?:/.*)?$", 1)
+
+
+def validate_tables(probed: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Records and status per table of one or many files; a table is valid if all its files are."""
+    files = validate_files(probed).withColumn("file", table_of(F.col("path"), names)).where("file <> ''")
+    status = F.when(F.bool_and(F.col("validation_status") == "valid"), "valid").otherwise("invalid")
+    return files.groupBy("file").agg(F.sum("records").alias("records"), status.alias("validation_status"))
+
+
 def schemas_by_file(probed: DataFrame) -> DataFrame:
     """One row per file and column."""
     return probed.select("path", F.inline("columns"))

@@ -197,12 +197,9 @@ _NAMES = tuple(
     " UNION ALL ".join(f"SELECT '{n}.parquet' AS file, count(*) AS records, 'valid' AS validation_status FROM {n}" for n in _NAMES),
 )
 def file_inventory(spark, sf_dir):
-    """The given table files: listed, hashed, signature checked, counted, validated."""
-    pattern = "{" + ",".join(_NAMES) + "}.parquet"
-    probed = files.probe_files(files.file_inventory(spark, sf_dir, pattern), 8)
-    return files.validate_files(probed).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "records", "validation_status"
-    )
+    """The files of the given tables: listed, hashed, signature checked, counted, validated."""
+    listed = files.file_inventory(spark, sf_dir, "*.parquet").where(files.table_of(F.col("path"), _NAMES) != "")
+    return files.validate_tables(files.probe_files(listed, 8), _NAMES)
 
 
 @query(
@@ -210,9 +207,10 @@ def file_inventory(spark, sf_dir):
     "SELECT 'orders.parquet' AS file, count(*) AS records FROM orders UNION ALL SELECT 'customer.parquet', count(*) FROM customer",
 )
 def row_counts(spark, sf_dir):
-    """Rows per file of a scan over two files."""
+    """Rows per table of a scan over two tables, counted by file."""
     both = tables.read_parquet(spark, f"{sf_dir}/orders.parquet", f"{sf_dir}/customer.parquet")
-    return files.row_counts_by_file(both).select(F.element_at(F.split("path", "/"), -1).alias("file"), "records")
+    counted = files.row_counts_by_file(both).withColumn("file", files.table_of(F.col("path"), _NAMES))
+    return counted.groupBy("file").agg(F.sum("records").alias("records"))
 
 
 @query(

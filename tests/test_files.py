@@ -10,6 +10,7 @@ from orebelt.operators import schema as s
 from orebelt.plans import bronze
 from orebelt.plans.bronze import load_bronze_files
 from orebelt.sources import commits, files, sinks, tables, versions
+from suite import QUERIES
 
 
 def test_probe_and_validate(spark, tmp_path):
@@ -43,6 +44,24 @@ def test_inventory_reads_no_content(spark, tmp_path):
     assert inventory.first().size_bytes == 3
 
 
+@pytest.mark.parametrize("name", ["src_file_inventory", "src_row_counts"])
+def test_tables_stored_as_folders_of_files(spark, tmp_path, name):
+    tables_of = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+    for i, table in enumerate(tables_of):
+        rows = spark.range(10 + i).withColumnRenamed("id", f"{table}_id")
+        rows.repartition(3).write.parquet(f"{tmp_path}/{table}.parquet") if i % 2 else rows.toPandas().to_parquet(tmp_path / f"{table}.parquet")
+    got = sorted((r.file, r.records) for r in QUERIES[name](spark, str(tmp_path)).collect())
+    wanted = tables_of if name == "src_file_inventory" else ["customer", "orders"]
+    assert got == sorted((f"{t}.parquet", 10 + tables_of.index(t)) for t in wanted)
+
+
+def test_table_with_a_bad_file_is_invalid(spark, tmp_path):
+    spark.range(4).write.parquet(f"{tmp_path}/orders.parquet")
+    (tmp_path / "orders.parquet" / "part-x.parquet").write_bytes(b"no parquet at all")
+    probed = files.probe_files(files.file_inventory(spark, str(tmp_path), "*.parquet"))
+    assert [tuple(r) for r in files.validate_tables(probed, ["orders"]).collect()] == [("orders.parquet", 4, "invalid")]
+
+
 def test_months_with_different_schemas(spark, tmp_path):
     base = f"{tmp_path}/bronze"
     spark.sql("SELECT 1 AS a, timestamp_ntz'2024-01-01 00:00:00' AS t").write.parquet(f"{base}/tipo_dataset=green/anio=2024/mes=01")
