@@ -278,3 +278,15 @@ def test_high_volume_candidates(spark):
     assert (strict.distancia_millas, strict.shared_ride_flag, strict.monto_base, strict.monto_total) == (None, None, 20.0, 20.0)
     full = canonicalise(raw, "fhvhv", 2024, HIGH_VOLUME_SOURCES).first()
     assert (full.distancia_millas, full.shared_ride_flag) == (4.5, 1)
+
+
+def test_rows_are_shuffled_once_for_a_batch_and_without_their_version(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(StarStore, "_write", lambda self, frame, level: made.append(frame) or "b-0-none")
+    monkeypatch.setattr(StarStore, "commit", lambda *args: 1)
+    trips = spark.sql("SELECT 'green' AS tipo_dataset, 2024 AS anio, 'a' AS source_id")
+    prints = spark.sql("SELECT 'a' AS source_id, 'f' AS fingerprint")
+    assert StarStore(str(tmp_path)).refresh(spark, trips, prints)
+    plan = made[0]._jdf.queryExecution().analyzed().toString()
+    aggregate = next(line for line in plan.splitlines() if "Aggregate [" in line)
+    assert "source_id" in aggregate.split("], [")[0] and "version" not in aggregate.split("], [")[0]
