@@ -112,7 +112,7 @@ def summary(spark, sf_dir):
     ),
 )
 def first_failure(spark, sf_dir):
-    rejected = rules.quarantine(t.raw_trips(spark, sf_dir), t.RULES)
+    rejected = rules.quarantine(t.stored_trips(spark, sf_dir), t.RULES)
     return rejected.groupBy("rule", "taxi_type", "file_month").agg(F.sum("records").alias("records"))
 
 
@@ -124,7 +124,7 @@ _CLEAN_OUT = (
 
 @query("cln_clean_rows", with_ctes(*CHAIN, select=f"SELECT {_CLEAN_OUT} FROM {LAST} GROUP BY 1, 2"))
 def clean_rows(spark, sf_dir):
-    kept = rules.clean(t.raw_trips(spark, sf_dir), t.RULES)
+    kept = rules.clean(t.stored_trips(spark, sf_dir), t.RULES)
     return kept.groupBy(*t.SCOPE).agg(
         F.count(F.lit(1)).alias("trips"),
         F.min(_PU).alias("first_pickup"),
@@ -140,7 +140,7 @@ _FLAGSHIP = (*CHAIN, t.canon_cte(LAST), t.PREP, t.FACT)
 @query("flagship_clean_star", with_ctes(*_FLAGSHIP, select=f"SELECT {t.FACT_OUT} FROM fact"))
 def flagship(spark, sf_dir):
     """Raw trips through cleaning and the canonical layout to the published fact."""
-    silver = silver_trips(t.raw_trips(spark, sf_dir), rules=t.RULES)
+    silver = silver_trips(t.stored_trips(spark, sf_dir), rules=t.RULES)
     return rounded(full_fact(canonical_trips(silver)), 6, **t.FACT_DIGITS)
 
 
@@ -157,7 +157,7 @@ GROUP BY 1, 2, 3""",
     ),
 )
 def silver_enriched(spark, sf_dir):
-    silver = silver_trips(t.raw_trips(spark, sf_dir), t.zones(spark, sf_dir), rules=t.RULES)
+    silver = silver_trips(t.stored_trips(spark, sf_dir), t.zones(spark, sf_dir), rules=t.RULES)
     return silver.groupBy("pickup_borough", "dropoff_zone", "pickup_day").agg(
         F.count(F.lit(1)).alias("trips"), F.round(F.avg("trip_duration_minutes"), 6).alias("mean_minutes")
     )

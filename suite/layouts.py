@@ -41,9 +41,8 @@ LAYOUTS = {dataset: tuple(own.values()) for dataset, own in OWN.items()}
 _SCOPE = ("taxi_type", "file_year", "file_month")
 
 
-def united(spark, sf_dir) -> DataFrame:
+def united(trips: DataFrame) -> DataFrame:
     """All trips, those of each type in its own columns only."""
-    trips = t.raw_trips(spark, sf_dir)
     parts = [
         trips.where(F.col("taxi_type") == dataset).select(*_SCOPE, *[F.col(c).alias(name) for c, name in own.items()])
         for dataset, own in OWN.items()
@@ -104,7 +103,7 @@ _COUNTS = " UNION ALL ".join(
 @query("lay_rule_counts", with_ctes(*_CHAIN, select=_COUNTS))
 def lay_rule_counts(spark, sf_dir):
     """Removed records and status of every rule for each type in its own columns."""
-    counts = rules.cleaning_counts(united(spark, sf_dir), t.RULES, layouts=LAYOUTS)
+    counts = rules.cleaning_counts(united(t.raw_trips(spark, sf_dir)), t.RULES, layouts=LAYOUTS)
     return counts.select("taxi_type", "file_year", "rule_order", "rule", "status", "removed")
 
 
@@ -125,7 +124,7 @@ _OUT = (
 )
 def lay_clean_canonical(spark, sf_dir):
     """Every clean trip of all types, row by row, in the canonical layout."""
-    silver = silver_trips(united(spark, sf_dir), rules=t.RULES, layouts=LAYOUTS)
+    silver = silver_trips(united(t.stored_trips(spark, sf_dir)), rules=t.RULES, layouts=LAYOUTS)
     return rounded(canonical_trips(silver).select(*_OUT))
 
 
@@ -162,5 +161,5 @@ def lay_quality(spark, sf_dir):
     """Scores of each type over the columns it has."""
     keys = ("pickup_datetime", "dropoff_datetime", "tpep_pickup_datetime", "tpep_dropoff_datetime", "lpep_pickup_datetime", "lpep_dropoff_datetime")
     scope = {dataset: (*_SCOPE, *own) for dataset, own in LAYOUTS.items()}
-    measures = q.quality_measures(united(spark, sf_dir), t.SCOPE, keys=keys, layouts=scope)
+    measures = q.quality_measures(united(t.raw_trips(spark, sf_dir)), t.SCOPE, keys=keys, layouts=scope)
     return rounded(q.quality_scores(measures, t.SCOPE).select("taxi_type", "file_year", "records", "dimension", "score"))
