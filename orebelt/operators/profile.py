@@ -102,39 +102,35 @@ def _moments(
 
 
 def _distinct_counts(df: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
-    cells = F.array(*[_cell(df, i, name) for i, name in enumerate(names)])
-    values = df.select(*by, F.inline(cells)).distinct()
+    """One frame per class of types: its cells are narrow rows, and it scans its own columns only."""
+    classes: dict[str, list[Column]] = {}
+    for i, name in enumerate(names):
+        kind, value = _cell(df, name)
+        classes.setdefault(kind, []).append(F.struct(F.lit(i).alias("_i"), value.alias("_v")))
     labels = F.array(*[F.lit(name) for name in names])
-    per_column = values.groupBy(*by, "_i").agg(F.count(F.lit(1)).alias("distinct"))
-    return per_column.select(*by, F.get(labels, F.col("_i")).alias("column"), "distinct")
+    counts = []
+    for cells in classes.values():
+        values = df.select(*by, F.inline(F.array(*cells))).distinct()
+        counts.append(values.groupBy(*by, "_i").agg(F.count(F.lit(1)).alias("distinct")))
+    return reduce(DataFrame.unionAll, counts).select(*by, F.get(labels, F.col("_i")).alias("column"), "distinct")
 
 
-def _cell(df: DataFrame, index: int, name: str) -> Column:
-    """A value in the slot of its type class; slots keep values exact without text casts."""
+def _cell(df: DataFrame, name: str) -> tuple[str, Column]:
+    """A value in the type of its class; classes keep values exact without text casts."""
     value, kind = quoted(name), df.schema[name].dataType
-    whole = number = text = moment = None
     if isinstance(kind, T.BooleanType | T.ByteType | T.ShortType | T.IntegerType | T.LongType):
-        whole = value.cast("long")
-    elif isinstance(kind, T.DateType):
-        whole = F.unix_date(value).cast("long")
-    elif isinstance(kind, T.TimestampType):
-        whole = F.unix_micros(value)
-    elif isinstance(kind, T.TimestampNTZType):
-        moment = value
-    elif isinstance(kind, T.FloatType | T.DoubleType):
-        number = value.cast("double")
-    elif isinstance(kind, T.StringType):
-        text = value
-    else:
-        text = F.to_json(F.struct(value))
-        text = F.when(value.isNotNull(), text)
-    return F.struct(
-        F.lit(index).alias("_i"),
-        (F.lit(None).cast("long") if whole is None else whole).alias("_l"),
-        (F.lit(None).cast("double") if number is None else number).alias("_d"),
-        (F.lit(None).cast("string") if text is None else text).alias("_s"),
-        (F.lit(None).cast("timestamp_ntz") if moment is None else moment).alias("_t"),
-    )
+        return "whole", value.cast("long")
+    if isinstance(kind, T.DateType):
+        return "whole", F.unix_date(value).cast("long")
+    if isinstance(kind, T.TimestampType):
+        return "whole", F.unix_micros(value)
+    if isinstance(kind, T.TimestampNTZType):
+        return "moment", value
+    if isinstance(kind, T.FloatType | T.DoubleType):
+        return "number", value.cast("double")
+    if isinstance(kind, T.StringType):
+        return "text", value
+    return "text", F.when(value.isNotNull(), F.to_json(F.struct(value)))
 
 
 def profile_scores(profile: DataFrame, by: Sequence[str], policy: str = "initial") -> DataFrame:

@@ -9,7 +9,7 @@ from orebelt.operators import profile as p
 from orebelt.operators import quality as q
 from orebelt.operators import reports, rules
 from orebelt.plans.profile_store import ProfileStore
-from orebelt.session import scratch_path
+from orebelt.session import materialize, scratch_path
 from orebelt.sources.sinks import overwrite_partitions
 from suite import trips as t
 from suite.cleaning import CHAIN, LAST
@@ -70,6 +70,11 @@ _OUT = (
 )
 
 
+def cleaned_trips(raw):
+    """Clean trips as a table, since a profile scans its input more than once."""
+    return materialize(rules.clean(raw, t.RULES), "cleaned-trips")
+
+
 def profiled(df, by):
     return p.column_profile(df, by, list(COLUMNS))
 
@@ -77,7 +82,7 @@ def profiled(df, by):
 @query("prf_columns", with_ctes(*MONTHLY, select=f'SELECT taxi_type, file_year, file_month, "column", dtype, {_OUT} FROM prof'))
 def columns(spark, sf_dir):
     """Monthly profile of sixteen columns."""
-    return rounded(profiled(t.raw_trips(spark, sf_dir), MONTH), means=("mean",))
+    return rounded(profiled(t.stored_trips(spark, sf_dir), MONTH), means=("mean",))
 
 
 @query("prf_columns_approx")
@@ -101,12 +106,12 @@ def _scores_sql(policy: str, scope: tuple[str, ...]) -> str:
 
 @query("prf_initial_scores", with_ctes(*MONTHLY, select=_scores_sql("initial", MONTH)))
 def initial_scores(spark, sf_dir):
-    return p.profile_scores(profiled(t.raw_trips(spark, sf_dir), MONTH), MONTH)
+    return p.profile_scores(profiled(t.stored_trips(spark, sf_dir), MONTH), MONTH)
 
 
 @query("prf_final_scores", with_ctes(*FINAL, select=_scores_sql("final", t.SCOPE)))
 def final_scores(spark, sf_dir):
-    cleaned = rules.clean(t.raw_trips(spark, sf_dir), t.RULES)
+    cleaned = cleaned_trips(t.stored_trips(spark, sf_dir))
     return p.profile_scores(profiled(cleaned, t.SCOPE), t.SCOPE, "final")
 
 
@@ -120,7 +125,7 @@ UNION ALL SELECT taxi_type, file_year, "column", 'Columna constante: ' || "colum
     ),
 )
 def final_issues(spark, sf_dir):
-    cleaned = rules.clean(t.raw_trips(spark, sf_dir), t.RULES)
+    cleaned = cleaned_trips(t.stored_trips(spark, sf_dir))
     return p.profile_issues(profiled(cleaned, t.SCOPE), t.SCOPE)
 
 
@@ -140,7 +145,7 @@ FROM prof JOIN tot USING (taxi_type, file_year) GROUP BY 1, 2, 3, 4""",
 )
 def merge_year(spark, sf_dir):
     """Monthly profiles merged without weights, as in stored yearly profiles."""
-    return rounded(p.merge_profiles(profiled(t.raw_trips(spark, sf_dir), MONTH), t.SCOPE, "file_month"))
+    return rounded(p.merge_profiles(profiled(t.stored_trips(spark, sf_dir), MONTH), t.SCOPE, "file_month"))
 
 
 @query(
@@ -153,7 +158,7 @@ def merge_year(spark, sf_dir):
 )
 def merge_year_exact(spark, sf_dir):
     """Exact merge of monthly profiles; the SQL profiles all rows of the year at once."""
-    merged = p.merge_profiles(profiled(t.raw_trips(spark, sf_dir), MONTH), t.SCOPE, "file_month", exact=True)
+    merged = p.merge_profiles(profiled(t.stored_trips(spark, sf_dir), MONTH), t.SCOPE, "file_month", exact=True)
     return rounded(merged.drop("distinct_avg"), 6, means=("mean",), stddev=5)
 
 
@@ -211,7 +216,7 @@ _CLASS = (
     ),
 )
 def usefulness(spark, sf_dir):
-    return rounded(p.column_usefulness(profiled(t.raw_trips(spark, sf_dir), t.SCOPE), t.SCOPE))
+    return rounded(p.column_usefulness(profiled(t.stored_trips(spark, sf_dir), t.SCOPE), t.SCOPE))
 
 
 @query(
@@ -229,7 +234,7 @@ def usefulness(spark, sf_dir):
     ),
 )
 def usefulness_scores(spark, sf_dir):
-    classes = p.column_usefulness(profiled(t.raw_trips(spark, sf_dir), t.SCOPE), t.SCOPE)
+    classes = p.column_usefulness(profiled(t.stored_trips(spark, sf_dir), t.SCOPE), t.SCOPE)
     return rounded(p.usefulness_scores(classes, t.SCOPE))
 
 
@@ -245,8 +250,8 @@ FROM b JOIN a USING (taxi_type, file_year, "column")""",
     ),
 )
 def improvement(spark, sf_dir):
-    raw = t.raw_trips(spark, sf_dir)
-    before, after = profiled(raw, t.SCOPE), profiled(rules.clean(raw, t.RULES), t.SCOPE)
+    raw = t.stored_trips(spark, sf_dir)
+    before, after = profiled(raw, t.SCOPE), profiled(cleaned_trips(raw), t.SCOPE)
     return rounded(p.null_improvement(before, after, t.SCOPE))
 
 
@@ -264,8 +269,8 @@ def improvement(spark, sf_dir):
     ),
 )
 def final_vs_initial(spark, sf_dir):
-    raw = t.raw_trips(spark, sf_dir)
-    before, after = profiled(raw, t.SCOPE), profiled(rules.clean(raw, t.RULES), t.SCOPE)
+    raw = t.stored_trips(spark, sf_dir)
+    before, after = profiled(raw, t.SCOPE), profiled(cleaned_trips(raw), t.SCOPE)
     gain = p.null_improvement(before, after, t.SCOPE)
     return rounded(
         reports.final_vs_initial(
@@ -287,7 +292,7 @@ def final_vs_initial(spark, sf_dir):
     ),
 )
 def dimension_scores(spark, sf_dir):
-    return rounded(p.profile_dimensions(profiled(t.raw_trips(spark, sf_dir), t.SCOPE), t.SCOPE))
+    return rounded(p.profile_dimensions(profiled(t.stored_trips(spark, sf_dir), t.SCOPE), t.SCOPE))
 
 
 @query(
@@ -299,7 +304,7 @@ def dimension_scores(spark, sf_dir):
     ),
 )
 def column_quality(spark, sf_dir):
-    return rounded(p.column_quality_stats(profiled(t.raw_trips(spark, sf_dir), t.SCOPE), t.SCOPE))
+    return rounded(p.column_quality_stats(profiled(t.stored_trips(spark, sf_dir), t.SCOPE), t.SCOPE))
 
 
 @query(
@@ -334,7 +339,7 @@ def lookup_profile(spark, sf_dir):
 )
 def dataset_summary(spark, sf_dir):
     """Yearly scores summed up per dataset."""
-    monthly = p.profile_scores(profiled(t.raw_trips(spark, sf_dir), MONTH), MONTH)
+    monthly = p.profile_scores(profiled(t.stored_trips(spark, sf_dir), MONTH), MONTH)
     yearly = monthly.groupBy(F.col("taxi_type").alias("dataset"), F.col("file_year").alias("year")).agg(
         F.count(F.lit(1)).alias("months"), F.sum("records").alias("records"), F.avg("quality_score").alias("quality_score")
     )

@@ -180,3 +180,9 @@ def test_only_pending_months_are_scanned(spark, tmp_path):
     assert [r.file_month for r in done.collect()] == [3]
     assert store.refresh(spark, spark.read.schema(records.schema).parquet(path), available=months).isEmpty()
     assert store.trend(spark).first().months == 4 and store.profile(spark).where("column = 's'").first().n == 4000
+
+
+def test_distinct_counts_scan_the_columns_of_one_class(spark, tmp_path):
+    spark.sql("SELECT 'a' AS s, 1.5D AS d, 1 AS i").write.parquet(f"{tmp_path}/t")
+    plan = p.column_profile(spark.read.parquet(f"{tmp_path}/t"))._jdf.queryExecution().executedPlan().toString()
+    assert all(f"ReadSchema: struct<{column}>" in plan for column in ("s:string", "d:double", "i:int"))
