@@ -287,16 +287,27 @@ def _links_between(texts: DataFrame, similarity: float) -> DataFrame:
     return met.select(F.inline(compare(*[f"q_{c}" for c in names], *names)))
 
 
-def _copies(members: DataFrame, shingled: DataFrame, similarity: float) -> DataFrame:
-    """Copies (a, b) whose components equal those of all copies that share a bucket.
+def fingerprint_pairs(texts: DataFrame, radius: int = 3) -> DataFrame:
+    """Pairs (a, b) of ``texts`` (same, fp) that join what fingerprints at most ``radius`` bits apart
+    link: every text with the first of its fingerprint, and the firsts of linked fingerprints."""
+    classes = materialize(texts.groupBy("fp").agg(F.min("same").alias("lead")), "classes")
+    lead = lambda end: classes.select(F.col("fp").alias(end), F.col("lead").alias(f"lead_{end}"))
+    links = hamming_links(classes.select("fp"), radius).join(lead("a"), "a").join(lead("b"), "b")
+    inside = texts.join(classes, "fp").where("same <> lead").select(F.col("lead").alias("a"), F.col("same").alias("b"))
+    return inside.unionAll(links.select(F.col("lead_a").alias("a"), F.col("lead_b").alias("b")))
 
-    At first every text meets the first text of one of its buckets, then, where that left it in
+
+def _copies(members: DataFrame, shingled: DataFrame, similarity: float, near: DataFrame) -> DataFrame:
+    """Copies (a, b) whose components equal those of all copies that share a bucket or are ``near`` pairs.
+
+    At first near pairs are measured and every text meets the first text of one of its buckets, then, where that left it in
     another component, the first texts of all its buckets: a bounded number of pairs a text.
     Copies of one text are joined by then. What is left are buckets that still hold several
     components: buckets with a text in common form a group, and inside a group the components
     are compared block by block, which adds rows for links only.
     """
     pairs = members.where("same <> hub").groupBy("same").agg(F.min("hub").alias("hub")).select(F.col("hub").alias("a"), F.col("same").alias("b"))
+    pairs = near.unionAll(pairs).distinct()
     copies = materialize(_verified(materialize(pairs, "pairs"), shingled, similarity), "copies")
     placed = _placed(members, components(copies))
     pairs = placed.where("comp <> hub_comp").select(F.col("hub").alias("a"), F.col("same").alias("b")).distinct()
@@ -320,7 +331,8 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     """Rows of ``docs`` without near copies; one document of each group stays, in all its columns.
 
     Pairs whose sets of ``shingle``-word shingles have Jaccard similarity ``similarity`` or more
-    are copies, measured on 31-bit hashes of the shingles of both whole texts. Candidates share
+    are copies, measured on 31-bit hashes of the shingles of both whole texts. Candidates are linked
+    by SimHash fingerprints at most 3 bits apart, found by covering masks, or, farther apart, share
     the bucket of a band of minimum hashes over the same shingles; as many bands are searched as
     miss a pair at ``similarity`` once in 10 ** 9 times, and closer ones less often. A group is
     what copies join; its smallest id stays. Equal texts and repeated rows are one text; null and
@@ -329,24 +341,26 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     key = F.xxhash64(F.col(text), F.lit(1))
     bands = bands_for(similarity)
 
-    @F.pandas_udf("same bigint, bands array<bigint>")
+    @F.pandas_udf("same bigint, bands array<bigint>, fp bigint")
     def hashed(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([minhashes(t, shingle, bands) for t in texts], columns=["same", "bands"])
+        return pd.DataFrame([(*minhashes(t, shingle, bands), fingerprint(t, 3)) for t in texts], columns=["same", "bands", "fp"])
 
     rows = docs.select(F.col(doc_id).alias("_id"), key.alias("_key"), hashed(F.col(text)).alias("h"))
     # wordless texts, null or not, are one text, and so are texts with equal shingles
-    rows = materialize(rows.select("_id", "_key", "h.same", "h.bands"), "rows")
-    texts = rows.where(F.size("bands") > 0).groupBy("same").agg(F.min("_key").alias("_key"), F.first("bands").alias("bands"))
+    rows = materialize(rows.select("_id", "_key", "h.same", "h.bands", "h.fp"), "rows")
+    texts = rows.where(F.size("bands") > 0).groupBy("same").agg(F.min("_key").alias("_key"), F.first("bands").alias("bands"), F.min("fp").alias("fp"))
+    near = materialize(fingerprint_pairs(texts.select("same", "fp")), "near")
     dealt = texts.select("same", "_key", F.explode("bands").alias("bucket"))
     shared = dealt.groupBy("bucket").agg(F.count("*").alias("n"), F.min("same").alias("hub")).where("n > 1").select("bucket", "hub")
     members = materialize(dealt.join(shared, "bucket"), "members")
-    rows = rows.drop("bands")
-    named = members.select("same", "_key").distinct()
+    ends = near.select(F.explode(F.array("a", "b")).alias("same")).distinct()
+    named = members.select("same", "_key").unionAll(texts.join(ends, "same").select("same", "_key")).distinct()
+    rows = rows.drop("bands", "fp")
     source = docs.select(words(ascii_lower(F.col(text)), BLANK_WORD).alias("w"), key.alias("_key"))
     source = source.join(named, "_key", "left_semi").dropDuplicates(["_key"])
     short = F.transform(window_hashes(F.col("w"), shingle), lambda h: h.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
     shingled = source.select("_key", F.array_distinct(short).alias("shingles")).join(named, "_key").select("same", "shingles")
-    groups = components(_copies(members, materialize(shingled, "shingles"), similarity)).withColumnRenamed("node", "same")
+    groups = components(_copies(members, materialize(shingled, "shingles"), similarity, near)).withColumnRenamed("node", "same")
     order = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_key").alias("key"))
     rooted = rows.join(groups, "same", "left").withColumn("root", F.coalesce("root", "same"))
     first = rooted.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")

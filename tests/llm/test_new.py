@@ -267,3 +267,14 @@ def test_near_copies_in_a_crowd_that_is_no_copy(spark, monkeypatch):
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
     assert {r.doc_id for r in simhash.drop_near_copies(df).collect()} == set(root.values())
     assert len(set(root.values())) < len(texts)
+
+
+def test_near_copies_are_found_by_fingerprints_too(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "bands_for", lambda similarity: 1)
+    words = [f"w{i}" for i in range(400)]
+    text, near = " ".join(words), lambda a, b: (simhash.fingerprint(a, 3) ^ simhash.fingerprint(b, 3)) & (2**64 - 1)
+    edited = (" ".join([*words[:i], "other", *words[i + 1 :]]) for i in range(400))
+    apart = lambda t: simhash.minhashes(t, 5, 1)[1] != simhash.minhashes(text, 5, 1)[1]
+    copy = next(t for t in edited if apart(t) and near(text, t).bit_count() <= 3)
+    docs = spark.createDataFrame([(1, text), (2, copy), (3, "quite another text")], "doc_id long, text string")
+    assert {r.doc_id for r in simhash.drop_near_copies(docs).collect()} == {1, 3}
