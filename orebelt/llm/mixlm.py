@@ -22,8 +22,9 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from itertools import chain
+from dataclasses import dataclass, field, replace
+from functools import cached_property
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -50,7 +51,8 @@ TUNING = (61, 3)
 _BLANK = 32
 _BYTES = 65536
 _FIRST, _LARGEST = 64, 8192
-_GROUP = 1 << 17
+#: Words of the texts that are laid out together, so that what their steps need stays in cache.
+_GROUP = 1 << 15
 _RATE = 0.7
 #: Log-odds are kept in a byte, in steps of this size: the model is broadcast several times.
 ODDS = np.float32(1 / 12)
@@ -102,6 +104,16 @@ class Codes:
         size = np.array(length, np.int32)
         return Codes(np.cumsum(size, dtype=np.int32) - size, size, np.array(nodes, np.uint32), np.array(bits, np.uint8))
 
+    @cached_property
+    def place(self) -> np.ndarray:
+        """Start and length of each symbol's path in one number, read at once."""
+        return self.start.astype(np.int64) << 8 | self.length
+
+    @cached_property
+    def step(self) -> np.ndarray:
+        """Node and bit of each step in one number."""
+        return self.node << np.uint32(1) | self.bit
+
     @property
     def nodes(self) -> int:
         return len(self.start) - 1
@@ -121,6 +133,11 @@ class Model:
     level: np.ndarray
     weights: np.ndarray = field(default_factory=lambda: np.full((GATES, HASHED + 1), 0.3, np.float64))
 
+    @cached_property
+    def gating(self) -> np.ndarray:
+        """Odds and gate of each slot of the gating table in one number."""
+        return self.tables[GATE].view(np.uint8) | self.level.astype(np.int16) << 8
+
 
 @dataclass
 class Laid:
@@ -173,13 +190,13 @@ def lay_out(texts: list[list[bytes]], head: dict[bytes, int]) -> Laid:
     last = np.cumsum(tokens) - 1
     inner = np.ones(len(number), bool)
     inner[last] = False
-    number[inner] = np.fromiter((head.get(w, escape) for t in texts for w in t), np.int32, int(n_words.sum()))
+    known = np.fromiter(map(head.get, chain.from_iterable(texts), repeat(escape)), np.int32, int(n_words.sum()))
+    number[inner] = known
     escaped = np.flatnonzero(number == escape)
-    flat = number[inner] == escape
-    spelled = [w for w, out in zip(chain.from_iterable(texts), flat.tolist(), strict=True) if out]
+    spelled = list(compress(chain.from_iterable(texts), (known == escape).tolist()))
     # what a word is as context: its number, or a checksum where it has none
     value = number.astype(np.uint32) + np.uint32(1)
-    value[escaped] = np.fromiter((zlib.crc32(w) | 1 << 31 for w in spelled), np.uint32, len(spelled))
+    value[escaped] = np.fromiter(map(zlib.crc32, spelled), np.uint32, len(spelled)) | np.uint32(1 << 31)
     value *= np.uint32(0x9E3779B1)
     value ^= value >> np.uint32(15)
     before, earlier = np.zeros_like(value), np.zeros_like(value)
@@ -190,7 +207,7 @@ def lay_out(texts: list[list[bytes]], head: dict[bytes, int]) -> Laid:
     earlier[np.minimum(first + 1, last)] = 0
     own = [before ^ np.uint32(0x5BD1E995), before * np.uint32(0x846CA68B) ^ (earlier >> np.uint32(7)) + earlier]
     width = np.ones(len(number), np.int64)
-    size = np.fromiter((len(w) + 1 for w in spelled), np.int64, len(spelled))
+    size = np.fromiter(map(len, spelled), np.int64, len(spelled)) + 1
     width[escaped] += size
     place = np.cumsum(width) - width
     total = int(width.sum())
@@ -210,26 +227,30 @@ def lay_out(texts: list[list[bytes]], head: dict[bytes, int]) -> Laid:
     return Laid(sizes, symbol, contexts, spelled, text_of[escaped], place[escaped] + 1, place[escaped] + 1 + size)
 
 
-def _steps(codes: Codes, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place, node and bit of every binary step of the symbols."""
-    length = codes.length[symbol]
-    owner = np.repeat(np.arange(len(symbol), dtype=np.int32), length)
-    before = np.cumsum(length, dtype=np.int32) - length
-    at = np.arange(len(owner), dtype=np.int32) + (codes.start[symbol] - before)[owner]
-    return owner, codes.node[at], codes.bit[at]
+def _steps(codes: Codes, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Number and first place of each symbol's binary steps; node and bit of every step."""
+    place = codes.place[symbol]
+    length = place & 255
+    before = np.cumsum(length) - length
+    place >>= 8
+    place -= before
+    at = np.repeat(place, length)
+    at += np.arange(len(at))
+    step = codes.step[at]
+    return length, before, step >> np.uint32(1), step & np.uint32(1)
 
 
-def _slots(context: np.ndarray, owner: np.ndarray, mixed: np.ndarray, bits: int) -> np.ndarray:
-    value = context[owner]
+def _slots(context: np.ndarray, length: np.ndarray, mixed: np.ndarray, bits: int) -> np.ndarray:
+    value = np.repeat(context, length)
     value += mixed
     value *= np.uint32(0x9E3779B1)
     value >>= np.uint32(32 - bits)
-    return value
+    return value.astype(np.intp)
 
 
-def _tally(counts: np.ndarray, slot: np.ndarray, bit: np.ndarray) -> None:
-    """Count a bit in each slot; indices and increment of these types take numpy's fast path."""
-    np.add.at(counts, slot.astype(np.intp) * 2 + bit, np.int32(1))
+def _tally(counts: np.ndarray, at: np.ndarray) -> None:
+    """Count each place once; indices and increment of these types take numpy's fast path."""
+    np.add.at(counts, at, counts.dtype.type(1))
 
 
 def _blocks(sizes: np.ndarray) -> np.ndarray:
@@ -246,31 +267,36 @@ def score(laid: Laid, model: Model, final: bool = False) -> tuple[np.ndarray, np
     n = len(laid.sizes)
     number = _blocks(laid.sizes)
     order = np.argsort(number, kind="stable")  # block by block, within a block text by text
-    doc = np.repeat(np.arange(n, dtype=np.int32), laid.sizes)[order]
+    row = np.repeat(np.arange(n) * GATES, laid.sizes)[order]
     symbol = laid.symbol[order]
     contexts = [c[order] for c in laid.contexts]
     edges = np.flatnonzero(np.diff(number[order], prepend=-1, append=-2))
     weights = np.repeat(model.weights[None], n, axis=0).reshape(-1, HASHED + 1)
     cost = np.empty(len(symbol))
     for a, b in zip(edges[:-1], edges[1:], strict=True):
-        owner, node, bit = _steps(model.codes, symbol[a:b])
+        length, before, node, bit = _steps(model.codes, symbol[a:b])
         mixed = node * np.uint32(0x2C1B3C6D)
-        slots = [_slots(c[a:b], owner, mixed, bits) for c, bits in zip(contexts, BITS, strict=True)]
-        inputs = [model.first[node]] + [t[at] for t, at in zip(model.tables, slots, strict=True)]
+        slots = [_slots(c[a:b], length, mixed, bits) for c, bits in zip(contexts, BITS, strict=True)]
+        gating = model.gating[slots[GATE]]
+        inputs = [model.first[node.astype(np.intp)]]
+        inputs += [gating.astype(np.int8) if k == GATE else model.tables[k][at] for k, at in enumerate(slots)]
         inputs = [x * ODDS for x in inputs]
-        key = (doc[a:b] * GATES)[owner]
-        key += model.level[slots[GATE]]
-        odds = np.zeros(len(owner), np.float32)
+        key = np.repeat(row[a:b], length)
+        key += gating >> 8
+        odds = np.zeros(len(key), np.float32)
         for k, x in enumerate(inputs):
             odds += weights[:, k].astype(np.float32)[key] * x
         sign = bit.astype(np.float32)
         sign *= 2
         sign -= 1
         odds *= sign
-        odds = np.clip(odds, -30, 30)
+        np.clip(odds, -30, 30, out=odds)
         miss = np.exp(-odds)
-        cost[a:b] = np.bincount(owner, np.log1p(miss), b - a)
-        miss /= 1 + miss  # the probability the mix gave to the other bit
+        whole = 1 + miss
+        cost[a:b] = np.add.reduceat(np.log(whole), before)
+        if b == len(symbol) and not final:
+            break  # nothing reads the weights after the last block
+        miss /= whole  # the probability the mix gave to the other bit
         miss *= sign
         seen = np.bincount(key, minlength=len(weights)) + 32.0
         for k, x in enumerate(inputs):
@@ -323,18 +349,19 @@ def _summed(pieces: DataFrame, keys: list[str]) -> DataFrame:
 
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pack, unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
-        key, total = None, None
-        row_of = lambda: pd.DataFrame([(*key, pack.compress(total.tobytes()))], columns=[*keys, "data"])
+        counts_of = lambda data: np.frombuffer(unpack.decompress(data), np.int32)
+        key, data, total = None, None, None  # counts that meet no others stay packed
+        row_of = lambda: pd.DataFrame([(*key, data if total is None else pack.compress(total.tobytes()))], columns=[*keys, "data"])
         for frame in frames:
             for row in frame.itertuples(index=False):
                 mine = tuple(getattr(row, k) for k in keys)
-                counts = np.frombuffer(unpack.decompress(row.data), np.int32)
                 if mine == key:
-                    total += np.minimum(counts, _MOST - total)
+                    total = counts_of(data).copy() if total is None else total
+                    total += np.minimum(counts_of(row.data), _MOST - total)
                     continue
                 if key is not None:
                     yield row_of()
-                key, total = mine, counts.copy()
+                key, data, total = mine, row.data, None
         if key is not None:
             yield row_of()
 
@@ -346,6 +373,11 @@ def _summed(pieces: DataFrame, keys: list[str]) -> DataFrame:
 _MOST = np.int32(2**31 - 1)
 
 
+def _node_counts(codes: Codes, symbols: np.ndarray, n_nodes: int) -> np.ndarray:
+    """Zeros and ones of every node: each symbol takes its whole path as often as it occurs."""
+    return np.minimum(np.bincount(codes.step, np.repeat(symbols, codes.length), 2 * n_nodes), _MOST).astype(np.int32)
+
+
 def _bit_counts(docs: DataFrame, codes: Codes, head: dict[bytes, int], name: str) -> DataFrame:
     """Zeros and ones of every node and slot over the documents, in pieces."""
     carried = docs.sparkSession.sparkContext.broadcast((codes, head))
@@ -353,7 +385,7 @@ def _bit_counts(docs: DataFrame, codes: Codes, head: dict[bytes, int], name: str
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes, head = carried.value
-        nodes = np.zeros(2 * n_nodes, np.int32)
+        symbols = np.zeros(len(codes.start), np.int64)
         tables = [np.zeros(2 << bits, np.int32) for bits in BITS]
         part = TaskContext.get().partitionId() % 32
         for frame in frames:
@@ -361,12 +393,16 @@ def _bit_counts(docs: DataFrame, codes: Codes, head: dict[bytes, int], name: str
                 texts = [split(t) for t in frame["text"].iloc[at : at + _ROWS]]
                 for a, b in _groups(map(len, texts)):
                     laid = lay_out(texts[a:b], head)
+                    _tally(symbols, laid.symbol.astype(np.intp))
                     for i in range(0, len(laid.symbol), _GROUP):
-                        owner, node, bit = _steps(codes, laid.symbol[i : i + _GROUP])
+                        length, _, node, bit = _steps(codes, laid.symbol[i : i + _GROUP])
                         mixed = node * np.uint32(0x2C1B3C6D)
-                        _tally(nodes, node, bit)
                         for table, context, bits in zip(tables, laid.contexts, BITS, strict=True):
-                            _tally(table, _slots(context[i : i + _GROUP], owner, mixed, bits), bit)
+                            slot = _slots(context[i : i + _GROUP], length, mixed, bits)
+                            slot *= 2
+                            slot += bit
+                            _tally(table, slot)
+        nodes = _node_counts(codes, symbols, n_nodes)
         pack = zstandard.ZstdCompressor(level=1)
         base = 0
         for counts in (nodes, *tables):
@@ -382,8 +418,8 @@ def _bit_counts(docs: DataFrame, codes: Codes, head: dict[bytes, int], name: str
     return pieces
 
 
-def _fill(model: Model, pieces: DataFrame) -> None:
-    """Odds and gates of the model from bit counts. Tables have a fixed number of slots, so what
+def _fill(model: Model, pieces: DataFrame) -> Model:
+    """The model with odds and gates from bit counts. Tables have a fixed number of slots, so what
     reaches the driver, a byte or two a slot, does not grow."""
 
     def weigh(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -403,8 +439,8 @@ def _fill(model: Model, pieces: DataFrame) -> None:
         odds[at : at + PIECE] = np.frombuffer(some, np.int8)
         if gate:
             gates[at - cuts[GATE] : at - cuts[GATE] + PIECE] = np.frombuffer(gate, np.int8)
-    model.first, *model.tables = np.split(odds, cuts[:-1])
-    model.level = gates
+    first, *tables = np.split(odds, cuts[:-1])
+    return replace(model, first=first, tables=tables, level=gates)
 
 
 def count_words(training: DataFrame) -> DataFrame:
@@ -457,14 +493,13 @@ def learn(training: DataFrame, doc_id: str = "doc_id") -> tuple[Model, DataFrame
     slice_ = materialize(training.where("tuning").select("text"), "tuning")
     counts = _bit_counts(training.where("NOT tuning"), codes, numbers, "bits")
     model = Model(codes, numbers, np.array([*(c for _, c in head), 0, ends], np.int64), np.empty(0), [], np.empty(0))
-    _fill(model, counts)
+    model = _fill(model, counts)
     for _ in range(4):
         sums = _tuned(slice_, model)
         if sums[-1]:
             model.weights = (sums[:-1] / sums[-1]).reshape(GATES, HASHED + 1)
     more = _bit_counts(slice_, codes, numbers, "tuning_bits")
-    _fill(model, _summed(counts.unionAll(more), ["piece"]))
-    return model, vocabulary
+    return _fill(model, _summed(counts.unionAll(more), ["piece"])), vocabulary
 
 
 def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

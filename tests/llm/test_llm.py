@@ -633,6 +633,28 @@ def test_scores_bit_by_bit():
     assert got[first:] == pytest.approx(want, rel=1e-3, abs=1e-3) and last[1] == pytest.approx(weights, abs=1e-4)
 
 
+def test_counts_by_paths(spark):
+    """Nodes take whole paths, paths and gates are read in one number, lone counts stay packed."""
+    model, rng = small_model(), np.random.default_rng(3)
+    codes, symbols = model.codes, rng.integers(0, 5, len(model.codes.start))
+    want = Counter()
+    for s in np.flatnonzero(symbols):
+        for j in range(codes.start[s], codes.start[s] + codes.length[s]):
+            want[int(codes.node[j]) * 2 + int(codes.bit[j])] += int(symbols[s])
+    got = mixlm._node_counts(codes, symbols, codes.nodes + 7)
+    assert len(got) == 2 * (codes.nodes + 7) and {k: int(got[k]) for k in np.flatnonzero(got)} == want
+    assert (mixlm._node_counts(codes, symbols + 2**33, codes.nodes) <= mixlm._MOST).all()
+    length, before, node, bit = mixlm._steps(codes, np.array([65536, 300, 65541], np.int32))
+    assert length.tolist() == codes.length[[65536, 300, 65541]].tolist() and before.tolist() == (np.cumsum(length) - length).tolist()
+    at = np.concatenate([np.arange(codes.start[s], codes.start[s] + codes.length[s]) for s in (65536, 300, 65541)])
+    assert (node == codes.node[at]).all() and (bit == codes.bit[at]).all()
+    assert (model.gating.astype(np.int8) == model.tables[mixlm.GATE]).all() and (model.gating >> 8 == model.level).all()
+    pack = lambda *n: mixlm.zstandard.compress(np.array(n, np.int32).tobytes())
+    rows = [(1, pack(1, 2)), (2, b"as it came"), (1, pack(2**31 - 2, 5)), (1, pack(7, 0))]
+    sums = {r.piece: bytes(r.data) for r in mixlm._summed(spark.createDataFrame(rows, "piece int, data binary"), ["piece"]).collect()}
+    assert sums[2] == b"as it came" and np.frombuffer(mixlm.zstandard.decompress(sums[1]), np.int32).tolist() == [2**31 - 1, 7]
+
+
 # pipeline
 
 
