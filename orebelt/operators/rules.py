@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from orebelt import contract
 from orebelt.functions.names import belongs, find_column, quoted, typed
 from orebelt.functions.values import elapsed_seconds
-from orebelt.operators.shape import dedup_by_key, dedup_rows
+from orebelt.operators.shape import count_copies, dedup_by_key, dedup_rows
 
 UNIQUE_ROWS = "unique_rows"
 
@@ -154,7 +154,9 @@ class RuleSet:
 
     ``layouts`` gives the columns of each dataset type where the frame unites several, such as
     ``contract.SOURCE_SCHEMAS``; a rule on a column that a type lacks does not apply to it.
-    Without it every type has all columns of the frame.
+    Without it every type has all columns of the frame. ``tasks`` is the number of tasks that
+    rows are dealt to whole before equal ones are grouped, so that one task's groups do not grow
+    with the table; without it, rows are grouped where they lie and then merged.
     """
 
     def __init__(
@@ -165,9 +167,11 @@ class RuleSet:
         year: str = "file_year",
         extra_roles: Mapping[str, tuple[str, ...]] | None = None,
         layouts: Mapping[str, Sequence[str]] | None = None,
+        tasks: int | None = None,
     ):
         self.df = df
         self.rules = tuple(rules)
+        self.tasks = tasks
         self.dataset = dataset
         self.scope = (dataset, year)
         self.roles = bind_roles(df, extra_roles)
@@ -218,9 +222,7 @@ class RuleSet:
 
     def groups(self) -> DataFrame:
         """Distinct rows with copies and first failures, with and without the guarded rule."""
-        distinct = self.df.groupBy(*[quoted(c) for c in self.df.columns]).agg(
-            F.count(F.lit(1)).alias("_copies")
-        )
+        distinct = count_copies(self.df, self.tasks)
         if not self.has_unique:
             distinct = self.df.select("*", F.lit(1).cast("long").alias("_copies"))
         unguarded = [rule for rule in self.after if rule is not self.guarded]

@@ -79,7 +79,7 @@ _REPORT = (*CHAIN, _COUNTS, _SUMMARY)
     ),
 )
 def rule_counts(spark, sf_dir):
-    return rules.cleaning_counts(t.raw_trips(spark, sf_dir), t.RULES)
+    return rules.cleaning_counts(t.dealt_trips(spark, sf_dir), t.RULES, tasks=t.tasks(spark, sf_dir))
 
 
 @query(
@@ -90,7 +90,7 @@ def rule_counts(spark, sf_dir):
     ),
 )
 def summary(spark, sf_dir):
-    counts = rules.cleaning_counts(t.raw_trips(spark, sf_dir), t.RULES)
+    counts = rules.cleaning_counts(t.dealt_trips(spark, sf_dir), t.RULES, tasks=t.tasks(spark, sf_dir))
     return rounded(rules.cleaning_summary(counts), 2)
 
 
@@ -112,7 +112,7 @@ def summary(spark, sf_dir):
     ),
 )
 def first_failure(spark, sf_dir):
-    rejected = rules.quarantine(t.stored_trips(spark, sf_dir), t.RULES)
+    rejected = rules.quarantine(t.stored_trips(spark, sf_dir), t.RULES, tasks=t.tasks(spark, sf_dir))
     return rejected.groupBy("rule", "taxi_type", "file_month").agg(F.sum("records").alias("records"))
 
 
@@ -253,7 +253,7 @@ def zone_lookup(spark, sf_dir):
     ),
 )
 def cleaning_totals(spark, sf_dir):
-    counts = rules.cleaning_counts(t.raw_trips(spark, sf_dir), t.RULES)
+    counts = rules.cleaning_counts(t.dealt_trips(spark, sf_dir), t.RULES, tasks=t.tasks(spark, sf_dir))
     return rounded(reports.cleaning_totals(rules.cleaning_summary(counts)))
 
 
@@ -266,7 +266,7 @@ def cleaning_totals(spark, sf_dir):
     ),
 )
 def cleaning_effectiveness(spark, sf_dir):
-    counts = rules.cleaning_counts(t.raw_trips(spark, sf_dir), t.RULES)
+    counts = rules.cleaning_counts(t.dealt_trips(spark, sf_dir), t.RULES, tasks=t.tasks(spark, sf_dir))
     return rounded(reports.cleaning_effectiveness(counts))
 
 
@@ -281,6 +281,6 @@ def cleaning_effectiveness(spark, sf_dir):
     ),
 )
 def cleaning_best_worst(spark, sf_dir):
-    counts = rules.cleaning_counts(t.raw_trips(spark, sf_dir), t.RULES)
+    counts = rules.cleaning_counts(t.dealt_trips(spark, sf_dir), t.RULES, tasks=t.tasks(spark, sf_dir))
     by_type = reports.cleaning_by_type(rules.cleaning_summary(counts))
     return rounded(reports.best_and_worst(by_type, "taxi_type", "quality"))

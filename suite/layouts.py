@@ -103,7 +103,7 @@ _COUNTS = " UNION ALL ".join(
 @query("lay_rule_counts", with_ctes(*_CHAIN, select=_COUNTS))
 def lay_rule_counts(spark, sf_dir):
     """Removed records and status of every rule for each type in its own columns."""
-    counts = rules.cleaning_counts(united(t.raw_trips(spark, sf_dir)), t.RULES, layouts=LAYOUTS)
+    counts = rules.cleaning_counts(united(t.dealt_trips(spark, sf_dir)), t.RULES, layouts=LAYOUTS, tasks=t.tasks(spark, sf_dir))
     return counts.select("taxi_type", "file_year", "rule_order", "rule", "status", "removed")
 
 

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from orebelt.operators import rules as r
 from orebelt.operators.enrich import with_trip_parts, with_zones
@@ -160,6 +161,18 @@ def test_light_cleaning_accounts_for_every_row(spark):
     assert kept.count() == 2 and kept.where("PULocationID = 10").first().fare_amount == 3.0
 
 
+def test_dealt_rows_count_alike(spark):
+    """Rows dealt to a number of tasks are counted as before, by one shuffle that nothing merges."""
+    zeros = [row(tolls_amount=0.0), row(tolls_amount=-0.0), row(tolls_amount=-1.0), row(), row(fare_amount=float("nan"))]
+    df = frame(spark, [*zeros, *zeros[2:], row(PULocationID=None), row(PULocationID=None, DOLocationID=20)]).withColumn("one", F.lit(0.5))
+    plain, dealt = r.RuleSet(df, r.trip_rules()), r.RuleSet(df, r.trip_rules(), tasks=3)
+    assert sorted(map(str, plain.counts().collect())) == sorted(map(str, dealt.counts().collect()))
+    assert sorted(map(str, plain.judged().collect())) == sorted(map(str, dealt.judged().collect()))
+    assert dealt.groups().rdd.getNumPartitions() == 3
+    plan = dealt.groups()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+
+
 @pytest.mark.parametrize("partitions", [1, 8])
 def test_counts_do_not_depend_on_partitioning(spark, partitions):
     rows = [GOOD] * 30 + [row(fare_amount=float(i % 3 - 1)) for i in range(20)]
