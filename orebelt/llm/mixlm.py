@@ -51,8 +51,10 @@ TUNING = (61, 3)
 _BLANK = 32
 _BYTES = 65536
 _FIRST, _LARGEST = 64, 8192
-#: Words of the texts that are laid out together, so that what their steps need stays in cache.
+#: Words of the texts that are laid out together.
 _GROUP = 1 << 15
+#: Symbols whose steps are taken at once, so that they stay in cache.
+_PART = 1 << 13
 _RATE = 0.7
 #: Log-odds are kept in a byte, in steps of this size: the model is broadcast several times.
 ODDS = np.float32(1 / 12)
@@ -265,45 +267,56 @@ def _blocks(sizes: np.ndarray) -> np.ndarray:
 def score(laid: Laid, model: Model, final: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """What each symbol costs in natural units, and each text's last weights if ``final``."""
     n = len(laid.sizes)
-    number = _blocks(laid.sizes)
+    rank = np.argsort(-laid.sizes, kind="stable")  # long texts first: those with further blocks lead each block
+    sizes = laid.sizes[rank]
+    ends = np.cumsum(sizes)
+    number = _blocks(sizes)
     order = np.argsort(number, kind="stable")  # block by block, within a block text by text
-    row = np.repeat(np.arange(n) * GATES, laid.sizes)[order]
+    row = np.repeat(np.arange(n) * GATES, sizes)[order]
+    order += np.repeat((np.cumsum(laid.sizes) - laid.sizes)[rank] - (ends - sizes), sizes)[order]
     symbol = laid.symbol[order]
     contexts = [c[order] for c in laid.contexts]
-    edges = np.flatnonzero(np.diff(number[order], prepend=-1, append=-2))
+    edges = np.concatenate(([0], np.cumsum(np.bincount(number))))
+    further = np.count_nonzero(number[ends - 1] > np.arange(len(edges) - 1)[:, None], axis=1)
     weights = np.repeat(model.weights[None], n, axis=0).reshape(-1, HASHED + 1)
     cost = np.empty(len(symbol))
-    for a, b in zip(edges[:-1], edges[1:], strict=True):
-        length, before, node, bit = _steps(model.codes, symbol[a:b])
-        mixed = node * np.uint32(0x2C1B3C6D)
-        slots = [_slots(c[a:b], length, mixed, bits) for c, bits in zip(contexts, BITS, strict=True)]
-        gating = model.gating[slots[GATE]]
-        inputs = [model.first[node.astype(np.intp)]]
-        inputs += [gating.astype(np.int8) if k == GATE else model.tables[k][at] for k, at in enumerate(slots)]
-        inputs = [x * ODDS for x in inputs]
-        key = np.repeat(row[a:b], length)
-        key += gating >> 8
-        odds = np.zeros(len(key), np.float32)
-        for k, x in enumerate(inputs):
-            odds += weights[:, k].astype(np.float32)[key] * x
-        sign = bit.astype(np.float32)
-        sign *= 2
-        sign -= 1
-        odds *= sign
-        np.clip(odds, -30, 30, out=odds)
-        miss = np.exp(-odds)
-        whole = 1 + miss
-        cost[a:b] = np.add.reduceat(np.log(whole), before)
-        if b == len(symbol) and not final:
-            break  # nothing reads the weights after the last block
-        miss /= whole  # the probability the mix gave to the other bit
-        miss *= sign
-        seen = np.bincount(key, minlength=len(weights)) + 32.0
-        for k, x in enumerate(inputs):
-            weights[:, k] += _RATE * np.bincount(key, miss * x, len(weights)) / seen
+    for a, b, lead in zip(edges[:-1], edges[1:], further, strict=True):
+        push, seen = np.zeros_like(weights), np.full(len(weights), 32.0)
+        factors = weights.astype(np.float32).T.copy()
+        for i in range(a, b, _PART):
+            j = min(i + _PART, b)
+            length, before, node, bit = _steps(model.codes, symbol[i:j])
+            mixed = node * np.uint32(0x2C1B3C6D)
+            slots = [_slots(c[i:j], length, mixed, bits) for c, bits in zip(contexts, BITS, strict=True)]
+            gating = model.gating[slots[GATE]]
+            inputs = [model.first[node.astype(np.intp)]]
+            inputs += [gating.astype(np.int8) if k == GATE else model.tables[k][at] for k, at in enumerate(slots)]
+            inputs = [x * ODDS for x in inputs]
+            key = np.repeat(row[i:j], length)
+            key += gating >> 8
+            odds = np.zeros(len(key), np.float32)
+            for factor, x in zip(factors, inputs, strict=True):
+                odds += factor[key] * x
+            sign = bit.astype(np.float32)
+            sign *= 2
+            sign -= 1
+            odds *= sign
+            np.clip(odds, -30, 30, out=odds)
+            miss = np.exp(-odds)
+            whole = 1 + miss
+            cost[i:j] = np.add.reduceat(np.log(whole), before)
+            # nothing reads the weights of a text after its last block
+            m = len(key) if final else length[: np.searchsorted(row[i:j], lead * GATES)].sum()
+            key, miss = key[:m], miss[:m]
+            miss /= whole[:m]  # the probability the mix gave to the other bit
+            miss *= sign[:m]
+            seen += np.bincount(key, minlength=len(weights))
+            for k, x in enumerate(inputs):
+                push[:, k] += np.bincount(key, miss * x[:m], len(weights))
+        weights += _RATE * push / seen[:, None]
     result = np.empty(len(cost))
     result[order] = cost
-    return result, weights.reshape(n, GATES, HASHED + 1) if final else weights[:0]
+    return result, weights.reshape(n, GATES, HASHED + 1)[np.argsort(rank)] if final else weights[:0]
 
 
 def _groups(sizes: Iterator[int]) -> Iterator[tuple[int, int]]:
@@ -394,11 +407,11 @@ def _bit_counts(docs: DataFrame, codes: Codes, head: dict[bytes, int], name: str
                 for a, b in _groups(map(len, texts)):
                     laid = lay_out(texts[a:b], head)
                     _tally(symbols, laid.symbol.astype(np.intp))
-                    for i in range(0, len(laid.symbol), _GROUP):
-                        length, _, node, bit = _steps(codes, laid.symbol[i : i + _GROUP])
+                    for i in range(0, len(laid.symbol), _PART):
+                        length, _, node, bit = _steps(codes, laid.symbol[i : i + _PART])
                         mixed = node * np.uint32(0x2C1B3C6D)
                         for table, context, bits in zip(tables, laid.contexts, BITS, strict=True):
-                            slot = _slots(context[i : i + _GROUP], length, mixed, bits)
+                            slot = _slots(context[i : i + _PART], length, mixed, bits)
                             slot *= 2
                             slot += bit
                             _tally(table, slot)
@@ -457,9 +470,9 @@ def count_words(training: DataFrame) -> DataFrame:
                 words.update(found)
                 words[b"\n"] += 1
                 data = np.frombuffer(b" " + b" ".join(found) + b" ", np.uint8)
-                for at in range(0, len(data) - 1, 1 << 20):
-                    some = data[at : at + (1 << 20) + 1].astype(np.int32)
-                    pairs += np.bincount(some[:-1] << 8 | some[1:], minlength=_BYTES)
+                for at in range(0, len(data) - 1, 1 << 16):
+                    some = data[at : at + (1 << 16) + 1].astype(np.intp)
+                    _tally(pairs, some[:-1] << 8 | some[1:])
                 if len(words) > _FLUSH:
                     yield table()
                     words = Counter()
@@ -550,7 +563,7 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
                 for k, words in enumerate(texts[a:b]):
                     i, j = cuts[k], cuts[k + 1]
                     end_known = int(logs[-1] > 0)
-                    out.append((len(words) + 1, len(words) - (j - i) + end_known, part[k], value[k], sum(map(len, words)) + max(len(words), 1), laid.spelled[i:j], spelled[i:j]))
+                    out.append((len(words) + 1, len(words) - (j - i) + end_known, part[k], value[k], len(b"".join(words)) + max(len(words), 1), laid.spelled[i:j], spelled[i:j]))
             result = pd.DataFrame(out, columns=columns)
             result.insert(0, "doc_id", frame["doc_id"].to_numpy())
             result.insert(0, "row", np.arange(number, number + len(frame)))
