@@ -290,3 +290,48 @@ def test_rows_are_shuffled_once_for_a_batch_and_without_their_version(spark, tmp
     plan = made[0]._jdf.queryExecution().analyzed().toString()
     aggregate = next(line for line in plan.splitlines() if "Aggregate [" in line)
     assert "source_id" in aggregate.split("], [")[0] and "version" not in aggregate.split("], [")[0]
+
+
+def test_only_months_of_several_sources_are_merged(spark, tmp_path, monkeypatch):
+    store = StarStore(f"{tmp_path}/star")
+    trips = spark.sql(TRIPS)
+    shared = trips.where("pickup_datetime IS NULL").withColumn("source_id", F.lit("fhv_2024"))  # undated trips of two sources
+    untyped = trips.where("tipo_dataset IS NULL").withColumns({"source_id": F.lit("fhv_2024"), "ratecode_id": F.lit(1)})
+    merged, merge = [], star.merge_contributions
+    monkeypatch.setattr(star, "merge_contributions", lambda frame: merged.append(frame) or merge(frame))
+    for now in (trips, trips.unionByName(shared), trips.unionByName(shared).unionByName(untyped)):
+        store.refresh(spark, now, prints(now), dataset=F.lit(None).cast("string"))
+        whole = merge(star.fact_contribution(star.star_input(now, F.lit(None).cast("string"))))
+        fact = store.fact(spark)
+        assert fact.columns == whole.columns and fact_rows(fact) == fact_rows(whole)
+    assert [frame.count() for frame in merged] == [2, 4]
+
+
+def test_grouping_scans_are_small_and_batches_are_not(spark, tmp_path, monkeypatch):
+    key, sizes, write = "spark.sql.files.maxPartitionBytes", [], StarStore._write
+    held = spark.conf.get(key)
+    monkeypatch.setattr(StarStore, "_write", lambda self, frame, level: sizes.append(spark.conf.get(key)) or write(self, frame, level))
+    store, trips = StarStore(f"{tmp_path}/star"), spark.sql(TRIPS)
+    for kept in ("green_2023", "fhv_2023"):
+        now = trips.where(F.col("source_id") >= kept)
+        store.refresh(spark, now, prints(now))
+    store.compact(spark, 2)
+    assert sizes == [f"{16 << 20}b", f"{16 << 20}b", held] and spark.conf.get(key) == held
+    spark.conf.set(key, "1m")
+    try:
+        store.refresh(spark, trips, prints(trips), force=True)
+        assert sizes[-1] == "1m"
+    finally:
+        spark.conf.set(key, held)
+
+
+def test_one_source_shuffles_no_stored_trips(spark, monkeypatch):
+    from suite import incremental, trips
+
+    stored, write = [], incremental.overwrite_partitions
+    monkeypatch.setattr(incremental, "overwrite_partitions", lambda df, *rest: stored.append(df) or write(df, *rest))
+    data = "/root/testdata/sf0.001"
+    got = incremental.one_source(spark, data)
+    plan = stored[0]._jdf.queryExecution().analyzed().toString()
+    assert "RebalancePartitions" not in plan and not {"dropoff_datetime", "store_and_fwd_flag"} & set(stored[0].columns)
+    assert got.count() == trips.fact(spark, data).count()
