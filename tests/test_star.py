@@ -335,3 +335,17 @@ def test_one_source_shuffles_no_stored_trips(spark, monkeypatch):
     plan = stored[0]._jdf.queryExecution().analyzed().toString()
     assert "RebalancePartitions" not in plan and not {"dropoff_datetime", "store_and_fwd_flag"} & set(stored[0].columns)
     assert got.count() == trips.fact(spark, data).count()
+
+
+def test_a_merge_that_fills_the_next_level_takes_it_along(spark, tmp_path, monkeypatch):
+    store, trips = StarStore(f"{tmp_path}/star"), spark.sql(TRIPS).where("source_id = 'green_2023'")
+    levels, write = [], StarStore._write
+    monkeypatch.setattr(StarStore, "_write", lambda self, frame, level: levels.append(level) or write(self, frame, level))
+    for last in range(1, 5):
+        parts = [trips.withColumns({"source_id": F.lit(f"s{n}"), "monto_total": F.lit(float(n))}) for n in range(1, last + 1)]
+        now = reduce(lambda a, b: a.unionByName(b), parts)
+        store.refresh(spark, now, prints(now))
+        store.compact(spark, fanout=2)
+    assert levels == [0, 0, 1, 0, 0, 2]  # two merges of the fourth refresh are one
+    assert len(store.batches(spark)) == 1 and store.manifest(spark).count() == 4
+    assert fact_rows(store.fact(spark)) == fact_rows(full_fact(now))
